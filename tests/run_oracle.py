@@ -1,0 +1,37 @@
+"""Run every registered query against its SQL oracle: python -m tests.run_oracle [sf_dir] [key...]"""
+
+from __future__ import annotations
+
+import sys
+import time
+
+from tests.conftest import make_spark
+from tests.oracle_compare import compare, duck_connection
+
+
+def main(argv: list[str]) -> int:
+    sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
+    only = set(argv[1:])
+    import __spark_entry__ as entry
+
+    spark = make_spark()
+    con = duck_connection(sf_dir)
+    oracle = entry.oracle_sql()
+    failed = 0
+    for key, query in entry.queries().items():
+        if only and key not in only:
+            continue
+        t0 = time.time()
+        df = query(spark, sf_dir)
+        if key in oracle:
+            ok, msg = compare(df, con, oracle[key])
+        else:
+            ok, msg = True, f"no oracle; {df.count()} rows"
+        failed += not ok
+        print(f"{'OK  ' if ok else 'FAIL'} {key:28s} {time.time() - t0:6.2f}s  {msg}", flush=True)
+    print(f"{failed} failed")
+    return 1 if failed else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv[1:]))
