@@ -9,10 +9,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from .. import operators as ops
 from ..functions.columns import with_time_columns
+from ..schema import RAW_SCHEMA, RESULT_SCHEMAS, with_field
+from ..session import fresh_path
+from ..sinks.landing import land_lines, land_partitioned, land_raw, save_result_csv, to_raw
 from ..sources.fixture import load_logs
+from ..sources.json_logs import read_json_logs, read_partitioned_logs, read_with_rejects, reject_summary
+from ..sources.results import file_inventory, read_result_csv, zone_usage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,5 +71,88 @@ ANALYSES: dict[str, Query] = {
 }
 
 
+# The log view keeps its unique ``event_id`` through every landing.
+RAW_WITH_ID = with_field(RAW_SCHEMA, "event_id", LongType(), position=0)
+
+# The day read back by the partition-pruning check.
+PRUNED_DAY = "2024-01-15"
+
+
+def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the logs as JSON Lines, then scan them back with the fixed schema."""
+    path = land_raw(load_logs(spark, sf_dir), fresh_path(spark, "raw"))
+    return read_json_logs(spark, path, RAW_WITH_ID)
+
+
+def scan_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the logs by date partition, then read the whole layout back."""
+    base = land_partitioned(load_logs(spark, sf_dir), fresh_path(spark, "partitioned"))
+    return read_partitioned_logs(spark, base, schema=RAW_WITH_ID)
+
+
+def partition_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the logs by date partition, then read one day (directory pruning)."""
+    base = land_partitioned(load_logs(spark, sf_dir), fresh_path(spark, "partitioned"))
+    return read_partitioned_logs(spark, base, dates=[PRUNED_DAY], schema=RAW_WITH_ID)
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Save the session-pattern result as CSV and read it back typed."""
+    result = ops.session_patterns(load_logs(spark, sf_dir))
+    path = save_result_csv(result, fresh_path(spark, "results-csv"))
+    return read_result_csv(spark, path, RESULT_SCHEMAS["session_patterns"])
+
+
+def _damaged_lines(logs: DataFrame) -> DataFrame:
+    """Log lines where two client addresses send damaged records.
+
+    Lines from addresses ending in ``.113`` arrive cut in half (malformed);
+    lines from addresses ending in ``.142`` carry an unparsable timestamp.
+    """
+    raw = to_raw(logs)
+    ip = F.col("ip_address")
+    raw = raw.withColumn("timestamp", F.when(ip.endswith(".142"), F.lit("bad")).otherwise(F.col("timestamp")))
+    line = F.to_json(F.struct(*[F.col(c) for c in raw.columns]))
+    cut = F.left(line, (F.length(line) / 2).cast("int"))
+    return raw.select(F.when(ip.endswith(".113"), cut).otherwise(line).alias("value"))
+
+
+def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``status, records``: accepted lines and rejects per reason after a damaged landing."""
+    path = land_lines(_damaged_lines(load_logs(spark, sf_dir)), fresh_path(spark, "damaged"))
+    return reject_summary(read_with_rejects(spark, path, RAW_WITH_ID))
+
+
+def _landed_zones(spark: SparkSession, sf_dir: str) -> str:
+    logs = load_logs(spark, sf_dir)
+    base = fresh_path(spark, "zones")
+    land_raw(logs, f"{base}/raw")
+    land_partitioned(logs, f"{base}/partitioned")
+    return base
+
+
+def file_inventory_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``path, length, modificationTime`` of the files of two landing zones."""
+    return file_inventory(spark, _landed_zones(spark, sf_dir))
+
+
+def zone_usage_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``zone, files, bytes`` of two landing zones."""
+    base = _landed_zones(spark, sf_dir)
+    return zone_usage(file_inventory(spark, base), base)
+
+
+SOURCES_AND_SINKS: dict[str, Query] = {
+    "scan_json": scan_json,
+    "scan_partitioned": scan_partitioned,
+    "partition_day": partition_day,
+    "csv_round_trip": csv_round_trip,
+    "rejects": rejects,
+    "profile_input": _on_logs(ops.profile_input),
+    "file_inventory": file_inventory_query,
+    "zone_usage": zone_usage_query,
+}
+
+
 def all_queries() -> dict[str, Query]:
-    return dict(ANALYSES)
+    return {**ANALYSES, **SOURCES_AND_SINKS}

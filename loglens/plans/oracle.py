@@ -192,6 +192,37 @@ _BODIES: dict[str, str] = {
 }
 
 
+def _profile_sql() -> str:
+    from ..schema import LOG_SCHEMA
+
+    columns = [("event_id", "bigint")] + [(f.name, f.dataType.simpleString()) for f in LOG_SCHEMA.fields]
+    parts = [
+        f"SELECT {i} AS position, '{name}' AS column_name, '{dtype}' AS data_type, "
+        f"COUNT(*) AS records, COUNT(*) FILTER (WHERE {name} IS NULL) AS nulls FROM logs"
+        for i, (name, dtype) in enumerate(columns, start=1)
+    ]
+    return "\nUNION ALL ".join(parts)
+
+
+_BODIES.update(
+    {
+        "scan_json": "SELECT * FROM logs",
+        "scan_partitioned": "SELECT *, CAST(timestamp AS DATE) AS date FROM logs",
+        "partition_day": """
+            SELECT *, CAST(timestamp AS DATE) AS date FROM logs
+            WHERE CAST(timestamp AS DATE) = DATE '2024-01-15'""",
+        "csv_round_trip": _BODIES["session_patterns"],
+        "rejects": """
+            SELECT CASE WHEN ip_address LIKE '%.113' THEN 'malformed'
+                        WHEN ip_address LIKE '%.142' THEN 'bad_timestamp'
+                        ELSE 'accepted' END AS status,
+                   COUNT(*) AS records
+            FROM logs GROUP BY 1""",
+        "profile_input": _profile_sql(),
+    }
+)
+
+
 def oracle_queries() -> dict[str, str]:
     """Key -> complete DuckDB statement over the pre-registered tables."""
     out = {}
