@@ -2,6 +2,8 @@
 
 Every query reads the whole ``events`` table of ``sf_dir`` through the log
 view (or files that Spark writes from it), so its work grows with the data.
+The analyses read the log table (:mod:`loglens.sources.log_table`), which is
+written once per session; the landing queries start from the view itself.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from ..schema import RAW_SCHEMA, RESULT_SCHEMAS, with_field
 from ..session import fresh_path
 from ..sinks.landing import land_lines, land_partitioned, land_raw, save_result_csv, to_raw
 from ..sources.fixture import load_logs
+from ..sources.log_table import log_table
 from ..sources.json_logs import read_json_logs, read_partitioned_logs, read_with_rejects, reject_summary
 from ..sources.results import file_inventory, read_result_csv, zone_usage
 
@@ -30,7 +33,7 @@ UNREACHABLE_SUPPORT = 2**63 - 1
 
 def _on_logs(analysis: Callable[[DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return analysis(load_logs(spark, sf_dir))
+        return analysis(log_table(spark, sf_dir))
 
     run.__name__ = getattr(analysis, "__name__", "query")
     run.__doc__ = analysis.__doc__
