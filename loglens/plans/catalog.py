@@ -23,6 +23,7 @@ from ..sources.fixture import load_logs
 from ..sources.log_table import log_table
 from ..sources.json_logs import read_json_logs, read_partitioned_logs, read_with_rejects, reject_summary
 from ..sources.results import file_inventory, read_result_csv, zone_usage
+from ..streaming.ingest import ingest, read_ingested
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -145,6 +146,21 @@ def zone_usage_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_usage(file_inventory(spark, base), base)
 
 
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs arrive as JSON files in two drops (first half of the days, then the
+    rest); each drop is ingested incrementally into a date-partitioned Parquet
+    table, and the table is read back."""
+    logs = load_logs(spark, sf_dir)
+    base = fresh_path(spark, "stream")
+    raw, table, checkpoint = f"{base}/raw", f"{base}/table", f"{base}/_checkpoint"
+    early = F.dayofmonth("timestamp") <= 15
+    land_raw(logs.filter(early), f"{raw}/drop=1")
+    ingest(spark, f"{raw}/*", table, checkpoint, schema=RAW_WITH_ID)
+    land_raw(logs.filter(~early), f"{raw}/drop=2")
+    ingest(spark, f"{raw}/*", table, checkpoint, schema=RAW_WITH_ID)
+    return read_ingested(spark, table)
+
+
 SOURCES_AND_SINKS: dict[str, Query] = {
     "scan_json": scan_json,
     "scan_partitioned": scan_partitioned,
@@ -154,6 +170,7 @@ SOURCES_AND_SINKS: dict[str, Query] = {
     "profile_input": _on_logs(ops.profile_input),
     "file_inventory": file_inventory_query,
     "zone_usage": zone_usage_query,
+    "stream_ingest": stream_ingest,
 }
 
 

@@ -219,6 +219,7 @@ _BODIES.update(
                    COUNT(*) AS records
             FROM logs GROUP BY 1""",
         "profile_input": _profile_sql(),
+        "stream_ingest": "SELECT *, CAST(timestamp AS DATE) AS date FROM logs",
     }
 )
 
