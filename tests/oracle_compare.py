@@ -38,15 +38,17 @@ def _key(row):
     return tuple((v is None, str(type(v).__name__) if v is not None else "", v if v is not None else 0) for v in row)
 
 
-def _same(a, b) -> bool:
+def _same(a, b, exact: bool = False) -> bool:
     if a is None or b is None:
         return a is b
     if isinstance(a, float) or isinstance(b, float):
+        if exact:
+            return float(a) == float(b)
         return math.isclose(float(a), float(b), rel_tol=1e-12, abs_tol=1e-12)
     return a == b
 
 
-def compare(spark_df, con, sql: str) -> tuple[bool, str]:
+def compare(spark_df, con, sql: str, exact: bool = False) -> tuple[bool, str]:
     """(equal?, message). Columns are matched by name, rows as multisets."""
     rel = con.sql(sql)
     d_cols = list(rel.columns)
@@ -62,6 +64,6 @@ def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     s_rows.sort(key=_key)
     d_rows.sort(key=_key)
     for a, b in zip(s_rows, d_rows):
-        if len(a) != len(b) or not all(_same(x, y) for x, y in zip(a, b)):
+        if len(a) != len(b) or not all(_same(x, y, exact) for x, y in zip(a, b)):
             return False, f"first differing row: spark={a} oracle={b}"
     return True, f"{len(s_rows)} rows equal"

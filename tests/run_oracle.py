@@ -24,7 +24,7 @@ def main(argv: list[str]) -> int:
         t0 = time.time()
         df = query(spark, sf_dir)
         if key in oracle:
-            ok, msg = compare(df, con, oracle[key])
+            ok, msg = compare(df, con, oracle[key], exact=True)
         else:
             ok, msg = True, f"no oracle; {df.count()} rows"
         failed += not ok
