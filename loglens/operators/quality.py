@@ -55,6 +55,6 @@ def partition_profile(df: DataFrame) -> DataFrame:
     return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count("*").alias("records"))
 
 
-def sample_rows(df: DataFrame, n: int = 3, key: Sequence[str] = ("event_id",)) -> DataFrame:
-    """The first ``n`` rows by ``key`` (a deterministic sample)."""
+def sample_rows(df: DataFrame, n: int = 3, key: Sequence[str] = ("timestamp",)) -> DataFrame:
+    """The first ``n`` rows by ``key`` (a deterministic sample when ``key`` is unique)."""
     return top_k(df, n, asc=list(key))

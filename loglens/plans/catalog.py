@@ -71,7 +71,7 @@ ANALYSES: dict[str, Query] = {
     "server_key_counts": _on_logs(ops.server_key_counts),
     "error_server_times": _on_logs(ops.error_server_times),
     "time_columns": _on_logs(with_time_columns),
-    "sample_rows": _on_logs(ops.sample_rows),
+    "sample_rows": _on_logs(lambda logs: ops.sample_rows(logs, key=["event_id"])),
 }
 
 
@@ -101,9 +101,9 @@ def partition_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Save the session-pattern result as CSV and read it back typed."""
+    """Save the session-pattern result (a top 10) as one CSV file and read it back typed."""
     result = ops.session_patterns(load_logs(spark, sf_dir))
-    path = save_result_csv(result, fresh_path(spark, "results-csv"))
+    path = save_result_csv(result, fresh_path(spark, "results-csv"), single_file=True)
     return read_result_csv(spark, path, RESULT_SCHEMAS["session_patterns"])
 
 

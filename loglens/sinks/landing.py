@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,11 +59,12 @@ def land_lines(lines: DataFrame, path: str, column: str = "value") -> str:
     return path
 
 
-def save_result_csv(result: DataFrame, path: str, single_file: bool = True) -> str:
+def save_result_csv(result: DataFrame, path: str, single_file: bool = False) -> str:
     """Write a result as CSV with a header, replacing ``path``.
 
-    ``single_file`` uses one writer task (the row order of a sorted result is
-    kept); use it only for bounded results such as top-k or per-hour tables.
+    ``single_file`` writes one file from one task (the row order of a sorted
+    result is kept); ask for it only for bounded results such as a top-k or a
+    per-hour table, never for a result that grows with the input.
     """
     out = result.coalesce(1) if single_file else result
     (
@@ -75,15 +76,19 @@ def save_result_csv(result: DataFrame, path: str, single_file: bool = True) -> s
     return path
 
 
-def save_results(results: Mapping[str, DataFrame], base: str, single_file: bool = True) -> dict[str, str]:
+def save_results(
+    results: Mapping[str, DataFrame], base: str, single_file: Collection[str] = ()
+) -> dict[str, str]:
     """Save every named result under ``base/<name>``; returns ``name -> "ok" | "failed: ..."``.
 
-    One failing result does not stop the others, and each outcome is reported.
+    Results named in ``single_file`` (bounded ones) are written as one file
+    each. One failing result does not stop the others, and each outcome is
+    reported.
     """
     status: dict[str, str] = {}
     for name, frame in results.items():
         try:
-            save_result_csv(frame, f"{base.rstrip('/')}/{name}", single_file=single_file)
+            save_result_csv(frame, f"{base.rstrip('/')}/{name}", single_file=name in single_file)
             status[name] = "ok"
         except Exception as exc:  # report per result, keep going
             status[name] = f"failed: {type(exc).__name__}: {str(exc).splitlines()[0][:200]}"

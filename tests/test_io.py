@@ -72,7 +72,7 @@ def test_rejects_are_split_and_good_rows_kept(spark, tmp_path):
 def test_csv_result_round_trip_in_order(spark):
     logs = load_logs(spark, SF_SMALL)
     result = ops.hourly_traffic(logs)
-    path = save_result_csv(result, fresh_path(spark, "csv"))
+    path = save_result_csv(result, fresh_path(spark, "csv"), single_file=True)
     back = read_result_csv(spark, path, RESULT_SCHEMAS["hourly_traffic"])
     assert back.collect() == result.collect()
 
@@ -80,9 +80,12 @@ def test_csv_result_round_trip_in_order(spark):
 def test_save_results_reports_each_outcome(spark):
     logs = load_logs(spark, SF_SMALL)
     broken = spark.range(1).select(F.raise_error(F.lit("boom")).alias("x"))
-    status = save_results({"levels": ops.level_distribution(logs), "broken": broken}, fresh_path(spark, "results"))
-    assert status["levels"] == "ok"
+    base = fresh_path(spark, "results")
+    results = {"levels": ops.level_distribution(logs), "broken": broken, "times": ops.error_server_times(logs)}
+    status = save_results(results, base, single_file={"levels"})
+    assert status["levels"] == "ok" and status["times"] == "ok"
     assert status["broken"].startswith("failed:")
+    assert file_inventory(spark, f"{base}/levels").count() == 1
 
 
 def test_inventory_sizes_equal_file_metadata(spark):
@@ -105,3 +108,21 @@ def test_sql_views_match_dataframe_results(spark):
     assert same_rows(hourly, ops.hour_counts(logs))
     register_analyses(spark, logs, prefix="t_")
     assert spark.table("t_kpi_summary").count() == 1
+
+
+def test_ingest_is_incremental_and_idempotent(spark):
+    from loglens.streaming.ingest import ingest, read_ingested
+
+    logs = load_logs(spark, SF_SMALL)
+    base = fresh_path(spark, "stream")
+    raw, table, ckpt = f"{base}/raw", f"{base}/table", f"{base}/_ckpt"
+    first = F.dayofmonth("timestamp") <= 10
+    land_raw(logs.filter(first), f"{raw}/a")
+    ingest(spark, f"{raw}/*", table, ckpt, schema=RAW_WITH_ID)
+    assert read_ingested(spark, table).count() == logs.filter(first).count()
+    ingest(spark, f"{raw}/*", table, ckpt, schema=RAW_WITH_ID)  # nothing new: nothing added
+    assert read_ingested(spark, table).count() == logs.filter(first).count()
+    land_raw(logs.filter(~first), f"{raw}/b")
+    ingest(spark, f"{raw}/*", table, ckpt, schema=RAW_WITH_ID)
+    back = read_ingested(spark, table)
+    assert same_rows(back, logs.withColumn("date", F.to_date("timestamp")))
