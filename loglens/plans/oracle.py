@@ -67,11 +67,21 @@ def mean2(x: str) -> str:
     return f"(CAST(((200 * SUM({x}) + COUNT({x})) // (2 * COUNT({x}))) AS DOUBLE) / 100)"
 
 
-def with_logs(body: str) -> str:
-    return f"WITH logs AS ({LOG_VIEW_SQL})\n{body}"
+ERR = "status_code >= 400"
 
 
-ERR = "status_code >= 400"
+def _pairs_with_fallback(min_support: int) -> str:
+    """Pairs with support > n, or all pairs when none passes; top 10."""
+    return f"""
+        , g AS (
+          SELECT endpoint, method, COUNT(*) AS frequency
+          FROM logs WHERE endpoint IS NOT NULL AND method IS NOT NULL
+          GROUP BY endpoint, method)
+        SELECT endpoint, method, frequency,
+               {pct('frequency', '(SELECT COUNT(*) FROM logs)')} AS percentage
+        FROM g
+        WHERE frequency > {min_support} OR (SELECT COALESCE(MAX(frequency), 0) FROM g) <= {min_support}
+        ORDER BY frequency DESC, endpoint, method LIMIT 10"""
 
 _BODIES: dict[str, str] = {
     "level_distribution": f"""
@@ -124,18 +134,8 @@ _BODIES: dict[str, str] = {
         GROUP BY endpoint, method HAVING COUNT(*) > 5
         ORDER BY frequency DESC, endpoint, method LIMIT 10""",
     # fallback branch: a threshold no group reaches, so the top pairs come without it
-    "support_fallback": f"""
-        SELECT endpoint, method, COUNT(*) AS frequency,
-               {pct('COUNT(*)', '(SELECT COUNT(*) FROM logs)')} AS percentage
-        FROM logs WHERE endpoint IS NOT NULL AND method IS NOT NULL
-        GROUP BY endpoint, method
-        ORDER BY frequency DESC, endpoint, method LIMIT 10""",
-    "support_pass_through": f"""
-        SELECT endpoint, method, COUNT(*) AS frequency,
-               {pct('COUNT(*)', '(SELECT COUNT(*) FROM logs)')} AS percentage
-        FROM logs WHERE endpoint IS NOT NULL AND method IS NOT NULL
-        GROUP BY endpoint, method HAVING COUNT(*) > 5
-        ORDER BY frequency DESC, endpoint, method LIMIT 10""",
+    "support_fallback": _pairs_with_fallback(2**63 - 1),
+    "support_pass_through": _pairs_with_fallback(5),
     "error_patterns": f"""
         SELECT server, endpoint, status_code, COUNT(*) AS frequency
         FROM logs WHERE {ERR} AND server IS NOT NULL AND endpoint IS NOT NULL
@@ -224,13 +224,12 @@ _BODIES.update(
 )
 
 
-def oracle_queries() -> dict[str, str]:
-    """Key -> complete DuckDB statement over the pre-registered tables."""
-    out = {}
-    for key, body in _BODIES.items():
-        body = body.strip()
-        if body.startswith(","):
-            out[key] = f"WITH logs AS ({LOG_VIEW_SQL})\n{body}"
-        else:
-            out[key] = with_logs(body)
-    return out
+def oracle_queries(logs_sql: str = LOG_VIEW_SQL) -> dict[str, str]:
+    """Key -> complete DuckDB statement.
+
+    By default the log view is derived from the pre-registered ``events``
+    table; ``logs_sql`` may name any other relation of log records (tests run
+    the same statements over hand-made rows).
+    """
+    # a body either is a SELECT or continues the WITH list (", name AS (...)")
+    return {key: f"WITH logs AS ({logs_sql})\n{body.strip()}" for key, body in _BODIES.items()}
