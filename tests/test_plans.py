@@ -7,17 +7,13 @@ from loglens import operators as ops
 from loglens.plans.catalog import partition_day
 from loglens.sources.log_table import log_table
 from tests.conftest import SF_SMALL
-
-
-def executed_plan(df) -> str:
-    """The final adaptive plan after running ``df`` (initial plan cut off)."""
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+from tests.plan_report import final_plan as executed_plan
 
 
 def test_share_of_total_reuses_the_grouped_shuffle(spark):
     plan = executed_plan(ops.level_distribution(log_table(spark, SF_SMALL)))
     assert "ReusedExchange" in plan
+    assert plan.count("FileScan parquet") == 1
     assert "Window" not in plan
 
 
