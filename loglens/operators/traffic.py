@@ -1,4 +1,8 @@
-"""Traffic over time: by hour of day and by calendar day (UTC wall clock)."""
+"""Traffic over time: by hour of day and by calendar day (UTC wall clock).
+
+Both always derive ``date`` and ``hour`` from the event timestamp, also when
+the input carries a ``date`` partition column (the landing date).
+"""
 
 from __future__ import annotations
 
@@ -9,14 +13,10 @@ from ..functions.columns import ERROR_FROM, error_flag_count, percent, with_time
 from ..functions.ranking import sort_rows
 
 
-def _timed(logs: DataFrame, column: str) -> DataFrame:
-    return logs if column in logs.columns else with_time_columns(logs)
-
-
 def hourly_traffic(logs: DataFrame, error_from: int = ERROR_FROM) -> DataFrame:
     """``hour, requests, avg_response_time, errors`` over all days, by hour."""
     result = (
-        _timed(logs, "hour")
+        with_time_columns(logs)
         .groupBy("hour")
         .agg(
             F.count("*").alias("requests"),
@@ -30,7 +30,7 @@ def hourly_traffic(logs: DataFrame, error_from: int = ERROR_FROM) -> DataFrame:
 def daily_traffic(logs: DataFrame, error_from: int = ERROR_FROM) -> DataFrame:
     """``date, requests, avg_response_time, error_rate``; the rate is inside the day."""
     result = (
-        _timed(logs, "date")
+        with_time_columns(logs)
         .groupBy("date")
         .agg(
             F.count("*").alias("requests"),

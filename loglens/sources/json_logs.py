@@ -41,13 +41,17 @@ def to_typed(raw: DataFrame, zone_aware: bool = False) -> DataFrame:
     return raw.withColumn("timestamp", parse_timestamp("timestamp", zone_aware))
 
 
-def read_json_logs(spark: SparkSession, path: str | list[str], schema: StructType = RAW_SCHEMA) -> DataFrame:
+def read_json_logs(
+    spark: SparkSession, path: str | list[str], schema: StructType = RAW_SCHEMA, zone_aware: bool = False
+) -> DataFrame:
     """Typed logs from a file, directory or glob of JSON Lines.
 
-    Unparsable lines come back as rows of NULLs; use :func:`split_rejects`
-    to set them apart.
+    Unparsable lines come back as rows of NULLs; use :func:`read_with_rejects`
+    and :func:`split_rejects` to set them apart. Plain or splittably
+    compressed files are split across tasks; gzip files are read whole, one
+    task each, so land large logs uncompressed or in a splittable codec.
     """
-    return to_typed(spark.read.schema(schema).json(path))
+    return to_typed(spark.read.schema(schema).json(path), zone_aware)
 
 
 def read_partitioned_logs(
@@ -55,6 +59,7 @@ def read_partitioned_logs(
     base: str,
     dates: Iterable[str | dt.date] | None = None,
     schema: StructType = RAW_SCHEMA,
+    zone_aware: bool = False,
 ) -> DataFrame:
     """Typed logs from a ``date=YYYY-MM-DD/`` layout under ``base``.
 
@@ -67,7 +72,7 @@ def read_partitioned_logs(
     if dates is not None:
         wanted = [d if isinstance(d, dt.date) else dt.date.fromisoformat(d) for d in dates]
         raw = raw.filter(F.col(PARTITION_COLUMN).isin(wanted))
-    return to_typed(raw)
+    return to_typed(raw, zone_aware)
 
 
 def read_with_rejects(spark: SparkSession, path: str | list[str], schema: StructType = RAW_SCHEMA) -> DataFrame:

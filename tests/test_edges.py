@@ -167,3 +167,21 @@ def test_partition_profile_sums_to_total(spark):
     logs = make_logs(spark, [{"endpoint": "/a"}] * 5).repartition(3)
     total = ops.partition_profile(logs).agg(F.sum("records")).collect()[0][0]
     assert total == 5
+
+
+def test_zone_aware_parsing_shifts_offsets_to_utc(spark):
+    from loglens.sources.json_logs import parse_timestamp
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2024-01-01T05:30:00+05:00",), ("2024-01-01T00:30:00Z",), ("bad",)], "t string")
+        got = [r[0] for r in df.select(parse_timestamp("t", zone_aware=True)).collect()]
+        assert got == [dt.datetime(2024, 1, 1, 0, 30), dt.datetime(2024, 1, 1, 0, 30), None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_traffic_uses_event_date_not_a_landing_date_column(spark):
+    logs = make_logs(spark, [{"timestamp": "2024-01-02T23:00:00Z"}]).withColumn("date", F.lit("2024-01-09").cast("date"))
+    assert rows_of(ops.daily_traffic(logs), "date") == [(dt.date(2024, 1, 2),)]
