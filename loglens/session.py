@@ -16,7 +16,11 @@ def shared_dir(spark: SparkSession) -> str:
     checkpoints, reachable by every executor). Only when it is unset, as in
     local tests, a fresh local folder is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without a SparkContext (e.g. Spark Connect)
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="loglens-")
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -27,6 +31,14 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def session_key(spark: SparkSession) -> str:
+    """An identifier of the running application."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under :func:`shared_dir` for one written table."""
     return os.path.join(shared_dir(spark), "loglens", f"{name}-{uuid.uuid4().hex}")

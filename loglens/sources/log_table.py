@@ -14,7 +14,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import fresh_path
+from ..session import fresh_path, session_key
 from .fixture import logs_from_events
 
 _TABLES: dict[tuple[str, int, str], DataFrame] = {}
@@ -28,8 +28,12 @@ def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     core. An input that already has enough partitions is returned as is, so
     a large input is never shuffled for this.
     """
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        partitions = df.rdd.getNumPartitions()
+    except Exception:  # no SparkContext / RDD access: leave the input as it is
+        return df
+    return df if partitions >= cores else df.repartition(cores)
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str, order_by: str | None = "timestamp") -> DataFrame:
@@ -47,7 +51,7 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, order_by: str | N
 
 def log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log view over ``{sf_dir}/events.parquet``, materialized once per session."""
-    key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir))
+    key = (session_key(spark), id(spark), os.path.abspath(sf_dir))
     table = _TABLES.get(key)
     if table is None:
         events = spread(spark, spark.read.parquet(f"{sf_dir}/events.parquet"))
