@@ -1,7 +1,11 @@
-"""Run every registered query against its SQL oracle: python -m tests.run_oracle [sf_dir] [key...]"""
+"""Run every registered query against its SQL oracle.
+
+python -m tests.run_oracle [sf_dir] [key...]   (env ORACLE_TZ sets the session time zone)
+"""
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 
@@ -15,6 +19,8 @@ def main(argv: list[str]) -> int:
     import __spark_entry__ as entry
 
     spark = make_spark()
+    if os.environ.get("ORACLE_TZ"):
+        spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_TZ"])
     con = duck_connection(sf_dir)
     oracle = entry.oracle_sql()
     failed = 0
