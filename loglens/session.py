@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -54,8 +55,42 @@ RECOMMENDED_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply :data:`RECOMMENDED_CONF` to a running session."""
-    for key, value in RECOMMENDED_CONF.items():
+MiB = 1024 * 1024
+
+
+def cluster_conf(
+    input_bytes: int,
+    scan_split_bytes: int = 256 * MiB,
+    shuffle_fraction: float = 0.05,
+    shuffle_partition_bytes: int = 128 * MiB,
+) -> dict[str, str]:
+    """Partition sizing for an input of ``input_bytes`` (e.g. 100 TB of logs).
+
+    * Scan splits of ``scan_split_bytes`` keep each task's input well inside
+      executor memory (100 TB -> ~400k scan tasks).
+    * The analyses shuffle partial aggregates; only the high-cardinality keys
+      (user, session, IP) shuffle a noticeable share of the input, taken here
+      as ``shuffle_fraction``. The initial shuffle partition count gives each
+      reducer about ``shuffle_partition_bytes`` of that; AQE then coalesces
+      small partitions to the advisory size and splits skewed ones, so the
+      low-cardinality analyses end up with a handful of reducers.
+    """
+    shuffle_bytes = max(1, int(input_bytes * shuffle_fraction))
+    partitions = max(200, math.ceil(shuffle_bytes / shuffle_partition_bytes))
+    return {
+        **RECOMMENDED_CONF,
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
+        # coalesce by size, not to keep every core busy on tiny partitions
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
+def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply :data:`RECOMMENDED_CONF`, or :func:`cluster_conf` for a known input size."""
+    conf = cluster_conf(input_bytes) if input_bytes else RECOMMENDED_CONF
+    for key, value in conf.items():
         spark.conf.set(key, value)
     return spark

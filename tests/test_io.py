@@ -20,6 +20,15 @@ def same_rows(a, b) -> bool:
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_cluster_conf_sizes_partitions_from_input():
+    from loglens.session import cluster_conf
+
+    big = cluster_conf(100 * 1024**4)
+    assert int(big["spark.sql.shuffle.partitions"]) == 40960
+    assert big["spark.sql.adaptive.enabled"] == "true"
+    assert int(cluster_conf(10 * 1024**2)["spark.sql.shuffle.partitions"]) == 200
+
+
 def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.sparkContext.getCheckpointDir()
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
