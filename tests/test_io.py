@@ -135,3 +135,15 @@ def test_ingest_is_incremental_and_idempotent(spark):
     ingest(spark, f"{raw}/*", table, ckpt, schema=RAW_WITH_ID)
     back = read_ingested(spark, table)
     assert same_rows(back, logs.withColumn("date", F.to_date("timestamp")))
+
+
+def test_report_saves_every_analysis(spark):
+    from loglens.plans.report import analyze, save_report
+    from loglens.sources.log_table import log_table
+
+    results = analyze(log_table(spark, SF_SMALL))
+    base = fresh_path(spark, "report")
+    status = save_report(results, base)
+    assert set(status) == set(results) and all(v == "ok" for v in status.values())
+    back = read_result_csv(spark, f"{base}/server_performance", RESULT_SCHEMAS["server_performance"])
+    assert back.collect() == results["server_performance"].collect()
