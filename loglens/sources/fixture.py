@@ -49,10 +49,8 @@ def logs_from_events(events: DataFrame) -> DataFrame:
     uid = F.col("user_id")
     is_err = F.col("event_type") == "error"
 
-    level = F
-    for event_type, lvl in LEVEL_OF_EVENT.items():
-        level = level.when(F.col("event_type") == event_type, lvl)
-    level = level.otherwise("INFO")
+    level_of = F.create_map(*[F.lit(x) for pair in LEVEL_OF_EVENT.items() for x in pair])
+    level = F.coalesce(level_of[F.col("event_type")], F.lit("INFO"))
 
     return events.select(
         eid.alias("event_id"),
