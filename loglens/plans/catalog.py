@@ -168,6 +168,7 @@ SOURCES_AND_SINKS: dict[str, Query] = {
     "csv_round_trip": csv_round_trip,
     "rejects": rejects,
     "profile_input": _on_logs(ops.profile_input),
+    "partition_profile": _on_logs(ops.partition_profile),
     "file_inventory": file_inventory_query,
     "zone_usage": zone_usage_query,
     "stream_ingest": stream_ingest,
