@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import ERROR_FROM, is_error, percent, scalar_max, scalar_total
+from ..functions.columns import ERROR_FROM, is_error, percent, scalar_max
 from ..functions.ranking import top_k
 
 
