@@ -1,10 +1,21 @@
-"""User and session activity.
+"""User and session activity: top-k reports over high-cardinality keys.
 
-Both group by high-cardinality keys and count distinct values per group.
-Spark plans a distinct count as two aggregation levels (first by key and
-value, then by key), each with a map-side partial step, so one very active
-user or session never lands whole in one task. Only the columns used are
-read before the ``Expand`` that several distinct counts need.
+Only the ranking measure (requests, page views) is needed for every user or
+session; the distinct counts are needed for the k winners alone. So each
+report runs in two passes:
+
+1. one single-level aggregate ranks all keys (map-side partial step, then a
+   shuffle of one partial row per key and task) and ``TakeOrderedAndProject``
+   keeps the k best;
+2. those k rows are broadcast (a size bound of k, checked against
+   :data:`~loglens.functions.ranking.BROADCAST_TOP_K_LIMIT`) and joined to
+   the rows inside the scan stage, so the distinct counts aggregate only the
+   winners' rows.
+
+The exact distinct counts of the second pass are planned as two aggregation
+levels (first by key and value, then by key), each with a map-side partial
+step, so even a winner holding a third of all rows never lands whole in one
+task. Above the broadcast limit, one pass computes every measure for every key.
 """
 
 from __future__ import annotations
@@ -12,22 +23,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ranking import top_k
+from ..functions.ranking import BROADCAST_TOP_K_LIMIT, rows_of_top, top_k
+
+USER_COLUMNS = ["user_id", "requests", "sessions", "unique_pages", "avg_response_time"]
+SESSION_COLUMNS = ["session_id", "user_id", "page_views", "unique_pages", "session_start", "session_end"]
 
 
 def user_activity(logs: DataFrame, k: int = 15) -> DataFrame:
     """``user_id, requests, sessions, unique_pages, avg_response_time`` for the ``k`` busiest users."""
-    per_user = (
-        logs.filter(F.col("user_id").isNotNull())
-        .groupBy("user_id")
-        .agg(
-            F.count("*").alias("requests"),
-            F.count_distinct("session_id").alias("sessions"),
-            F.count_distinct("endpoint").alias("unique_pages"),
-            F.round(F.avg("response_time"), 2).alias("avg_response_time"),
-        )
-    )
-    return top_k(per_user, k, desc=["requests"], asc=["user_id"])
+    users = logs.filter(F.col("user_id").isNotNull())
+    ranking = [F.count("*").alias("requests"), F.round(F.avg("response_time"), 2).alias("avg_response_time")]
+    distincts = [F.count_distinct("session_id").alias("sessions"), F.count_distinct("endpoint").alias("unique_pages")]
+    order = {"desc": ["requests"], "asc": ["user_id"]}
+    if k > BROADCAST_TOP_K_LIMIT:
+        return top_k(users.groupBy("user_id").agg(*ranking, *distincts), k, **order).select(*USER_COLUMNS)
+    top = top_k(users.groupBy("user_id").agg(*ranking), k, **order)
+    detail = rows_of_top(users, top, ["user_id"]).groupBy(*top.columns).agg(*distincts)
+    return top_k(detail, k, **order).select(*USER_COLUMNS)
 
 
 def session_patterns(logs: DataFrame, k: int = 10) -> DataFrame:
@@ -36,14 +48,17 @@ def session_patterns(logs: DataFrame, k: int = 10) -> DataFrame:
     The ``k`` sessions with most page views; a NULL user is kept as part of
     the key, a NULL session is not a session.
     """
-    per_session = (
-        logs.filter(F.col("session_id").isNotNull())
-        .groupBy("session_id", "user_id")
-        .agg(
-            F.count("*").alias("page_views"),
-            F.count_distinct("endpoint").alias("unique_pages"),
-            F.min("timestamp").alias("session_start"),
-            F.max("timestamp").alias("session_end"),
-        )
-    )
-    return top_k(per_session, k, desc=["page_views"], asc=["session_id", "user_id"])
+    sessions = logs.filter(F.col("session_id").isNotNull())
+    keys = ["session_id", "user_id"]
+    ranking = [
+        F.count("*").alias("page_views"),
+        F.min("timestamp").alias("session_start"),
+        F.max("timestamp").alias("session_end"),
+    ]
+    distinct = F.count_distinct("endpoint").alias("unique_pages")
+    order = {"desc": ["page_views"], "asc": keys}
+    if k > BROADCAST_TOP_K_LIMIT:
+        return top_k(sessions.groupBy(*keys).agg(*ranking, distinct), k, **order).select(*SESSION_COLUMNS)
+    top = top_k(sessions.groupBy(*keys).agg(*ranking), k, **order)
+    detail = rows_of_top(sessions, top, keys).groupBy(*top.columns).agg(distinct)
+    return top_k(detail, k, **order).select(*SESSION_COLUMNS)

@@ -66,3 +66,17 @@ def test_sorted_results_are_in_order(table):
     assert hours == sorted(hours)
     counts = [r["count"] for r in ops.level_distribution(table).collect()]
     assert counts == sorted(counts, reverse=True)
+
+
+def test_two_pass_and_single_pass_top_k_plans_agree(table, monkeypatch):
+    import loglens.operators.users as users
+
+    two_pass = (ops.user_activity(table, k=40).collect(), ops.session_patterns(table, k=40).collect())
+    monkeypatch.setattr(users, "BROADCAST_TOP_K_LIMIT", 0)
+    single_pass = (ops.user_activity(table, k=40).collect(), ops.session_patterns(table, k=40).collect())
+    assert two_pass == single_pass
+
+
+def test_two_pass_top_k_broadcasts_only_the_winners(table):
+    plan = ops.session_patterns(table)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "TakeOrderedAndProject" in plan
