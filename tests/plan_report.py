@@ -94,9 +94,14 @@ NOTES = """
   `single (partials)` moves one row per task. A key holding a third of
   all rows therefore costs one partial row per task.
 * Distinct counts per group shuffle first on (key, value[, gid]) and then on the
-  key (`user_activity`, `session_patterns`, `server_activity`), so a hot user
-  or session is spread over many tasks in the first step.
-* No plan contains a join, a broadcast, a cartesian product or a window.
+  key (`server_activity`, `pattern_statistics`, and the second pass of
+  `user_activity` / `session_patterns`), so a hot key is spread over many tasks
+  in the first step.
+* `user_activity` and `session_patterns` rank all keys with a single-level
+  aggregate first. The `BroadcastExchange` then ships only the k winning rows
+  (k <= 10,000 by a checked limit) to select the winners' rows inside the scan
+  stage. No other plan has a join or broadcast; none has a cartesian product
+  or a window.
 * A second scan appears only where a share of **all** logs is needed after a
   filter (`error_analysis`, the pair percentages). It reads no columns
   (`struct<>`), only row counts. A share over the grouped rows reuses the
