@@ -37,11 +37,22 @@ def kpi_summary(logs: DataFrame, error_from: int = ERROR_FROM) -> DataFrame:
         error_flag_count("status_code", error_from).alias("errors"),
         F.round(F.avg("response_time"), 2).alias("avg_ms"),
     )
-    by_endpoint = F.col("gid") == 1  # grouped by endpoint only
-    by_server = F.col("gid") == 2  # grouped by server only
-    overall = F.col("gid") == 3
+    # grouping_id bits: 1 = by endpoint only, 2 = by server only, 3 = all rows
+    return kpi_from_groups(sets, endpoint_gid=1, server_gid=2, overall_gid=3)
+
+
+def kpi_from_groups(groups: DataFrame, endpoint_gid: int, server_gid: int, overall_gid: int) -> DataFrame:
+    """The KPI row from per-endpoint, per-server and overall groups.
+
+    ``groups`` has ``gid, endpoint, server, n, errors, avg_ms`` (the rounded
+    mean). One global aggregate (partial per task) picks the winners with
+    ``min_by`` under the tie-break order of the top-k analyses.
+    """
+    by_endpoint = F.col("gid") == endpoint_gid
+    by_server = F.col("gid") == server_gid
+    overall = F.col("gid") == overall_gid
     n, avg_ms = F.col("n"), F.col("avg_ms")
-    kpis = sets.agg(
+    kpis = groups.agg(
         F.sum(F.when(overall, n)).alias("total_records"),
         F.sum(F.when(overall, F.col("errors"))).alias("error_count"),
         F.count_if(by_endpoint & F.col("endpoint").isNotNull()).alias("unique_endpoints"),
