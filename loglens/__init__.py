@@ -6,7 +6,8 @@
 * :mod:`loglens.functions` — time columns, error predicate, exact percentages,
   deterministic top-k.
 * :mod:`loglens.operators` — the named analyses (``DataFrame -> DataFrame``).
-* :mod:`loglens.plans`     — SQL views, the query catalog and its SQL oracle.
+* :mod:`loglens.plans`     — SQL views, the whole report (one by one or from
+  one grouping-sets scan), the query catalog and its SQL oracle.
 * :mod:`loglens.streaming` — incremental landing of new log files.
 """
 
