@@ -49,3 +49,7 @@ def test_cube_is_one_scan_with_partial_aggregation(spark):
 def test_one_scan_equals_direct_on_random_rows(spark, rows):
     logs = make_logs(spark, [{**r, "timestamp": r["ts"].isoformat() + "Z"} for r in rows])
     _assert_same(derive(report_cube(logs)), logs)
+
+
+def test_one_scan_on_empty_input(spark):
+    _assert_same(derive(report_cube(make_logs(spark, []))), make_logs(spark, []))
