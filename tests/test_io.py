@@ -147,3 +147,23 @@ def test_report_saves_every_analysis(spark):
     assert set(status) == set(results) and all(v == "ok" for v in status.values())
     back = read_result_csv(spark, f"{base}/server_performance", RESULT_SCHEMAS["server_performance"])
     assert back.collect() == results["server_performance"].collect()
+
+
+def test_reads_an_existing_date_partitioned_json_layout(spark, tmp_path):
+    import json
+
+    days = {
+        "2024-03-01": ["2024-03-01T00:15:00Z", "2024-03-01T23:59:59.999999Z"],
+        "2024-03-02": ["2024-03-02T12:00:00.500000Z"],
+    }
+    for day, stamps in days.items():
+        folder = tmp_path / f"date={day}"
+        folder.mkdir()
+        lines = [json.dumps({"timestamp": t, "level": "INFO", "endpoint": "/home", "status_code": 200}) for t in stamps]
+        (folder / f"logs_{day}.json").write_text("\n".join(lines) + "\n")
+    logs = read_partitioned_logs(spark, str(tmp_path))
+    assert logs.count() == 3
+    one_day = read_partitioned_logs(spark, str(tmp_path), dates=["2024-03-02"])
+    assert [r["timestamp"].microsecond for r in one_day.collect()] == [500000]
+    daily = {r["date"].isoformat(): r["requests"] for r in ops.daily_traffic(logs).collect()}
+    assert daily == {"2024-03-01": 2, "2024-03-02": 1}
