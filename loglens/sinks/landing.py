@@ -59,20 +59,22 @@ def land_lines(lines: DataFrame, path: str, column: str = "value") -> str:
     return path
 
 
-def save_result_csv(result: DataFrame, path: str, single_file: bool = False) -> str:
+def save_result_csv(result: DataFrame, path: str, single_file: bool = False, null_value: str | None = None) -> str:
     """Write a result as CSV with a header, replacing ``path``.
 
     ``single_file`` writes one file from one task (the row order of a sorted
     result is kept); ask for it only for bounded results such as a top-k or a
     per-hour table, never for a result that grows with the input.
+
+    By default NULL is written as an empty field, as most CSV readers expect;
+    read back, an empty string then also becomes NULL. Pass a marker such as
+    ``null_value="\\N"`` (to both this and the reader) to keep the two apart.
     """
     out = result.coalesce(1) if single_file else result
-    (
-        out.write.mode("overwrite")
-        .option("header", True)
-        .option("timestampNTZFormat", CSV_TIMESTAMP_NTZ)
-        .csv(path)
-    )
+    writer = out.write.mode("overwrite").option("header", True).option("timestampNTZFormat", CSV_TIMESTAMP_NTZ)
+    if null_value is not None:
+        writer = writer.option("nullValue", null_value)
+    writer.csv(path)
     return path
 
 

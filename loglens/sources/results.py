@@ -12,14 +12,15 @@ from pyspark.sql.types import StructType
 from ..sinks.landing import CSV_TIMESTAMP_NTZ
 
 
-def read_result_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A saved CSV result, typed by its result schema (never inferred)."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("timestampNTZFormat", CSV_TIMESTAMP_NTZ)
-        .csv(path)
-    )
+def read_result_csv(spark: SparkSession, path: str, schema: StructType, null_value: str | None = None) -> DataFrame:
+    """A saved CSV result, typed by its result schema (never inferred).
+
+    ``null_value`` must match the one the result was saved with.
+    """
+    reader = spark.read.schema(schema).option("header", True).option("timestampNTZFormat", CSV_TIMESTAMP_NTZ)
+    if null_value is not None:
+        reader = reader.option("nullValue", null_value)
+    return reader.csv(path)
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:

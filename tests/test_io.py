@@ -167,3 +167,25 @@ def test_reads_an_existing_date_partitioned_json_layout(spark, tmp_path):
     assert [r["timestamp"].microsecond for r in one_day.collect()] == [500000]
     daily = {r["date"].isoformat(): r["requests"] for r in ops.daily_traffic(logs).collect()}
     assert daily == {"2024-03-01": 2, "2024-03-02": 1}
+
+
+def test_csv_round_trip_keeps_quotes_commas_empty_and_null(spark):
+    import datetime as dt
+
+    from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
+
+    schema = StructType(
+        [StructField("agent", StringType()), StructField("n", LongType()), StructField("at", TimestampNTZType())]
+    )
+    rows = [
+        ('Mozilla/5.0 (X11; Linux x86_64), "quoted"', 1, dt.datetime(2024, 1, 1, 0, 0, 0, 1)),
+        ("", 2, None),
+        (None, None, dt.datetime(2024, 1, 1)),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    path = save_result_csv(df, fresh_path(spark, "csv-edge"), single_file=True, null_value="\\N")
+    back = read_result_csv(spark, path, schema, null_value="\\N")
+    assert sorted(back.collect(), key=repr) == sorted(df.collect(), key=repr)
+    # with plain CSV (no marker) an empty string reads back as NULL
+    plain = save_result_csv(df, fresh_path(spark, "csv-edge"), single_file=True)
+    assert sorted(r["n"] for r in read_result_csv(spark, plain, schema).collect() if r["agent"] is None and r["n"]) == [2]
