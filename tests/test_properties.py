@@ -89,3 +89,26 @@ def test_analyses_equal_sql_on_random_rows(spark, group, rows):
     for key in group:
         ok, msg = compare(ANALYSES[key](logs), con, ORACLE[key], exact=True)
         assert ok, f"{key}: {msg}\nrows={rows}"
+
+
+def test_hot_key_holding_a_third_of_all_rows(spark):
+    hot = [
+        {"ts": TIMES[i % len(TIMES)], "level": "INFO", "server": "w1", "ip_address": "10.0.0.9", "method": "GET",
+         "endpoint": "/hot", "status_code": 500 if i % 3 == 0 else 200, "response_time": i, "user_id": "bot",
+         "session_id": "s-bot"}
+        for i in range(100)
+    ]
+    rest = [
+        {"ts": TIMES[i % len(TIMES)], "level": ["INFO", "ERROR", None][i % 3], "server": ["w1", "w2", None][i % 3],
+         "ip_address": f"10.0.1.{i % 17}", "method": ["GET", "POST", None][i % 3], "endpoint": f"/e{i % 11}",
+         "status_code": [200, 404, 503, None][i % 4], "response_time": (i * 37) % 900, "user_id": f"u{i % 23}",
+         "session_id": f"s{i % 41}"}
+        for i in range(200)
+    ]
+    rows = hot + rest
+    con = _duck([{**r, "timestamp": r["ts"]} for r in rows])
+    logs = make_logs(spark, [{**r, "timestamp": r["ts"].isoformat() + "Z"} for r in rows])
+    for key in ["user_activity", "session_patterns", "top_endpoints", "ip_frequency", "kpi_summary",
+                "error_patterns_fallback", "server_activity", "pattern_statistics"]:
+        ok, msg = compare(ANALYSES[key](logs), con, ORACLE[key], exact=True)
+        assert ok, f"{key}: {msg}"
