@@ -20,9 +20,17 @@ def to_raw(logs: DataFrame) -> DataFrame:
     return logs.withColumn("timestamp", F.date_format("timestamp", TIMESTAMP_TEXT))
 
 
-def land_raw(logs: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Write typed logs as JSON Lines under ``path`` (one file per task)."""
-    to_raw(logs).write.mode(mode).json(path)
+def land_raw(logs: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None) -> str:
+    """Write typed logs as JSON Lines under ``path`` (one file per task).
+
+    Uncompressed by default: a reader can split large files across tasks.
+    ``compression`` (e.g. ``"gzip"``) makes smaller files that are each read
+    by a single task; ``"bzip2"`` stays splittable.
+    """
+    writer = to_raw(logs).write.mode(mode)
+    if compression:
+        writer = writer.option("compression", compression)
+    writer.json(path)
     return path
 
 

@@ -42,6 +42,13 @@ def test_json_round_trip_keeps_every_row_and_microsecond(spark):
     assert same_rows(logs, back)
 
 
+def test_compressed_landing_reads_back(spark):
+    logs = load_logs(spark, SF_SMALL)
+    path = land_raw(logs, fresh_path(spark, "gz"), compression="gzip")
+    assert all(r["path"].endswith(".json.gz") for r in file_inventory(spark, path).collect())
+    assert same_rows(logs, read_json_logs(spark, path, RAW_WITH_ID))
+
+
 def test_partitioned_round_trip_clustered(spark):
     logs = load_logs(spark, SF_SMALL)
     base = land_partitioned(logs, fresh_path(spark, "part"), cluster=True, max_records_per_file=100)
