@@ -44,7 +44,7 @@ def test_cube_is_one_scan_with_partial_aggregation(spark):
     assert "Expand" in plan and "partial_count" in plan
 
 
-@settings(max_examples=3, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=2, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=st.lists(row, min_size=0, max_size=40))
 def test_one_scan_equals_direct_on_random_rows(spark, rows):
     logs = make_logs(spark, [{**r, "timestamp": r["ts"].isoformat() + "Z"} for r in rows])
