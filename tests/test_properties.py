@@ -112,3 +112,26 @@ def test_hot_key_holding_a_third_of_all_rows(spark):
                 "error_patterns_fallback", "server_activity", "pattern_statistics"]:
         ok, msg = compare(ANALYSES[key](logs), con, ORACLE[key], exact=True)
         assert ok, f"{key}: {msg}"
+
+
+text_row = st.fixed_dictionaries(
+    {
+        "ts": st.datetimes(min_value=dt.datetime(2000, 1, 1), max_value=dt.datetime(2100, 1, 1)),
+        "endpoint": st.one_of(st.none(), st.text(max_size=12)),
+        "user_agent": st.one_of(st.none(), st.text(max_size=20)),
+        "status_code": st.one_of(st.none(), st.integers(-(2**40), 2**40)),
+    }
+)
+
+
+@settings(max_examples=3, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(text_row, min_size=1, max_size=25))
+def test_json_landing_round_trips_any_text(spark, rows):
+    from loglens.schema import RAW_SCHEMA
+    from loglens.session import fresh_path
+    from loglens.sinks.landing import land_raw
+    from loglens.sources.json_logs import read_json_logs
+
+    logs = make_logs(spark, [{**r, "timestamp": r["ts"].isoformat() + "Z"} for r in rows])
+    back = read_json_logs(spark, land_raw(logs, fresh_path(spark, "prop-json")), RAW_SCHEMA)
+    assert logs.exceptAll(back).count() == 0 and back.exceptAll(logs).count() == 0
