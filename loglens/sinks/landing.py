@@ -79,7 +79,14 @@ def save_result_csv(result: DataFrame, path: str, single_file: bool = False, nul
     ``null_value="\\N"`` (to both this and the reader) to keep the two apart.
     """
     out = result.coalesce(1) if single_file else result
-    writer = out.write.mode("overwrite").option("header", True).option("timestampNTZFormat", CSV_TIMESTAMP_NTZ)
+    writer = (
+        out.write.mode("overwrite")
+        .option("header", True)
+        .option("timestampNTZFormat", CSV_TIMESTAMP_NTZ)
+        # keep values as they are (the writer trims surrounding blanks by default)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+    )
     if null_value is not None:
         writer = writer.option("nullValue", null_value)
     writer.csv(path)

@@ -15,9 +15,16 @@ from ..sinks.landing import CSV_TIMESTAMP_NTZ
 def read_result_csv(spark: SparkSession, path: str, schema: StructType, null_value: str | None = None) -> DataFrame:
     """A saved CSV result, typed by its result schema (never inferred).
 
-    ``null_value`` must match the one the result was saved with.
+    ``null_value`` must match the one the result was saved with. Quoted fields
+    may contain line breaks, so each file is parsed whole (``multiLine``) by
+    one task; a large result is saved as many part files, read in parallel.
     """
-    reader = spark.read.schema(schema).option("header", True).option("timestampNTZFormat", CSV_TIMESTAMP_NTZ)
+    reader = (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("multiLine", True)
+        .option("timestampNTZFormat", CSV_TIMESTAMP_NTZ)
+    )
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
     return reader.csv(path)

@@ -188,6 +188,9 @@ def test_csv_round_trip_keeps_quotes_commas_empty_and_null(spark):
         ('Mozilla/5.0 (X11; Linux x86_64), "quoted"', 1, dt.datetime(2024, 1, 1, 0, 0, 0, 1)),
         ("", 2, None),
         (None, None, dt.datetime(2024, 1, 1)),
+        ("two\nlines", 3, None),
+        (" padded ", 4, None),
+        ("\r\n", 5, None),
     ]
     df = spark.createDataFrame(rows, schema)
     path = save_result_csv(df, fresh_path(spark, "csv-edge"), single_file=True, null_value="\\N")

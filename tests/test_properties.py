@@ -135,3 +135,23 @@ def test_json_landing_round_trips_any_text(spark, rows):
     logs = make_logs(spark, [{**r, "timestamp": r["ts"].isoformat() + "Z"} for r in rows])
     back = read_json_logs(spark, land_raw(logs, fresh_path(spark, "prop-json")), RAW_SCHEMA)
     assert logs.exceptAll(back).count() == 0 and back.exceptAll(logs).count() == 0
+
+
+@settings(max_examples=2, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(text_row, min_size=1, max_size=8))
+def test_partitioned_and_csv_sinks_round_trip(spark, rows):
+    from pyspark.sql import functions as F
+
+    from loglens.schema import LOG_SCHEMA, RAW_SCHEMA
+    from loglens.session import fresh_path
+    from loglens.sinks.landing import land_partitioned, save_result_csv
+    from loglens.sources.json_logs import read_partitioned_logs
+    from loglens.sources.results import read_result_csv
+
+    logs = make_logs(spark, [{**r, "timestamp": r["ts"].isoformat() + "Z"} for r in rows])
+    parted = read_partitioned_logs(spark, land_partitioned(logs, fresh_path(spark, "prop-part"), cluster=True), schema=RAW_SCHEMA)
+    dated = logs.withColumn("date", F.to_date("timestamp"))
+    assert dated.exceptAll(parted).count() == 0 and parted.exceptAll(dated).count() == 0
+    path = save_result_csv(logs, fresh_path(spark, "prop-csv"), null_value="\\N")
+    back = read_result_csv(spark, path, LOG_SCHEMA, null_value="\\N")
+    assert logs.exceptAll(back).count() == 0 and back.exceptAll(logs).count() == 0
