@@ -1,10 +1,16 @@
-"""All named analyses at once, and saving them as a set of CSV results."""
+"""All named analyses at once, saving them as a set of CSV results, and the
+whole flow from raw log files to saved results."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ..sinks.landing import save_results
+from ..sources.json_logs import read_json_logs, read_partitioned_logs
+from ..sources.log_table import materialize
+from .one_scan import analyze_in_one_scan
 from .views import ANALYSIS_VIEWS
 
 # Results whose size is bounded by a top-k or a small key domain (levels,
@@ -26,6 +32,15 @@ BOUNDED_RESULTS = frozenset(
         "pattern_statistics",
         "server_activity",
         "kpi_summary",
+        "level_counts",
+        "error_count",
+        "unique_endpoints",
+        "distinct_endpoints",
+        "simple_count",
+        "server_requests_avg",
+        "server_key_counts",
+        "hour_counts",
+        "endpoint_method_top20",
     }
 )
 
@@ -43,3 +58,24 @@ def analyze(logs: DataFrame) -> dict[str, DataFrame]:
 def save_report(results: dict[str, DataFrame], base: str) -> dict[str, str]:
     """Save ``results`` under ``base/<name>`` as CSV; returns the status of each."""
     return save_results(results, base, single_file=BOUNDED_RESULTS & set(results))
+
+
+def run_report(
+    spark: SparkSession,
+    source: str,
+    out_base: str,
+    partitioned: bool = False,
+    dates: Iterable[str] | None = None,
+) -> dict[str, str]:
+    """Load logs, parse them once, compute the whole report, save every result.
+
+    ``source`` is a JSON Lines path or glob, or with ``partitioned`` the base
+    of a ``date=`` layout (optionally pruned to ``dates``). The typed records
+    are written once as a Parquet table in the shared folder; the small-domain
+    results come from one grouping-sets scan of it
+    (:func:`~loglens.plans.one_scan.analyze_in_one_scan`). Returns the save
+    status of each result under ``out_base/<name>``.
+    """
+    raw = read_partitioned_logs(spark, source, dates) if partitioned else read_json_logs(spark, source)
+    table = materialize(spark, raw, "logs")
+    return save_report(analyze_in_one_scan(spark, table), out_base)

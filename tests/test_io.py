@@ -199,3 +199,15 @@ def test_csv_round_trip_keeps_quotes_commas_empty_and_null(spark):
     # with plain CSV (no marker) an empty string reads back as NULL
     plain = save_result_csv(df, fresh_path(spark, "csv-edge"), single_file=True)
     assert sorted(r["n"] for r in read_result_csv(spark, plain, schema).collect() if r["agent"] is None and r["n"]) == [2]
+
+
+def test_run_report_from_raw_json(spark):
+    from loglens.plans.report import run_report
+
+    logs = load_logs(spark, SF_SMALL)
+    raw = land_raw(logs, fresh_path(spark, "raw-report"))
+    out = fresh_path(spark, "report-out")
+    status = run_report(spark, raw, out)
+    assert len(status) == 24 and all(v == "ok" for v in status.values())
+    back = read_result_csv(spark, f"{out}/hourly_traffic", RESULT_SCHEMAS["hourly_traffic"])
+    assert back.collect() == ops.hourly_traffic(logs).collect()
