@@ -52,6 +52,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # the top-k reports broadcast only k rows, but computing them includes the
+    # final ranking stage over every user or session, which at 100 TB can run
+    # longer than the default 300 s broadcast timeout
+    "spark.sql.broadcastTimeout": "3600",
 }
 
 

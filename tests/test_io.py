@@ -26,6 +26,7 @@ def test_cluster_conf_sizes_partitions_from_input():
     big = cluster_conf(100 * 1024**4)
     assert int(big["spark.sql.shuffle.partitions"]) == 40960
     assert big["spark.sql.adaptive.enabled"] == "true"
+    assert big["spark.sql.broadcastTimeout"] == "3600"
     assert int(cluster_conf(10 * 1024**2)["spark.sql.shuffle.partitions"]) == 200
 
 
