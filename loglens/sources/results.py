@@ -36,7 +36,9 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     Uses the binary-file source with only metadata columns selected, so file
     contents are never read; the listing itself runs distributed for large
     directory trees. Hidden and ``_``-prefixed files (checksums, markers) are
-    skipped, as by every Spark reader.
+    skipped, as by every Spark reader. As for any Spark file scan, the list of
+    files is held by the driver; for trees of many millions of files, list
+    one zone or date directory at a time.
     """
     return (
         spark.read.format("binaryFile")
