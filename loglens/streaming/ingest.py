@@ -22,12 +22,23 @@ from ..sources.json_logs import PARTITION_COLUMN, to_typed
 
 
 def typed_log_stream(
-    spark: SparkSession, raw_dir: str, schema: StructType = RAW_SCHEMA, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    raw_dir: str,
+    schema: StructType = RAW_SCHEMA,
+    max_files_per_trigger: int | None = None,
+    archive_dir: str | None = None,
 ) -> DataFrame:
-    """Streaming frame of typed log rows from JSON Lines files under ``raw_dir``."""
+    """Streaming frame of typed log rows from JSON Lines files under ``raw_dir``.
+
+    With ``archive_dir``, files are moved there once their batch is committed
+    (those of a run's last batch at the next run), so the raw zone, listed on
+    every run, holds few files besides the ones not yet ingested.
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     stream = to_typed(reader.json(raw_dir))
     return stream.withColumn(PARTITION_COLUMN, F.to_date("timestamp"))
 
@@ -40,14 +51,18 @@ def ingest(
     schema: StructType = RAW_SCHEMA,
     max_files_per_trigger: int | None = None,
     wait: bool = True,
+    archive_dir: str | None = None,
 ) -> StreamingQuery:
     """Append the not yet ingested files of ``raw_dir`` to the Parquet table at ``table_dir``.
 
     ``checkpoint_dir`` must be on shared storage and stay with the table; it
-    records which files are done. Returns the (finished, when ``wait``) query.
+    records which files are done. ``max_files_per_trigger`` splits a large
+    backlog into bounded batches; ``archive_dir`` (outside ``raw_dir``) moves
+    ingested files away so later runs list only new ones. Returns the
+    (finished, when ``wait``) query.
     """
     query = (
-        typed_log_stream(spark, raw_dir, schema, max_files_per_trigger)
+        typed_log_stream(spark, raw_dir, schema, max_files_per_trigger, archive_dir)
         .writeStream.format("parquet")
         .option("checkpointLocation", checkpoint_dir)
         .partitionBy(PARTITION_COLUMN)

@@ -212,3 +212,15 @@ def test_run_report_from_raw_json(spark):
     assert len(status) == 24 and all(v == "ok" for v in status.values())
     back = read_result_csv(spark, f"{out}/hourly_traffic", RESULT_SCHEMAS["hourly_traffic"])
     assert back.collect() == ops.hourly_traffic(logs).collect()
+
+
+def test_ingest_archives_ingested_files(spark):
+    from loglens.streaming.ingest import ingest, read_ingested
+
+    logs = load_logs(spark, SF_SMALL)
+    base = fresh_path(spark, "stream-archive")
+    land_raw(logs.repartition(3), f"{base}/raw/drop")  # three files, one batch each
+    ingest(spark, f"{base}/raw/*", f"{base}/table", f"{base}/_ckpt", schema=RAW_WITH_ID,
+           max_files_per_trigger=1, archive_dir=f"{base}/archive")
+    assert read_ingested(spark, f"{base}/table").count() == logs.count()
+    assert file_inventory(spark, f"{base}/archive").count() > 0
