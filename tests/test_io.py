@@ -224,3 +224,16 @@ def test_ingest_archives_ingested_files(spark):
            max_files_per_trigger=1, archive_dir=f"{base}/archive")
     assert read_ingested(spark, f"{base}/table").count() == logs.count()
     assert file_inventory(spark, f"{base}/archive").count() > 0
+
+
+def test_run_report_from_a_partitioned_layout_for_one_day(spark):
+    from loglens.plans.report import run_report
+
+    logs = load_logs(spark, SF_SMALL)
+    base = land_partitioned(logs, fresh_path(spark, "part-report"))
+    out = fresh_path(spark, "part-report-out")
+    status = run_report(spark, base, out, partitioned=True, dates=["2024-01-10"])
+    assert all(v == "ok" for v in status.values())
+    schema = spark.read.schema("count BIGINT").option("header", True).csv(f"{out}/simple_count")
+    want = logs.filter(F.to_date("timestamp") == F.lit("2024-01-10").cast("date")).count()
+    assert schema.collect()[0]["count"] == want
