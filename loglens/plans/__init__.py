@@ -1 +1,16 @@
-"""Query catalog, SQL views and the independent SQL oracle."""
+"""Query catalog, SQL views, the whole report, and the independent SQL oracle."""
+
+from .one_scan import analyze_in_one_scan, analyze_one_by_one, report_cube
+from .report import analyze, run_report, save_report
+from .views import register_analyses, register_views
+
+__all__ = [
+    "analyze",
+    "analyze_in_one_scan",
+    "analyze_one_by_one",
+    "register_analyses",
+    "register_views",
+    "report_cube",
+    "run_report",
+    "save_report",
+]

@@ -1 +1,5 @@
 """Incremental processing of newly landed log files."""
+
+from .ingest import ingest, read_ingested, typed_log_stream
+
+__all__ = ["ingest", "read_ingested", "typed_log_stream"]
