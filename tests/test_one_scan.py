@@ -53,3 +53,14 @@ def test_one_scan_equals_direct_on_random_rows(spark, rows):
 
 def test_one_scan_on_empty_input(spark):
     _assert_same(derive(report_cube(make_logs(spark, []))), make_logs(spark, []))
+
+
+def test_one_scan_report_matches_the_sql_oracle(spark, duck):
+    from loglens.plans.oracle import oracle_queries
+    from tests.oracle_compare import compare
+
+    oracle = oracle_queries()
+    same_as = {"endpoint_method_pairs": "support_pass_through", "error_patterns": "error_patterns_fallback"}
+    for name, df in analyze_in_one_scan(spark, log_table(spark, SF_SMALL)).items():
+        ok, msg = compare(df, duck, oracle[same_as.get(name, name)], exact=True)
+        assert ok, f"{name}: {msg}"
