@@ -21,19 +21,20 @@ _TABLES: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """``df`` over at least as many partitions as the cluster has cores.
+    """``df`` spread over the cluster's cores when it would leave most of them idle.
 
-    A small input stored as one unsplittable file is read by a single task;
-    spreading it round-robin lets the per-row work after it run on every
-    core. An input that already has enough partitions is returned as is, so
-    a large input is never shuffled for this.
+    A small input stored as one or a few unsplittable files is read by that
+    many tasks; spreading it round-robin lets the per-row work after it run
+    on every core. An input with at least a quarter as many partitions as
+    there are cores is returned as is: for it a full shuffle would cost more
+    than the idle cores, and a large input is never shuffled for this.
     """
     try:
         cores = spark.sparkContext.defaultParallelism
         partitions = df.rdd.getNumPartitions()
     except Exception:  # no SparkContext / RDD access: leave the input as it is
         return df
-    return df if partitions >= cores else df.repartition(cores)
+    return df if partitions * 4 > cores else df.repartition(cores)
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str, order_by: str | None = "timestamp") -> DataFrame:

@@ -237,3 +237,13 @@ def test_run_report_from_a_partitioned_layout_for_one_day(spark):
     schema = spark.read.schema("count BIGINT").option("header", True).csv(f"{out}/simple_count")
     want = logs.filter(F.to_date("timestamp") == F.lit("2024-01-10").cast("date")).count()
     assert schema.collect()[0]["count"] == want
+
+
+def test_spread_only_inputs_that_leave_most_cores_idle(spark):
+    from loglens.sources.log_table import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    assert spread(spark, one).rdd.getNumPartitions() == cores
+    enough = spark.range(100).repartition(max(1, cores // 4 + 1))
+    assert spread(spark, enough).rdd.getNumPartitions() == enough.rdd.getNumPartitions()
