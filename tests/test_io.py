@@ -247,3 +247,21 @@ def test_spread_only_inputs_that_leave_most_cores_idle(spark):
     assert spread(spark, one).rdd.getNumPartitions() == cores
     enough = spark.range(100).repartition(max(1, cores // 4 + 1))
     assert spread(spark, enough).rdd.getNumPartitions() == enough.rdd.getNumPartitions()
+
+
+def test_cluster_settings_apply_to_a_running_session(spark):
+    from loglens.session import cluster_conf, configure
+    from loglens.sources.log_table import log_table
+
+    conf = cluster_conf(100 * 1024**4)
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        configure(spark, input_bytes=100 * 1024**4)
+        assert all(spark.conf.get(k) == v for k, v in conf.items())
+        assert ops.level_counts(log_table(spark, SF_SMALL)).count() > 0
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
