@@ -155,3 +155,26 @@ def test_partitioned_and_csv_sinks_round_trip(spark, rows):
     path = save_result_csv(logs, fresh_path(spark, "prop-csv"), null_value="\\N")
     back = read_result_csv(spark, path, LOG_SCHEMA, null_value="\\N")
     assert logs.exceptAll(back).count() == 0 and back.exceptAll(logs).count() == 0
+
+
+@settings(max_examples=3, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    items=st.lists(
+        st.tuples(st.datetimes(min_value=dt.datetime(2001, 1, 1), max_value=dt.datetime(2090, 1, 1)), st.integers(-48, 56)),
+        min_size=1,
+        max_size=30,
+    ),
+    zone=st.sampled_from(["UTC", "America/New_York", "Asia/Kolkata"]),
+)
+def test_zone_aware_parsing_matches_python(spark, items, zone):
+    from loglens.sources.json_logs import parse_timestamp
+
+    texts = [(wall.replace(tzinfo=dt.timezone(dt.timedelta(minutes=15 * q))).isoformat(),) for wall, q in items]
+    want = [wall - dt.timedelta(minutes=15 * q) for wall, q in items]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = [r[0] for r in spark.createDataFrame(texts, "t string").select(parse_timestamp("t", zone_aware=True)).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == want
