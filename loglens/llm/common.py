@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..session import fresh_path
+from ..session import fresh_path, session_key
 
 # A word: a maximal run of characters other than ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -13,6 +19,25 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers (once per application), for
+    clusters on which it is not installed."""
+    if session_key(spark) not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        name = __name__.split(".")[0]
+        spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), name), "zip", root, name))
+        _shipped.add(session_key(spark))
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

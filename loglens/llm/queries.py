@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing
+from ..session import fresh_path
+from . import mixing, tokens_binary
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,8 +27,28 @@ def op1_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken, "rate", "copies")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """The place of a public tokenizer file (the same on driver and executors)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+END_ID = 2
+
+
+def op6_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as coded token blocks and read back: place, count and checksum of their ids."""
+    path = tokens_binary.write_tokens(
+        spark, table(spark, sf_dir, "documents"), fresh_path(spark, "token-file"), tokenizer_path(), END_ID
+    )
+    read = tokens_binary.read_tokens(spark, path)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_entropy_mix": op1_entropy_mix,
+    "op6_rans_tokens": op6_rans_tokens,
 }
 
 ORACLE_SQL: dict[str, str] = {}
