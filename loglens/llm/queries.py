@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import mixing, tokens_binary
-from .common import table
+from . import mixing, quality, tokens_binary
+from .common import save, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,52 @@ def op1_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken, "rate", "copies")
 
 
+def op2_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules per document and the verdict of its source as host."""
+    found = quality.features(table(spark, sf_dir, "documents"), F.col("source"))
+    judged = quality.judge(save(spark, found, "quality"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce('s' || source, 'n') AS host, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT doc_id, host, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM d
+), g AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS gram
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)
+), r AS (
+  SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS c FROM g) WHERE c >= 2
+), covered AS (
+  SELECT doc_id, count(DISTINCT i + j) AS n FROM r, (SELECT unnest(range(0, 5)) AS j) GROUP BY doc_id
+), base AS (
+  SELECT doc_id, host, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN covered USING (doc_id)
+), judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base
+), hosts AS (
+  SELECT host, count(*) AS docs, count(*) FILTER (base_failed) AS failures FROM judged GROUP BY host
+), prior AS (
+  SELECT m, CASE WHEN v > 0 THEN greatest(1.0, m * (1 - m) / v - 1) ELSE 0.0 END AS s
+  FROM (SELECT avg(failures / docs) AS m, var_pop(failures / docs) AS v FROM hosts)
+), verdicts AS (
+  SELECT host, (failures + m * s) / (docs + s) >= 0.5 AS rejected FROM hosts, prior
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT rejected AS kept
+FROM judged JOIN verdicts USING (host)
+"""
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     """The place of a public tokenizer file (the same on driver and executors)."""
     import public_tokenizers
@@ -48,7 +94,10 @@ def op6_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_entropy_mix": op1_entropy_mix,
+    "op2_host_rules": op2_host_rules,
     "op6_rans_tokens": op6_rans_tokens,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_host_rules": OP2_SQL,
+}
