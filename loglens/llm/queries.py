@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import mixing, quality, tokens_binary
+from . import chunks, mixing, quality, token_counts, tokens_binary
 from .common import save, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,10 +92,32 @@ def op6_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without their repeated chunks: bytes removed, removed spans and the rest's checksum."""
+    out = chunks.dedup_chunks(spark, table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2(F.coalesce("kept", F.lit("").cast("binary")), 256).alias("kept_sha256"),
+    )
+
+
+def op10_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every sentence of all documents, each document encoded once as a whole."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.section_tokens(docs, tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Query] = {
     "op1_entropy_mix": op1_entropy_mix,
     "op2_host_rules": op2_host_rules,
     "op6_rans_tokens": op6_rans_tokens,
+    "op8_gear_chunks": op8_gear_chunks,
+    "op10_section_tokens": op10_section_tokens,
 }
 
 ORACLE_SQL: dict[str, str] = {
