@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import chunks, mixing, quality, token_counts, tokens_binary
+from . import chunks, decontam, mixing, quality, token_counts, tokens_binary
 from .common import save, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,50 @@ FROM judged JOIN verdicts USING (host)
 """
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in all documents: words hit, items found."""
+    found = decontam.contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+OP3_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, k, array_to_string(ws[i:i + k - 1], ' ') AS w
+  FROM (SELECT item_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+        FROM (SELECT *, least(len(ws), 10) AS k FROM b WHERE len(ws) > 0))
+), lens AS (
+  SELECT DISTINCT k FROM win
+), g AS (
+  SELECT doc_id, k, i, array_to_string(ws[i:i + k - 1], ' ') AS w
+  FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM d, lens WHERE len(ws) >= k)
+), hits AS (
+  SELECT doc_id, g.k AS k, i, item_id FROM g JOIN win ON g.w = win.w AND g.k = win.k
+), words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS l
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     """The place of a public tokenizer file (the same on driver and executors)."""
     import public_tokenizers
@@ -115,6 +159,7 @@ def op10_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_entropy_mix": op1_entropy_mix,
     "op2_host_rules": op2_host_rules,
+    "op3_decontaminate": op3_decontaminate,
     "op6_rans_tokens": op6_rans_tokens,
     "op8_gear_chunks": op8_gear_chunks,
     "op10_section_tokens": op10_section_tokens,
@@ -122,4 +167,5 @@ QUERIES: dict[str, Query] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_host_rules": OP2_SQL,
+    "op3_decontaminate": OP3_SQL,
 }
