@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import chunks, decontam, mixing, quality, token_counts, tokens_binary
+from . import chunks, decontam, mixing, quality, token_counts, tokens_binary, toxicity
 from .common import save, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,6 +117,20 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op4_mil_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Noisy-or toxicity of all documents, learnt from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(spark, docs, table(spark, sf_dir, "labels").filter(~toxicity.held_out()))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.size("offending").alias("n_offending"),
+    )
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     """The place of a public tokenizer file (the same on driver and executors)."""
     import public_tokenizers
@@ -160,6 +174,7 @@ QUERIES: dict[str, Query] = {
     "op1_entropy_mix": op1_entropy_mix,
     "op2_host_rules": op2_host_rules,
     "op3_decontaminate": op3_decontaminate,
+    "op4_mil_toxicity": op4_mil_toxicity,
     "op6_rans_tokens": op6_rans_tokens,
     "op8_gear_chunks": op8_gear_chunks,
     "op10_section_tokens": op10_section_tokens,

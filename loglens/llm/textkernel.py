@@ -90,12 +90,12 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def word_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(buf: np.ndarray, off: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words (runs of non-blank bytes inside one text),
     and per text the place of its first word (``n + 1`` values)."""
     if not len(buf):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(off), np.int64)
-    word = ~BLANK[buf]
+    word = ~blank[buf]
     edge = np.zeros(len(buf) + 1, bool)
     edge[off] = True
     first = word.copy()
@@ -106,12 +106,12 @@ def word_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, off)
 
 
-def span_hashes(buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def span_hashes(buf: np.ndarray, starts: np.ndarray, blank: np.ndarray = BLANK) -> np.ndarray:
     """A 64-bit hash of the non-blank bytes from each start to the next one."""
     if not len(starts):
         return np.empty(0, U64)
     value = BYTE_VALUES[buf] * powers(len(buf))[: len(buf)]
-    value[BLANK[buf]] = 0
+    value[blank[buf]] = 0
     return splitmix(np.add.reduceat(value, starts) * powers(len(buf), True)[starts])
 
 
