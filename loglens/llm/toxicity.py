@@ -31,13 +31,13 @@ from pyspark.sql import types as T
 from .common import map_arrow, save
 from .textkernel import LOWER, runs, span_hashes, text_bytes, word_spans
 
-MAX_TOXIC = 4096
-MAX_OTHER = 8192
+MAX_TOXIC = 6144
+MAX_OTHER = 6144
 # Words that the classifier may use: the most telling ones of the sample.
 MAX_WORDS = 4096
 MIN_DOCS = 4
 STEPS = 400
-L1 = 0.002
+L1 = 1e-5
 THRESHOLD = 0.3
 
 # Words are runs of ASCII letters, digits and non-ASCII bytes.
@@ -113,7 +113,7 @@ def fit(words: list[tuple[np.ndarray, np.ndarray]], sentences: np.ndarray, label
         rest = np.bincount(owner, weights=_log_rest(z), minlength=len(words)) + plain * _log_rest(np.array(bias))
         q = np.exp(rest)
         pull = weight * np.where(label, -q / np.maximum(1 - q, 1e-9), 1.0)
-        p = 1 / (1 + np.exp(-z))
+        p = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
         dz = pull[owner] * p
         grad = np.append(np.bincount(col, weights=dz[row], minlength=len(best)), dz.sum() + (pull * plain).sum() / (1 + np.exp(-bias)))
         first = 0.9 * first + 0.1 * grad
@@ -122,7 +122,7 @@ def fit(words: list[tuple[np.ndarray, np.ndarray]], sentences: np.ndarray, label
         move = rate * first / (1 - 0.9**step)
         w = w - move[:-1]
         bias -= float(move[-1])
-        w = np.sign(w) * np.maximum(np.abs(w) - rate[:-1] * L1 / len(best) ** 0.5 * 0.1, 0)
+        w = np.sign(w) * np.maximum(np.abs(w) - rate[:-1] * L1, 0)
     return vocab[best][w != 0], w[w != 0], bias
 
 
