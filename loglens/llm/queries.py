@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import chunks, decontam, mixing, quality, token_counts, tokens_binary, toxicity
+from . import chunks, decontam, jaccard, mixing, quality, token_counts, tokens_binary, toxicity
 from .common import save, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,6 +162,12 @@ def op8_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose shingle sets are similar."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.similar_documents(spark, docs).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every sentence of all documents, each document encoded once as a whole."""
     import public_tokenizers
@@ -177,6 +183,7 @@ QUERIES: dict[str, Query] = {
     "op4_mil_toxicity": op4_mil_toxicity,
     "op6_rans_tokens": op6_rans_tokens,
     "op8_gear_chunks": op8_gear_chunks,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_section_tokens": op10_section_tokens,
 }
 
