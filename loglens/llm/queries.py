@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import chunks, decontam, jaccard, mixing, quality, token_counts, tokens_binary, toxicity
+from . import chunks, decontam, jaccard, mixing, quality, quotes, token_counts, tokens_binary, toxicity
 from .common import save, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,6 +150,11 @@ def op6_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations in reply order, without quotations."""
+    return quotes.reply_ordered(spark, table(spark, sf_dir, "conversations"))
+
+
 def op8_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without their repeated chunks: bytes removed, removed spans and the rest's checksum."""
     out = chunks.dedup_chunks(spark, table(spark, sf_dir, "documents"))
@@ -181,6 +186,7 @@ QUERIES: dict[str, Query] = {
     "op2_host_rules": op2_host_rules,
     "op3_decontaminate": op3_decontaminate,
     "op4_mil_toxicity": op4_mil_toxicity,
+    "op5_quote_linking": op5_quote_linking,
     "op6_rans_tokens": op6_rans_tokens,
     "op8_gear_chunks": op8_gear_chunks,
     "op9_jaccard_join": op9_jaccard_join,
