@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import chunks, decontam, jaccard, mixing, quality, quotes, token_counts, tokens_binary, toxicity
+from . import chunks, decontam, jaccard, mixing, quality, quotes, suffix_dedup, token_counts, tokens_binary, toxicity
 from .common import save, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,6 +155,11 @@ def op5_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.reply_ordered(spark, table(spark, sf_dir, "conversations"))
 
 
+def op7_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents that a smaller document holds in a string of 50 bytes, removed."""
+    return suffix_dedup.removal_digest(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without their repeated chunks: bytes removed, removed spans and the rest's checksum."""
     out = chunks.dedup_chunks(spark, table(spark, sf_dir, "documents"))
@@ -188,6 +193,7 @@ QUERIES: dict[str, Query] = {
     "op4_mil_toxicity": op4_mil_toxicity,
     "op5_quote_linking": op5_quote_linking,
     "op6_rans_tokens": op6_rans_tokens,
+    "op7_run_length_index": op7_run_length_index,
     "op8_gear_chunks": op8_gear_chunks,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_section_tokens": op10_section_tokens,
