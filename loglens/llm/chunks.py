@@ -119,9 +119,9 @@ def repeated_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """
     chunks = save(spark, chunk_table(docs), "chunks")
     where = F.struct("doc_id", "mark", "start")  # in this order; NULL comes first
-    firsts = (
-        chunks.groupBy("digest").agg(F.min(where).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    )
+    firsts = chunks.groupBy("digest").agg(F.min(where).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    # stored, so that both sides of the join are plain scans whose hot digests Spark can split
+    firsts = save(spark, firsts.drop("n"), "chunk-firsts")
     later = chunks.join(firsts, "digest").filter(~F.struct("doc_id", "mark", "start").eqNullSafe(F.col("first")))
     spans = later.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
     return spans
