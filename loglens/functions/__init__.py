@@ -4,6 +4,7 @@ from .columns import (
     ERROR_FROM,
     error_flag_count,
     is_error,
+    mean_of,
     percent,
     scalar_max,
     scalar_total,
@@ -15,6 +16,7 @@ __all__ = [
     "ERROR_FROM",
     "error_flag_count",
     "is_error",
+    "mean_of",
     "ordering",
     "percent",
     "scalar_max",

@@ -50,6 +50,11 @@ def percent(part: str | Column, whole: str | Column, scale: int = 2) -> Column:
     return F.round(quotient, scale).cast("double")
 
 
+def mean_of(total: Column, count: Column) -> Column:
+    """The mean from a BIGINT sum and a count (NULL without values), as ``AVG`` gives it."""
+    return F.try_divide(total.cast("double"), count.cast("double"))
+
+
 def scalar_total(grouped: DataFrame, measure: str) -> Column:
     """``(SELECT SUM(measure) FROM grouped)`` as a scalar-subquery column.
 

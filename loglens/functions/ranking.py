@@ -17,11 +17,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest k for which the k winning rows of a top-k are broadcast (k short
-# rows, at most a few MB); beyond it the single-pass plans are used.
-BROADCAST_TOP_K_LIMIT = 10_000
-
-
 def ordering(desc: Sequence[str] = (), asc: Sequence[str] = ()) -> list[Column]:
     """Sort columns: ``desc`` measures first, then ``asc`` tie-breakers (NULLs first)."""
     return [F.col(c).desc_nulls_last() for c in desc] + [F.col(c).asc_nulls_first() for c in asc]
@@ -41,11 +36,12 @@ def rows_of_top(rows: DataFrame, top: DataFrame, keys: Sequence[str]) -> DataFra
     """The rows of ``rows`` whose ``keys`` are among the top-k rows ``top``,
     with ``top``'s other columns attached.
 
-    ``top`` holds at most k rows (k <= :data:`BROADCAST_TOP_K_LIMIT`), so it is
-    broadcast and the join filters ``rows`` inside the scan stage, without a
-    shuffle. Keys match NULL-safely (a NULL key is a group of its own).
+    ``top`` holds at most k rows. Spark knows that size from the limit and
+    broadcasts them below its threshold, which filters ``rows`` inside the scan
+    stage; a larger k is joined by shuffle. Keys match NULL-safely (a NULL key is
+    a group of its own).
     """
     renamed = {k: f"_top_{k}" for k in keys}
     t = top.select(*[F.col(c).alias(renamed.get(c, c)) for c in top.columns])
     cond = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(renamed[k])) for k in keys])
-    return rows.join(F.broadcast(t), cond, "inner").drop(*renamed.values())
+    return rows.join(t, cond, "inner").drop(*renamed.values())

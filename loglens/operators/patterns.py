@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import ERROR_FROM, is_error, percent, scalar_max
+from ..functions.columns import ERROR_FROM, is_error, percent, scalar_max, scalar_total
 from ..functions.ranking import top_k
 
 
@@ -34,22 +34,19 @@ def supported(grouped: DataFrame, min_support: int, measure: str = "frequency",
     return grouped.filter(passes)
 
 
-def _pair_groups(logs: DataFrame) -> DataFrame:
-    return (
-        logs.filter(_not_null("endpoint", "method"))
-        .groupBy("endpoint", "method")
-        .agg(F.count("*").alias("frequency"))
-    )
-
-
 def endpoint_method_pairs(logs: DataFrame, min_support: int = 5, k: int = 10, fallback: bool = False) -> DataFrame:
     """``endpoint, method, frequency, percentage`` of frequent pairs, top ``k``.
 
     ``percentage`` is the share of all logs, including rows whose endpoint or
-    method is NULL.
+    method is NULL: all pairs are grouped, the total is taken from the groups
+    (one scan), and only then are pairs with a NULL, whose frequency is 0, left out.
     """
-    total = logs.agg(F.count("*").alias("n")).scalar()
-    groups = supported(_pair_groups(logs), min_support, fallback=fallback)
+    every = logs.groupBy("endpoint", "method").agg(
+        F.count("*").alias("n"), F.count_if(_not_null("endpoint", "method")).alias("frequency")
+    )
+    # all sides use both counts, so that they read the same shuffle
+    total = scalar_total(every.filter("n > 0 AND frequency >= 0"), "n")
+    groups = supported(every.filter("n > 0 AND frequency > 0"), min_support, fallback=fallback)
     result = groups.select("endpoint", "method", "frequency", percent("frequency", total).alias("percentage"))
     return top_k(result, k, desc=["frequency"], asc=["endpoint", "method"])
 
@@ -83,9 +80,13 @@ def pattern_statistics(logs: DataFrame) -> DataFrame:
     """``unique_endpoints, unique_methods, unique_combinations, unique_servers``.
 
     Over rows whose endpoint and method are both set. A combination is the
-    pair itself (two-column distinct), so no separator can merge two pairs.
+    pair itself (two-column distinct), so no separator can merge two pairs. The
+    rows are reduced to their different (endpoint, method, server) first, so the
+    distinct counts multiply groups, not rows.
     """
-    return logs.filter(_not_null("endpoint", "method")).agg(
+    groups = logs.filter(_not_null("endpoint", "method")).groupBy("endpoint", "method", "server")
+    # the count keeps Spark from dropping this step as redundant below distinct counts
+    return groups.agg(F.count("*").alias("n")).filter("n > 0").agg(
         F.count_distinct("endpoint").alias("unique_endpoints"),
         F.count_distinct("method").alias("unique_methods"),
         F.count_distinct("endpoint", "method").alias("unique_combinations"),
@@ -94,12 +95,17 @@ def pattern_statistics(logs: DataFrame) -> DataFrame:
 
 
 def server_activity(logs: DataFrame, k: int = 5) -> DataFrame:
-    """``server, requests, unique_endpoints, unique_methods`` for the ``k`` busiest servers."""
+    """``server, requests, unique_endpoints, unique_methods`` for the ``k`` busiest servers.
+
+    Counted per (server, endpoint, method) first, so the distinct counts
+    multiply groups, not rows.
+    """
+    groups = logs.filter(F.col("server").isNotNull()).groupBy("server", "endpoint", "method")
     per_server = (
-        logs.filter(F.col("server").isNotNull())
+        groups.agg(F.count("*").alias("n"))
         .groupBy("server")
         .agg(
-            F.count("*").alias("requests"),
+            F.sum("n").alias("requests"),
             F.count_distinct("endpoint").alias("unique_endpoints"),
             F.count_distinct("method").alias("unique_methods"),
         )

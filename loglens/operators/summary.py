@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import ERROR_FROM, error_flag_count, is_error, percent
+from ..functions.columns import ERROR_FROM, error_flag_count, is_error, mean_of, percent
 
 
 def error_count(logs: DataFrame, error_from: int = ERROR_FROM) -> DataFrame:
@@ -26,22 +26,30 @@ def kpi_summary(logs: DataFrame, error_from: int = ERROR_FROM) -> DataFrame:
     :func:`top_endpoints`) and ``slowest_server, slowest_server_avg_ms`` (first
     row of :func:`server_performance`).
 
-    The three grouping levels (by endpoint, by server, all rows) come from one
-    ``GROUPING SETS`` aggregate, i.e. one scan with a map-side partial step;
-    the final one-row aggregate over its small output picks the winners with
-    ``min_by`` under the same tie-break order as the top-k analyses.
+    The rows are grouped by (endpoint, server) in one scan; the three levels (by
+    endpoint, by server, all) come from one ``GROUPING SETS`` aggregate over those
+    groups, and a final one-row aggregate picks the winners with ``min_by`` under
+    the same tie-break order as the top-k analyses.
     """
-    sets = logs.groupingSets([["endpoint"], ["server"], []], "endpoint", "server").agg(
-        F.grouping_id().alias("gid"),
+    groups = logs.groupBy("endpoint", "server").agg(
         F.count("*").alias("n"),
         error_flag_count("status_code", error_from).alias("errors"),
-        F.round(F.avg("response_time"), 2).alias("avg_ms"),
+        F.sum("response_time").alias("rt_sum"),
+        F.count("response_time").alias("rt_count"),
+    )
+    sets = groups.groupingSets([["endpoint"], ["server"], []], "endpoint", "server").agg(
+        F.grouping_id().alias("gid"),
+        F.sum("n").alias("n"),
+        F.sum("errors").alias("errors"),
+        F.round(mean_of(F.sum("rt_sum"), F.sum("rt_count")), 2).alias("avg_ms"),
     )
     # grouping_id bits: 1 = by endpoint only, 2 = by server only, 3 = all rows
     return kpi_from_groups(sets, endpoint_gid=1, server_gid=2, overall_gid=3)
 
 
-def kpi_from_groups(groups: DataFrame, endpoint_gid: int, server_gid: int, overall_gid: int) -> DataFrame:
+def kpi_from_groups(
+    groups: DataFrame, endpoint_gid: int | str, server_gid: int | str, overall_gid: int | str
+) -> DataFrame:
     """The KPI row from per-endpoint, per-server and overall groups.
 
     ``groups`` has ``gid, endpoint, server, n, errors, avg_ms`` (the rounded

@@ -2,20 +2,20 @@
 
 Only the ranking measure (requests, page views) is needed for every user or
 session; the distinct counts are needed for the k winners alone. So each
-report runs in two passes:
+report runs in two passes, whatever k is:
 
 1. one single-level aggregate ranks all keys (map-side partial step, then a
    shuffle of one partial row per key and task) and ``TakeOrderedAndProject``
    keeps the k best;
-2. those k rows are broadcast (a size bound of k, checked against
-   :data:`~loglens.functions.ranking.BROADCAST_TOP_K_LIMIT`) and joined to
-   the rows inside the scan stage, so the distinct counts aggregate only the
-   winners' rows.
+2. those k rows are joined to the rows (Spark broadcasts them as long as their
+   size, known from the limit, is below its threshold), so the distinct counts
+   aggregate only the winners' rows.
 
 The exact distinct counts of the second pass are planned as two aggregation
 levels (first by key and value, then by key), each with a map-side partial
 step, so even a winner holding a third of all rows never lands whole in one
-task. Above the broadcast limit, one pass computes every measure for every key.
+task. The rows are scanned twice: run these over the columnar log table, not
+over raw JSON.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ranking import BROADCAST_TOP_K_LIMIT, rows_of_top, top_k
+from ..functions.ranking import rows_of_top, top_k
 
 USER_COLUMNS = ["user_id", "requests", "sessions", "unique_pages", "avg_response_time"]
 SESSION_COLUMNS = ["session_id", "user_id", "page_views", "unique_pages", "session_start", "session_end"]
@@ -35,8 +35,6 @@ def user_activity(logs: DataFrame, k: int = 15) -> DataFrame:
     ranking = [F.count("*").alias("requests"), F.round(F.avg("response_time"), 2).alias("avg_response_time")]
     distincts = [F.count_distinct("session_id").alias("sessions"), F.count_distinct("endpoint").alias("unique_pages")]
     order = {"desc": ["requests"], "asc": ["user_id"]}
-    if k > BROADCAST_TOP_K_LIMIT:
-        return top_k(users.groupBy("user_id").agg(*ranking, *distincts), k, **order).select(*USER_COLUMNS)
     top = top_k(users.groupBy("user_id").agg(*ranking), k, **order)
     detail = rows_of_top(users, top, ["user_id"]).groupBy(*top.columns).agg(*distincts)
     return top_k(detail, k, **order).select(*USER_COLUMNS)
@@ -57,8 +55,6 @@ def session_patterns(logs: DataFrame, k: int = 10) -> DataFrame:
     ]
     distinct = F.count_distinct("endpoint").alias("unique_pages")
     order = {"desc": ["page_views"], "asc": keys}
-    if k > BROADCAST_TOP_K_LIMIT:
-        return top_k(sessions.groupBy(*keys).agg(*ranking, distinct), k, **order).select(*SESSION_COLUMNS)
     top = top_k(sessions.groupBy(*keys).agg(*ranking), k, **order)
     detail = rows_of_top(sessions, top, keys).groupBy(*top.columns).agg(distinct)
     return top_k(detail, k, **order).select(*SESSION_COLUMNS)

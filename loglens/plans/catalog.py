@@ -8,6 +8,7 @@ written once per session; the landing queries start from the view itself.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,12 +19,16 @@ from .. import operators as ops
 from ..functions.columns import with_time_columns
 from ..schema import RAW_SCHEMA, RESULT_SCHEMAS, with_field
 from ..session import fresh_path
-from ..sinks.landing import land_lines, land_partitioned, land_raw, save_result_csv, to_raw
+from ..sinks.landing import SaveError, land_lines, land_partitioned, land_raw, save_result_csv, to_raw
 from ..sources.fixture import load_logs
 from ..sources.log_table import log_table
 from ..sources.json_logs import read_json_logs, read_partitioned_logs, read_with_rejects, reject_summary
-from ..sources.results import file_inventory, read_result_csv, zone_usage
-from ..streaming.ingest import ingest, read_ingested
+from ..sources.results import file_inventory, read_result_csv, zone_status, zone_usage
+from ..streaming.ingest import ingest, ingest_summary, read_ingested
+from .one_scan import analyze_in_one_scan
+from .oracle import LONG_FORM
+from .report import analyze, save_report
+from .views import register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,14 +112,35 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_result_csv(spark, path, RESULT_SCHEMAS["session_patterns"])
 
 
-def _damaged_lines(logs: DataFrame) -> DataFrame:
-    """Log lines where two client addresses send damaged records.
+def scan_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan JSON Lines in which every 7th status code is quoted and every 11th response time fractional."""
+    raw = to_raw(load_logs(spark, sf_dir))
+    rest = F.to_json(F.struct(*[c for c in raw.columns if c not in ("status_code", "response_time")]))
+    status, time, eid = F.col("status_code").cast("string"), F.col("response_time").cast("string"), F.col("event_id")
+    status = F.when(eid % 7 == 0, F.concat(F.lit('"'), status, F.lit('"'))).otherwise(status)
+    time = F.when(eid % 11 == 0, F.concat(time, F.lit(".5"))).otherwise(time)
+    null = F.lit("null")
+    line = F.concat(
+        F.left(rest, F.length(rest) - 1),
+        F.lit(',"status_code":'), F.coalesce(status, null),
+        F.lit(',"response_time":'), F.coalesce(time, null), F.lit("}"),
+    )
+    path = land_lines(raw.select(line.alias("value")), fresh_path(spark, "mixed"))
+    return read_json_logs(spark, path, RAW_WITH_ID)
+
+
+def _damaged_lines(logs: DataFrame, bad_numbers: bool = False) -> DataFrame:
+    """Log lines where some client addresses send damaged records.
 
     Lines from addresses ending in ``.113`` arrive cut in half (malformed);
-    lines from addresses ending in ``.142`` carry an unparsable timestamp.
+    lines from addresses ending in ``.142`` carry an unparsable timestamp; with
+    ``bad_numbers``, those from ``.121`` a status code that is no number.
     """
     raw = to_raw(logs)
     ip = F.col("ip_address")
+    if bad_numbers:
+        code = F.when(ip.endswith(".121"), F.lit("n/a")).otherwise(F.col("status_code").cast("string"))
+        raw = raw.withColumn("status_code", code)
     raw = raw.withColumn("timestamp", F.when(ip.endswith(".142"), F.lit("bad")).otherwise(F.col("timestamp")))
     line = F.to_json(F.struct(*[F.col(c) for c in raw.columns]))
     cut = F.left(line, (F.length(line) / 2).cast("int"))
@@ -127,23 +153,81 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_summary(read_with_rejects(spark, path, RAW_WITH_ID))
 
 
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``status, records`` of a damaged drop after it was ingested: table rows and rejects per reason."""
+    base = fresh_path(spark, "stream-rejects")
+    land_lines(_damaged_lines(load_logs(spark, sf_dir), bad_numbers=True), f"{base}/raw/drop=1")
+    ingest(spark, f"{base}/raw/*", f"{base}/table", f"{base}/_checkpoint", schema=RAW_WITH_ID)
+    return ingest_summary(spark, f"{base}/table")
+
+
 def _landed_zones(spark: SparkSession, sf_dir: str) -> str:
-    logs = load_logs(spark, sf_dir)
+    """Text lines of all events, of the errors, and of nothing, in three zones."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    line = F.concat_ws(",", F.col("event_id").cast("string"), "event_type").alias("value")
     base = fresh_path(spark, "zones")
-    land_raw(logs, f"{base}/raw")
-    land_partitioned(logs, f"{base}/partitioned")
+    land_lines(events.select(line), f"{base}/events")
+    land_lines(events.filter("event_type = 'error'").select(line), f"{base}/errors")
+    land_lines(events.filter("event_id IS NULL AND event_type IS NULL").select(line), f"{base}/nothing")
     return base
 
 
 def file_inventory_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``path, length, modificationTime`` of the files of two landing zones."""
-    return file_inventory(spark, _landed_zones(spark, sf_dir))
+    """``zone, status, bytes, rows``: what landed in each zone, from the file listing and the lines read."""
+    zones = ["events", "errors", "nothing", "nowhere"]
+    return zone_status(spark, _landed_zones(spark, sf_dir), zones).select("zone", "status", "bytes", "rows")
 
 
 def zone_usage_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``zone, files, bytes`` of two landing zones."""
+    """``zone, bytes`` of the zones that hold something."""
     base = _landed_zones(spark, sf_dir)
-    return zone_usage(file_inventory(spark, base), base)
+    return zone_usage(file_inventory(spark, base), base).filter("bytes > 0").select("zone", "bytes")
+
+
+def partition_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``records, consistent``: the records of all partitions, and whether they add up to the table."""
+    table = log_table(spark, sf_dir)
+    counted = table.agg(F.count("*").alias("n")).scalar()
+    total = ops.partition_profile(table).agg(F.coalesce(F.sum("records"), F.lit(0)).alias("records"))
+    return total.select("records", (F.col("records") == counted).alias("consistent"))
+
+
+def sql_logs_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests and errors per hour, asked in SQL over the registered views."""
+    register_views(spark, log_table(spark, sf_dir), prefix="catalog_")
+    return spark.sql("""
+        SELECT date, hour, COUNT(*) AS requests, COUNT_IF(status_code >= 400) AS errors,
+               (SELECT COUNT(*) FROM catalog_logs) AS all_requests
+        FROM catalog_logs_time GROUP BY date, hour ORDER BY date, hour""")
+
+
+def _long(results: dict[str, DataFrame], names: list[str]) -> DataFrame:
+    """The named results one below the other, as ``result, key, n``."""
+    parts = []
+    for name in names:
+        key, n = LONG_FORM[name]
+        parts.append(results[name].select(F.lit(name).alias("result"), F.col(key).cast("string").alias("key"), F.col(n).cast("long").alias("n")))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def saved_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several results saved as CSV as a set, all read back, one below the other."""
+    names = ["level_distribution", "top_endpoints", "error_analysis", "hourly_traffic", "server_activity"]
+    results = {n: r for n, r in analyze(log_table(spark, sf_dir)).items() if n in names}
+    base = fresh_path(spark, "saved-report")
+    status = save_report(results, base)
+    if any(text != "ok" for text in status.values()):
+        raise SaveError(status)
+    return _long({n: read_result_csv(spark, f"{base}/{n}", RESULT_SCHEMAS[n]) for n in names}, names)
+
+
+def one_scan_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of the one-scan report, one below the other."""
+    names = [
+        "level_distribution", "top_endpoints", "error_analysis", "hourly_traffic", "server_activity",
+        "server_performance", "daily_traffic", "ip_frequency", "user_activity",
+    ]
+    return _long(analyze_in_one_scan(spark, log_table(spark, sf_dir)), names)
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,8 +251,13 @@ SOURCES_AND_SINKS: dict[str, Query] = {
     "partition_day": partition_day,
     "csv_round_trip": csv_round_trip,
     "rejects": rejects,
+    "scan_mixed_types": scan_mixed_types,
+    "ingest_rejects": ingest_rejects,
+    "sql_logs_time": sql_logs_time,
+    "saved_report": saved_report,
+    "one_scan_report": one_scan_report,
     "profile_input": _on_logs(ops.profile_input),
-    "partition_profile": _on_logs(ops.partition_profile),
+    "partition_profile": partition_profile_query,
     "file_inventory": file_inventory_query,
     "zone_usage": zone_usage_query,
     "stream_ingest": stream_ingest,

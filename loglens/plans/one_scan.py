@@ -1,14 +1,13 @@
 """The whole report from one scan of the logs.
 
 Run one by one, the analyses read the log table about twenty times. All but
-the user and session reports group by keys of small domain (level, endpoint,
-status code, server, hour, day, client address, and pairs or triples of
-them), so they can all be derived exactly from one ``GROUPING SETS``
-aggregate. That is one scan, with ``Expand`` and a map-side partial
-aggregate in the scan stage and a shuffle of partial rows only. The
-aggregate (the *cube*) is written once as a small table in the shared
-folder; each result is then a cheap query over it. The user and session
-reports keep their own two-pass plans.
+the user and session reports group by some of (level, endpoint, method, server,
+status code), by time or by client address. So one scan counts the rows under
+three grouping sets, with ``Expand`` and a map-side partial aggregate in the scan
+stage; these *base groups* are written once to the shared folder. The thirteen
+sets that the results need (the *cube*) are rolled up from the base groups, not
+from the rows, and written too; each result is then a cheap query over it. The
+user and session reports keep their own two-pass plans.
 
 Every derived result equals the direct analysis; ``tests/test_one_scan.py``
 checks that on the test tables and on random rows.
@@ -22,57 +21,85 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as ops
-from ..functions.columns import ERROR_FROM, error_flag_count, is_error, percent, with_time_columns
+from ..functions.columns import ERROR_FROM, error_flag_count, is_error, mean_of, percent, with_time_columns
 from ..functions.ranking import sort_rows, top_k
 from ..operators.patterns import ERROR_PATTERN_KEYS, supported
 from ..operators.summary import kpi_from_groups
 from ..sources.log_table import materialize
 
-# Grouping columns of the cube. ``em_ok`` marks rows whose endpoint and method
-# are both set (the rows the pattern statistics count).
-CUBE_COLUMNS = ["level", "endpoint", "method", "server", "status_code", "ip_address", "hour", "date", "em_ok"]
-
-GROUPING_SETS: dict[str, tuple[str, ...]] = {
-    "level": ("level",),
-    "endpoint": ("endpoint",),
-    "status": ("status_code",),
-    "server": ("server",),
-    "hour": ("hour",),
-    "date": ("date",),
-    "ip": ("ip_address",),
-    "pair": ("endpoint", "method"),
-    "error_triple": ("server", "endpoint", "status_code"),
-    "server_endpoint": ("server", "endpoint"),
-    "server_method": ("server", "method"),
-    "server_em": ("server", "em_ok"),
-    "all": (),
+# The columns of the first base set; the others are (date, hour) and (ip_address).
+JOINT = ["level", "endpoint", "method", "server", "status_code"]
+TIME = ["date", "hour"]
+BASE_SETS = {"joint": JOINT, "time": TIME, "ip": ["ip_address"]}
+BASE_COLUMNS = [c for cols in BASE_SETS.values() for c in cols]
+
+# The sets rolled up from each base set. ``em_ok`` marks rows whose endpoint and
+# method are both set (the rows the pattern statistics count).
+ROLLUPS: dict[str, dict[str, tuple[str, ...]]] = {
+    "joint": {
+        "level": ("level",),
+        "endpoint": ("endpoint",),
+        "status": ("status_code",),
+        "server": ("server",),
+        "pair": ("endpoint", "method"),
+        "error_triple": ("server", "endpoint", "status_code"),
+        "server_endpoint": ("server", "endpoint"),
+        "server_method": ("server", "method"),
+        "server_em": ("server", "em_ok"),
+        "all": (),
+    },
+    "time": {"hour": ("hour",), "date": ("date",)},
+    "ip": {"ip": ("ip_address",)},
 }
 
 
-def _gid(name: str) -> int:
+def _gid(columns: list[str], grouped: tuple[str, ...]) -> int:
     """``grouping_id()`` of a set: bit i (from the left) is 1 when column i is not grouped."""
-    grouped = set(GROUPING_SETS[name])
-    n = len(CUBE_COLUMNS)
-    return sum(1 << (n - 1 - i) for i, c in enumerate(CUBE_COLUMNS) if c not in grouped)
+    return sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in grouped)
 
 
-def report_cube(logs: DataFrame, error_from: int = ERROR_FROM) -> DataFrame:
-    """The grouping-sets aggregate all small-domain results derive from (lazy)."""
-    prepared = with_time_columns(logs).withColumn(
-        "em_ok", F.col("endpoint").isNotNull() & F.col("method").isNotNull()
-    )
-    sets = [list(cols) for cols in GROUPING_SETS.values()]
-    return prepared.groupingSets(sets, *CUBE_COLUMNS).agg(
+def base_groups(logs: DataFrame, error_from: int = ERROR_FROM) -> DataFrame:
+    """Counts, errors and response times of all rows under the three base sets (lazy; one scan)."""
+    sets = [list(cols) for cols in BASE_SETS.values()]
+    groups = with_time_columns(logs).groupingSets(sets, *BASE_COLUMNS).agg(
         F.grouping_id().alias("gid"),
         F.count("*").alias("n"),
         error_flag_count("status_code", error_from).alias("errors"),
-        F.avg("response_time").alias("rt_avg"),
+        F.sum("response_time").alias("rt_sum"),
+        F.count("response_time").alias("rt_count"),
         F.max("response_time").alias("rt_max"),
     )
+    return groups
+
+
+def report_cube(base: DataFrame) -> DataFrame:
+    """The thirteen sets that the results derive from, rolled up from :func:`base_groups`.
+
+    ``part`` names the set; ``rt_avg`` is the mean response time of a group.
+    """
+    parts = []
+    for name, sets in ROLLUPS.items():
+        rows = base.filter(F.col("gid") == _gid(BASE_COLUMNS, tuple(BASE_SETS[name])))
+        columns = list(BASE_SETS[name])
+        if name == "joint":
+            rows = rows.withColumn("em_ok", F.col("endpoint").isNotNull() & F.col("method").isNotNull())
+            columns.append("em_ok")
+        part = F.lit(None).cast("string")
+        for s, cols in sets.items():
+            part = F.when(F.col("_gid") == _gid(columns, cols), s).otherwise(part)
+        rolled = rows.groupingSets([list(c) for c in sets.values()], *columns).agg(
+            F.grouping_id().alias("_gid"),
+            F.sum("n").alias("n"),
+            F.sum("errors").alias("errors"),
+            mean_of(F.sum("rt_sum"), F.sum("rt_count")).alias("rt_avg"),
+            F.max("rt_max").alias("rt_max"),
+        )
+        parts.append(rolled.withColumn("part", part).drop("_gid"))
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def _set(cube: DataFrame, name: str) -> DataFrame:
-    return cube.filter(F.col("gid") == _gid(name))
+    return cube.filter(F.col("part") == name)
 
 
 def _total(cube: DataFrame) -> Column:
@@ -93,7 +120,7 @@ def derive(cube: DataFrame, error_from: int = ERROR_FROM) -> dict[str, DataFrame
     pairs = _set(cube, "pair")
     good_pairs = pairs.filter(_not_null("endpoint", "method"))
     errors = _set(cube, "error_triple").filter((F.col("status_code") >= error_from) & _not_null("server", "endpoint"))
-    server_rows = cube.filter(F.col("gid").isin(_gid("server"), _gid("server_endpoint"), _gid("server_method")))
+    server_rows = cube.filter(F.col("part").isin("server", "server_endpoint", "server_method"))
 
     out: dict[str, DataFrame] = {}
     out["level_distribution"] = sort_rows(
@@ -145,9 +172,9 @@ def derive(cube: DataFrame, error_from: int = ERROR_FROM) -> dict[str, DataFrame
     )
     out["ip_frequency"] = top_k(_set(cube, "ip").select("ip_address", F.col("n").alias("requests")), 5, ["requests"], ["ip_address"])
     out["null_counts"] = cube.agg(
-        F.coalesce(F.sum(F.when((F.col("gid") == _gid("endpoint")) & F.col("endpoint").isNull(), F.col("n"))), F.lit(0)).alias("null_endpoints"),
-        F.coalesce(F.sum(F.when((F.col("gid") == _gid("pair")) & F.col("method").isNull(), F.col("n"))), F.lit(0)).alias("null_methods"),
-        F.coalesce(F.sum(F.when((F.col("gid") == _gid("server")) & F.col("server").isNull(), F.col("n"))), F.lit(0)).alias("null_servers"),
+        F.coalesce(F.sum(F.when((F.col("part") == "endpoint") & F.col("endpoint").isNull(), F.col("n"))), F.lit(0)).alias("null_endpoints"),
+        F.coalesce(F.sum(F.when((F.col("part") == "pair") & F.col("method").isNull(), F.col("n"))), F.lit(0)).alias("null_methods"),
+        F.coalesce(F.sum(F.when((F.col("part") == "server") & F.col("server").isNull(), F.col("n"))), F.lit(0)).alias("null_servers"),
     )
     out["unique_endpoints"] = by_endpoint.agg(F.count("endpoint").alias("count"))
     out["distinct_endpoints"] = by_endpoint.agg(F.count("*").alias("count"))
@@ -171,13 +198,13 @@ def derive(cube: DataFrame, error_from: int = ERROR_FROM) -> dict[str, DataFrame
         F.count("*").alias("unique_combinations"),
     ).withColumn("unique_servers", unique_servers.scalar())
     per_server = server_rows.filter(F.col("server").isNotNull()).groupBy("server").agg(
-        F.sum(F.when(F.col("gid") == _gid("server"), F.col("n"))).alias("requests"),
-        F.count_if((F.col("gid") == _gid("server_endpoint")) & F.col("endpoint").isNotNull()).alias("unique_endpoints"),
-        F.count_if((F.col("gid") == _gid("server_method")) & F.col("method").isNotNull()).alias("unique_methods"),
+        F.sum(F.when(F.col("part") == "server", F.col("n"))).alias("requests"),
+        F.count_if((F.col("part") == "server_endpoint") & F.col("endpoint").isNotNull()).alias("unique_endpoints"),
+        F.count_if((F.col("part") == "server_method") & F.col("method").isNotNull()).alias("unique_methods"),
     )
     out["server_activity"] = top_k(per_server, 5, ["requests"], ["server"])
-    kpi_rows = cube.select("gid", "endpoint", "server", "n", "errors", F.round("rt_avg", 2).alias("avg_ms"))
-    out["kpi_summary"] = kpi_from_groups(kpi_rows, _gid("endpoint"), _gid("server"), _gid("all"))
+    kpi_rows = cube.select(F.col("part").alias("gid"), "endpoint", "server", "n", "errors", F.round("rt_avg", 2).alias("avg_ms"))
+    out["kpi_summary"] = kpi_from_groups(kpi_rows, "endpoint", "server", "all")
     return out
 
 
@@ -218,13 +245,12 @@ def analyze_one_by_one(logs: DataFrame) -> dict[str, DataFrame]:
 def analyze_in_one_scan(spark: SparkSession, logs: DataFrame, error_from: int = ERROR_FROM) -> dict[str, DataFrame]:
     """All report results with one scan for the small-domain ones.
 
-    Writes the cube (one job over the logs) and returns lazy results: the
-    derived small-domain results plus the user and session reports, which
-    read the logs themselves.
+    Writes the base groups (one job over the logs) and the cube, and returns
+    lazy results: the derived ones plus the user and session reports, which read
+    the logs themselves.
     """
-    # sorted by gid inside each file, so each derived result's gid filter skips
-    # the row groups of the other grouping sets (Parquet min/max statistics)
-    cube = materialize(spark, report_cube(logs, error_from), "report-cube", order_by="gid")
+    base = materialize(spark, base_groups(logs, error_from), "report-base")
+    cube = materialize(spark, report_cube(base), "report-cube")
     results = derive(cube, error_from)
     results["user_activity"] = ops.user_activity(logs)
     results["session_patterns"] = ops.session_patterns(logs)

@@ -14,12 +14,9 @@ shares no code path with the Spark plans it checks. Oracle-side conventions:
 from __future__ import annotations
 
 from ..sources.fixture import (
-    APPLICATIONS,
-    ENDPOINTS,
     ERROR_CODES,
     LEVEL_OF_EVENT,
     METHODS,
-    SERVERS,
     SUCCESS_CODES,
     USER_AGENTS,
 )
@@ -37,13 +34,14 @@ def _level_case() -> str:
 LOG_VIEW_SQL = f"""
 SELECT event_id, ts AS timestamp,
   {_level_case()} AS level,
-  CASE WHEN k % 25 = 7 THEN NULL ELSE list_extract({_list(SERVERS)}, (k * k) % 6 + 1) END AS server,
-  list_extract({_list(APPLICATIONS)}, k % 4 + 1) AS application,
+  CASE WHEN k % 25 = 7 THEN NULL ELSE CONCAT('server-', CAST(user_id % 101 AS VARCHAR)) END AS server,
+  CONCAT('app-', CAST(k % 4 AS VARCHAR)) AS application,
   CONCAT('192.168.', CAST(user_id % 10 + 1 AS VARCHAR), '.', CAST(100 + k AS VARCHAR)) AS ip_address,
   CASE WHEN event_id % 89 = 0 THEN NULL ELSE list_extract({_list(METHODS)}, CAST((event_id % 7) % 4 AS INT) + 1) END AS method,
-  CASE WHEN event_id % 97 = 0 THEN NULL ELSE list_extract({_list(ENDPOINTS)}, CAST(((event_id % 31) * (event_id % 31)) % 23 AS INT) + 1) END AS endpoint,
+  CASE WHEN event_id % 97 = 0 THEN NULL ELSE CONCAT('/', event_type, '/',
+       CAST(CASE WHEN event_id % 5 = 0 THEN 100 + event_id // 40 ELSE k % 10 END AS VARCHAR)) END AS endpoint,
   CAST(CASE WHEN event_id % 101 = 0 THEN NULL
-            WHEN event_type = 'error' THEN list_extract({_list(ERROR_CODES)}, CAST(((event_id % 7) * (event_id % 7)) % 7 AS INT) + 1)
+            WHEN event_type = 'error' THEN list_extract({_list(ERROR_CODES)}, CAST(event_id % 7 AS INT) + 1)
             ELSE list_extract({_list(SUCCESS_CODES)}, CAST(event_id % 4 AS INT) + 1) END AS BIGINT) AS status_code,
   CAST(floor(value * 10) AS BIGINT) + CASE WHEN event_type = 'error' THEN 100 ELSE 50 END AS response_time,
   CASE WHEN user_id % 20 = 3 THEN NULL ELSE CONCAT('user_', CAST(1000 + user_id AS VARCHAR)) END AS user_id,
@@ -204,6 +202,33 @@ def _profile_sql() -> str:
     return "\nUNION ALL ".join(parts)
 
 
+# Columns of a result in the long form (result, key, n).
+LONG_FORM = {
+    "level_distribution": ("level", "count"),
+    "top_endpoints": ("endpoint", "requests"),
+    "error_analysis": ("status_code", "count"),
+    "hourly_traffic": ("hour", "requests"),
+    "server_activity": ("server", "requests"),
+    "server_performance": ("server", "total_requests"),
+    "daily_traffic": ("date", "requests"),
+    "ip_frequency": ("ip_address", "requests"),
+    "user_activity": ("user_id", "requests"),
+}
+
+
+def _long(names: list[str]) -> str:
+    """The named results one below the other."""
+    parts = [
+        f"SELECT '{n}' AS result, CAST({LONG_FORM[n][0]} AS VARCHAR) AS key, CAST({LONG_FORM[n][1]} AS BIGINT) AS n "
+        f"FROM ({_BODIES[n].strip()})"
+        for n in names
+    ]
+    return "\nUNION ALL ".join(parts)
+
+
+# The text line of an event in the landed zones.
+_LINE = "(CAST(event_id AS VARCHAR) || ',' || event_type)"
+
 _BODIES.update(
     {
         "scan_json": "SELECT * FROM logs",
@@ -218,6 +243,38 @@ _BODIES.update(
                         ELSE 'accepted' END AS status,
                    COUNT(*) AS records
             FROM logs GROUP BY 1""",
+        "scan_mixed_types": """
+            SELECT * REPLACE (response_time + CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END AS response_time)
+            FROM logs""",
+        "ingest_rejects": """
+            SELECT CASE WHEN ip_address LIKE '%.113' THEN 'malformed'
+                        WHEN ip_address LIKE '%.142' THEN 'bad_timestamp'
+                        WHEN ip_address LIKE '%.121' THEN 'bad_number'
+                        ELSE 'accepted' END AS status,
+                   COUNT(*) AS records
+            FROM logs GROUP BY 1""",
+        "sql_logs_time": f"""
+            SELECT CAST(timestamp AS DATE) AS date, CAST(hour(timestamp) AS INTEGER) AS hour, COUNT(*) AS requests,
+                   COUNT(*) FILTER (WHERE {ERR}) AS errors, (SELECT COUNT(*) FROM logs) AS all_requests
+            FROM logs GROUP BY 1, 2 ORDER BY 1, 2""",
+        "saved_report": _long(["level_distribution", "top_endpoints", "error_analysis", "hourly_traffic", "server_activity"]),
+        "one_scan_report": _long(
+            ["level_distribution", "top_endpoints", "error_analysis", "hourly_traffic", "server_activity",
+             "server_performance", "daily_traffic", "ip_frequency", "user_activity"]
+        ),
+        "zone_usage": f"""
+            SELECT 'events' AS zone, CAST(SUM(strlen({_LINE}) + 1) AS BIGINT) AS bytes FROM events
+            UNION ALL
+            SELECT 'errors', CAST(SUM(strlen({_LINE}) + 1) AS BIGINT) FROM events WHERE event_type = 'error'""",
+        "file_inventory": f"""
+            SELECT 'events' AS zone, 'present' AS status, CAST(SUM(strlen({_LINE}) + 1) AS BIGINT) AS bytes,
+                   COUNT(*) AS rows FROM events
+            UNION ALL
+            SELECT 'errors', 'present', CAST(SUM(strlen({_LINE}) + 1) AS BIGINT), COUNT(*)
+            FROM events WHERE event_type = 'error'
+            UNION ALL SELECT 'nothing', 'empty', 0, 0
+            UNION ALL SELECT 'nowhere', 'absent', 0, 0""",
+        "partition_profile": "SELECT COUNT(*) AS records, TRUE AS consistent FROM logs",
         "profile_input": _profile_sql(),
         "stream_ingest": "SELECT *, CAST(timestamp AS DATE) AS date FROM logs",
     }

@@ -5,22 +5,51 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..sinks.landing import save_results
-from ..sources.json_logs import read_json_logs, read_partitioned_logs
-from ..sources.log_table import materialize
+from ..functions.ranking import ordering
+from ..session import fresh_path
+from ..sinks.landing import SaveError, root_cause, save_results
+from ..sources.json_logs import RAW_LINE, REJECT_REASON, read_partitioned_with_rejects, read_with_rejects
+from ..streaming.ingest import ACCEPTED, REJECTED, STATUS, read_ingest_rejects, read_ingested
 from .one_scan import analyze_in_one_scan
 from .views import ANALYSIS_VIEWS
 
-# Results whose size is bounded by a top-k or a small key domain (levels,
-# status codes, hours, days, servers); each is written as a single CSV file.
+# How the rows of each sorted result are ordered: descending measures, then ascending keys.
+_SORTED: dict[str, tuple[list[str], list[str]]] = {
+    "level_distribution": (["count"], ["level"]),
+    "top_endpoints": (["requests"], ["endpoint"]),
+    "error_analysis": (["count"], ["status_code"]),
+    "server_performance": (["avg_response_ms"], ["server"]),
+    "hourly_traffic": ([], ["hour"]),
+    "daily_traffic": ([], ["date"]),
+    "user_activity": (["requests"], ["user_id"]),
+    "session_patterns": (["page_views"], ["session_id", "user_id"]),
+    "ip_frequency": (["requests"], ["ip_address"]),
+    "endpoint_method_pairs": (["frequency"], ["endpoint", "method"]),
+    "error_patterns": (["frequency"], ["server", "endpoint", "status_code"]),
+    "server_activity": (["requests"], ["server"]),
+    "server_requests_avg": (["requests"], ["server"]),
+    "hour_counts": ([], ["hour"]),
+    "endpoint_method_top20": (["requests"], ["endpoint", "method"]),
+}
+
+
+def result_order(name: str) -> list[Column]:
+    """The sort columns of a result (none if its rows have no order)."""
+    desc, asc = _SORTED.get(name, ([], []))
+    return ordering(desc, asc)
+
+
+# Results bounded by a top-k, or by one row per level, status code, hour or day;
+# each is written as a single CSV file. Results with a row per server, whose
+# number follows the fleet, are written in parallel.
 BOUNDED_RESULTS = frozenset(
     {
         "level_distribution",
         "top_endpoints",
         "error_analysis",
-        "server_performance",
         "hourly_traffic",
         "daily_traffic",
         "user_activity",
@@ -37,13 +66,25 @@ BOUNDED_RESULTS = frozenset(
         "unique_endpoints",
         "distinct_endpoints",
         "simple_count",
-        "server_requests_avg",
-        "server_key_counts",
         "hour_counts",
         "endpoint_method_top20",
     }
 )
 
+# The columns that the report's analyses use.
+REPORT_COLUMNS = [
+    "timestamp", "level", "server", "ip_address", "method", "endpoint", "status_code", "response_time", "user_id",
+    "session_id",
+]
+
+
+class ReportStatus(dict):
+    """``name -> "ok"`` of every saved result; ``rejects`` counts the rejected lines per reason."""
+
+    def __init__(self, status: dict[str, str], rejects: dict[str, int]):
+        super().__init__(status)
+        self.rejects = rejects
+
 
 def analyze(logs: DataFrame) -> dict[str, DataFrame]:
     """Every named analysis of ``logs``, by name (lazy; nothing runs yet).
@@ -57,7 +98,8 @@ def analyze(logs: DataFrame) -> dict[str, DataFrame]:
 
 def save_report(results: dict[str, DataFrame], base: str) -> dict[str, str]:
     """Save ``results`` under ``base/<name>`` as CSV; returns the status of each."""
-    return save_results(results, base, single_file=BOUNDED_RESULTS & set(results))
+    orders = {name: result_order(name) for name in results}
+    return save_results(results, base, single_file=BOUNDED_RESULTS & set(results), orders=orders)
 
 
 def run_report(
@@ -66,16 +108,46 @@ def run_report(
     out_base: str,
     partitioned: bool = False,
     dates: Iterable[str] | None = None,
-) -> dict[str, str]:
+    table: bool = False,
+    zone_aware: bool = True,
+) -> ReportStatus:
     """Load logs, parse them once, compute the whole report, save every result.
 
     ``source`` is a JSON Lines path or glob, or with ``partitioned`` the base
-    of a ``date=`` layout (optionally pruned to ``dates``). The typed records
-    are written once as a Parquet table in the shared folder; the small-domain
-    results come from one grouping-sets scan of it
-    (:func:`~loglens.plans.one_scan.analyze_in_one_scan`). Returns the save
-    status of each result under ``out_base/<name>``.
+    of a ``date=`` layout (optionally pruned to ``dates``). Its lines are typed
+    once: the accepted records go to a Parquet table in the shared folder (only
+    the columns that the report uses), the rejects with their reason to
+    ``out_base/_rejects``, and their number per reason is returned. With ``table``
+    the source is already columnar (an ingested or stored log table) and is
+    analysed as it is, without a copy.
+
+    The results come from :func:`~loglens.plans.one_scan.analyze_in_one_scan`
+    and are saved under ``out_base/<name>``. All are tried; if any failed,
+    :class:`~loglens.sinks.landing.SaveError` names each with its cause.
     """
-    raw = read_partitioned_logs(spark, source, dates) if partitioned else read_json_logs(spark, source)
-    table = materialize(spark, raw, "logs")
-    return save_report(analyze_in_one_scan(spark, table), out_base)
+    rejects: dict[str, int] = {}
+    unsaved: dict[str, str] = {}
+    if table:
+        logs = read_ingested(spark, source, dates)
+    else:
+        if partitioned:
+            marked = read_partitioned_with_rejects(spark, source, dates, zone_aware=zone_aware)
+        else:
+            marked = read_with_rejects(spark, source, zone_aware=zone_aware)
+        # one pass over the raw text: accepted and rejected lines together, told apart by a partition
+        path = fresh_path(spark, "report-logs")
+        status = F.when(F.col(REJECT_REASON).isNull(), ACCEPTED).otherwise(REJECTED).alias(STATUS)
+        marked.select(*REPORT_COLUMNS, REJECT_REASON, RAW_LINE, status, F.to_date("timestamp").alias("date")).write.partitionBy(
+            STATUS, "date"
+        ).parquet(path)
+        bad = read_ingest_rejects(spark, path)
+        try:
+            bad.write.mode("overwrite").json(f"{out_base.rstrip('/')}/_rejects")
+        except Exception as exc:  # reported with the results, which are tried first
+            unsaved = {"_rejects": f"failed: {root_cause(exc)}"}
+        rejects = {r[REJECT_REASON]: r["records"] for r in bad.groupBy(REJECT_REASON).agg(F.count("*").alias("records")).collect()}
+        logs = read_ingested(spark, path)
+    saved = save_report(analyze_in_one_scan(spark, logs), out_base) | unsaved
+    if any(text != "ok" for text in saved.values()):
+        raise SaveError(saved)
+    return ReportStatus(saved, rejects)

@@ -10,23 +10,33 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def _local_only(master: str) -> bool:
+    """Whether driver and executors are one process, so that a local folder is shared."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (the folder the cluster names for
-    checkpoints, reachable by every executor). Only when it is unset, as in
-    local tests, a fresh local folder is created and registered.
+    checkpoints, reachable by every executor). Only a session on a local master
+    gets a fresh local folder when it is unset, as in tests; on a cluster each
+    executor would write to its own disk, so that raises.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # a session without a SparkContext (e.g. Spark Connect)
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="loglens-")
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not _local_only(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="loglens-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -52,10 +62,12 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # the top-k reports broadcast only k rows, but computing them includes the
-    # final ranking stage over every user or session, which at 100 TB can run
-    # longer than the default 300 s broadcast timeout
+    # Spark broadcasts the k winners of a top-k report, but computing them
+    # includes the ranking stage over every user or session, which at 100 TB can
+    # run longer than the default 300 s broadcast timeout
     "spark.sql.broadcastTimeout": "3600",
+    # tables partitioned by date are written without sorting a task's rows first
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
 }
 
 

@@ -5,12 +5,13 @@ from .json_logs import (
     parse_timestamp,
     read_json_logs,
     read_partitioned_logs,
+    read_partitioned_with_rejects,
     read_with_rejects,
     reject_summary,
     split_rejects,
 )
-from .log_table import log_table, materialize
-from .results import file_inventory, read_result_csv, zone_usage
+from .log_table import log_table, materialize, read_log_table, store_logs
+from .results import file_inventory, read_result_csv, zone_status, zone_usage
 
 __all__ = [
     "file_inventory",
@@ -20,10 +21,14 @@ __all__ = [
     "materialize",
     "parse_timestamp",
     "read_json_logs",
+    "read_log_table",
     "read_partitioned_logs",
+    "read_partitioned_with_rejects",
     "read_result_csv",
     "read_with_rejects",
     "reject_summary",
     "split_rejects",
+    "store_logs",
+    "zone_status",
     "zone_usage",
 ]

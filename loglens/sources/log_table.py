@@ -1,61 +1,78 @@
-"""The log table: the log view parsed once and stored as Parquet.
-
-Deriving a log record (JSON property lookup, string building, code tables)
-costs far more per row than any analysis over it, and a raw input may arrive
-as few large files. Writing the typed records once as Parquet in the
-cluster's shared folder gives every later analysis a columnar scan that reads
-only the columns it uses, split over many tasks, and a table that outlives
-lost executors (unlike a cache) and cuts the lineage back to the raw input.
+"""The log table: typed records stored once as Parquet, partitioned by date.
+
+Deriving a log record (JSON property lookup, string building) costs far more per
+row than any analysis over it, and a raw input may arrive as few large files.
+Writing the typed records once into the cluster's shared folder gives every
+later analysis a columnar scan that reads only the columns it uses, with
+directories to prune by day, and a table that outlives lost executors (unlike a
+cache) and cuts the lineage back to the raw input.
+
+Rows are neither sorted nor shuffled for it: a task writes the dates it holds.
+Tables are written under ``<spark.checkpoint.dir>/loglens/`` and never deleted by
+the library; give that prefix a lifecycle rule, or delete it between runs.
+Input that is already such a table (or an ingested one, see
+:mod:`loglens.streaming`) is read as it is, without a copy.
 """
 
 from __future__ import annotations
 
-import os
+import datetime as dt
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import fresh_path, session_key
 from .fixture import logs_from_events
+from .json_logs import PARTITION_COLUMN
+from .results import file_inventory
+
+_TABLES: dict[tuple, str] = {}
 
-_TABLES: dict[tuple[str, int, str], DataFrame] = {}
+
+def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared folder and return a scan of it."""
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """``df`` spread over the cluster's cores when it would leave most of them idle.
+def store_logs(
+    spark: SparkSession, logs: DataFrame, columns: Sequence[str] | None = None, partitions: int | None = None
+) -> str:
+    """Write ``logs`` (or some ``columns`` of them) partitioned by ``date``; returns the path.
 
-    A small input stored as one or a few unsplittable files is read by that
-    many tasks; spreading it round-robin lets the per-row work after it run
-    on every core. An input with at least a quarter as many partitions as
-    there are cores is returned as is: for it a full shuffle would cost more
-    than the idle cores, and a large input is never shuffled for this.
+    ``partitions`` spreads the rows over so many tasks first, a full shuffle:
+    only for input that arrives as a few unsplittable files.
     """
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        partitions = df.rdd.getNumPartitions()
-    except Exception:  # no SparkContext / RDD access: leave the input as it is
-        return df
-    return df if partitions * 4 > cores else df.repartition(cores)
+    out = logs.select(*columns) if columns else logs
+    if partitions:
+        out = out.repartition(partitions)
+    path = fresh_path(spark, "log-table")
+    out.withColumn(PARTITION_COLUMN, F.to_date("timestamp")).write.partitionBy(PARTITION_COLUMN).parquet(path)
+    return path
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str, order_by: str | None = "timestamp") -> DataFrame:
-    """Write ``df`` as a Parquet table under the shared folder and return a scan of it.
+def read_log_table(spark: SparkSession, path: str, dates: Iterable[str | dt.date] | None = None) -> DataFrame:
+    """The logs stored under ``path``, of all or some ``dates`` (directory pruning)."""
+    table = spark.read.parquet(path)
+    if dates is not None:
+        wanted = [d if isinstance(d, dt.date) else dt.date.fromisoformat(d) for d in dates]
+        table = table.filter(F.col(PARTITION_COLUMN).isin(wanted))
+    return table.drop(PARTITION_COLUMN)
 
-    Rows are sorted inside each task by ``order_by`` (a local sort, no
-    shuffle) so that Parquet min/max statistics let time-range filters skip
-    row groups.
-    """
-    out = df.sortWithinPartitions(order_by) if order_by else df
-    path = fresh_path(spark, name)
-    out.write.parquet(path)
-    return spark.read.parquet(path)
-
-
-def log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log view over ``{sf_dir}/events.parquet``, materialized once per session."""
-    key = (session_key(spark), id(spark), os.path.abspath(sf_dir))
-    table = _TABLES.get(key)
-    if table is None:
-        events = spread(spark, spark.read.parquet(f"{sf_dir}/events.parquet"))
-        table = materialize(spark, logs_from_events(events), "log-table")
-        _TABLES[key] = table
-    return table
+
+def _input_state(spark: SparkSession, path: str) -> tuple:
+    """What changes when the files below ``path`` change: one row, whatever their number."""
+    each = F.xxhash64("path", "length", "modificationTime").cast("decimal(20,0)")
+    row = file_inventory(spark, path).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"), F.sum(each).alias("state")).first()
+    return tuple(row)
+
+
+def log_table(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """The log view over ``{sf_dir}/events.parquet``, stored once per application and state of the input files."""
+    path = f"{sf_dir}/events.parquet"
+    key = (session_key(spark), path, _input_state(spark, path))
+    if key not in _TABLES:
+        _TABLES[key] = store_logs(spark, logs_from_events(spark.read.parquet(path)), partitions=partitions)
+    return read_log_table(spark, _TABLES[key])

@@ -12,35 +12,44 @@ duplicating or skipping files.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..schema import RAW_SCHEMA
-from ..sources.json_logs import PARTITION_COLUMN, to_typed
+from ..schema import CORRUPT_COLUMN, RAW_SCHEMA
+from ..sources.json_logs import PARTITION_COLUMN, RAW_LINE, REJECT_REASON, mark_rejects, text_reader_schema
+
+# First partition column of an ingested table.
+STATUS, ACCEPTED, REJECTED = "status", "accepted", "rejected"
 
 
-def typed_log_stream(
+def marked_log_stream(
     spark: SparkSession,
     raw_dir: str,
     schema: StructType = RAW_SCHEMA,
     max_files_per_trigger: int | None = None,
     archive_dir: str | None = None,
+    zone_aware: bool = True,
 ) -> DataFrame:
-    """Streaming frame of typed log rows from JSON Lines files under ``raw_dir``.
+    """Streaming frame of the lines of JSON Lines files under ``raw_dir``, typed, with
+    ``reject_reason``, ``raw_line`` and the partition columns ``status`` and ``date``.
 
     With ``archive_dir``, files are moved there once their batch is committed
     (those of a run's last batch at the next run), so the raw zone, listed on
     every run, holds few files besides the ones not yet ingested.
     """
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(text_reader_schema(schema)).option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    stream = to_typed(reader.json(raw_dir))
-    return stream.withColumn(PARTITION_COLUMN, F.to_date("timestamp"))
+    marked = mark_rejects(reader.json(raw_dir), schema, zone_aware)
+    status = F.when(F.col(REJECT_REASON).isNull(), ACCEPTED).otherwise(REJECTED)
+    return marked.withColumns({STATUS: status, PARTITION_COLUMN: F.to_date("timestamp")})
 
 
 def ingest(
@@ -52,20 +61,30 @@ def ingest(
     max_files_per_trigger: int | None = None,
     wait: bool = True,
     archive_dir: str | None = None,
+    zone_aware: bool = True,
+    files_per_date: int = 8,
 ) -> StreamingQuery:
     """Append the not yet ingested files of ``raw_dir`` to the Parquet table at ``table_dir``.
 
-    ``checkpoint_dir`` must be on shared storage and stay with the table; it
-    records which files are done. ``max_files_per_trigger`` splits a large
+    Accepted records land in ``status=accepted/date=.../``, rejected lines with
+    their reason in ``status=rejected``: one parse and one exactly-once sink for
+    both. ``checkpoint_dir`` must be on shared storage and stay with the table;
+    it records which files are done. ``max_files_per_trigger`` splits a large
     backlog into bounded batches; ``archive_dir`` (outside ``raw_dir``) moves
-    ingested files away so later runs list only new ones. Returns the
-    (finished, when ``wait``) query.
+    ingested files away so later runs list only new ones. A batch's rows are
+    dealt by date and a salt, so it writes at most ``files_per_date`` files per
+    date and a busy day is shared by that many tasks; 0 leaves the rows where
+    they are (no shuffle, for files in time order). Returns the (finished, when
+    ``wait``) query.
     """
+    stream = marked_log_stream(spark, raw_dir, schema, max_files_per_trigger, archive_dir, zone_aware)
+    if files_per_date:
+        salt = F.pmod(F.xxhash64(*[c for c in schema.names]), F.lit(files_per_date))
+        stream = stream.repartition(F.col(STATUS), F.col(PARTITION_COLUMN), salt)
     query = (
-        typed_log_stream(spark, raw_dir, schema, max_files_per_trigger, archive_dir)
-        .writeStream.format("parquet")
+        stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint_dir)
-        .partitionBy(PARTITION_COLUMN)
+        .partitionBy(STATUS, PARTITION_COLUMN)
         .outputMode("append")
         .trigger(availableNow=True)
         .start(table_dir)
@@ -75,6 +94,21 @@ def ingest(
     return query
 
 
-def read_ingested(spark: SparkSession, table_dir: str) -> DataFrame:
-    """The ingested table (only committed batches are visible)."""
-    return spark.read.parquet(table_dir)
+def read_ingested(spark: SparkSession, table_dir: str, dates: Iterable[str | dt.date] | None = None) -> DataFrame:
+    """The accepted records of an ingested table, of all or some ``dates`` (only committed batches are visible)."""
+    table = spark.read.parquet(table_dir).filter(F.col(STATUS) == ACCEPTED)
+    if dates is not None:
+        wanted = [d if isinstance(d, dt.date) else dt.date.fromisoformat(d) for d in dates]
+        table = table.filter(F.col(PARTITION_COLUMN).isin(wanted))
+    return table.drop(STATUS, REJECT_REASON, RAW_LINE)
+
+
+def read_ingest_rejects(spark: SparkSession, table_dir: str) -> DataFrame:
+    """``reject_reason, raw_line`` of the rejected lines of an ingested table."""
+    return spark.read.parquet(table_dir).filter(F.col(STATUS) == REJECTED).select(REJECT_REASON, RAW_LINE)
+
+
+def ingest_summary(spark: SparkSession, table_dir: str) -> DataFrame:
+    """``status, records``: accepted records and rejects per reason of an ingested table."""
+    status = F.coalesce(F.col(REJECT_REASON), F.col(STATUS)).alias("status")
+    return spark.read.parquet(table_dir).groupBy(status).agg(F.count("*").alias("records"))

@@ -1,4 +1,4 @@
-"""Compare a Spark result with a DuckDB oracle result, order-insensitively."""
+"""Compare a Spark result with a DuckDB oracle result."""
 
 from __future__ import annotations
 
@@ -48,8 +48,8 @@ def _same(a, b, exact: bool = False) -> bool:
     return a == b
 
 
-def compare(spark_df, con, sql: str, exact: bool = False) -> tuple[bool, str]:
-    """(equal?, message). Columns are matched by name, rows as multisets."""
+def compare(spark_df, con, sql: str, exact: bool = False, ordered: bool = False) -> tuple[bool, str]:
+    """(equal?, message). Columns are matched by name, rows as multisets, or in order with ``ordered``."""
     rel = con.sql(sql)
     d_cols = list(rel.columns)
     d_rows = rel.fetchall()
@@ -61,8 +61,9 @@ def compare(spark_df, con, sql: str, exact: bool = False) -> tuple[bool, str]:
     d_rows = [tuple(_norm(r[i]) for i in idx) for r in d_rows]
     if len(s_rows) != len(d_rows):
         return False, f"row counts differ: spark={len(s_rows)} oracle={len(d_rows)}"
-    s_rows.sort(key=_key)
-    d_rows.sort(key=_key)
+    if not ordered:
+        s_rows.sort(key=_key)
+        d_rows.sort(key=_key)
     for a, b in zip(s_rows, d_rows):
         if len(a) != len(b) or not all(_same(x, y, exact) for x, y in zip(a, b)):
             return False, f"first differing row: spark={a} oracle={b}"

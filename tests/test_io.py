@@ -239,14 +239,108 @@ def test_run_report_from_a_partitioned_layout_for_one_day(spark):
     assert schema.collect()[0]["count"] == want
 
 
-def test_spread_only_inputs_that_leave_most_cores_idle(spark):
-    from loglens.sources.log_table import spread
-
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    assert spread(spark, one).rdd.getNumPartitions() == cores
-    enough = spark.range(100).repartition(max(1, cores // 4 + 1))
-    assert spread(spark, enough).rdd.getNumPartitions() == enough.rdd.getNumPartitions()
+def test_log_table_follows_its_input(spark, tmp_path):
+    from loglens.sources.log_table import log_table
+
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    events.limit(100).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    assert log_table(spark, str(tmp_path)).count() == 100
+    events.limit(60).coalesce(1).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    assert log_table(spark, str(tmp_path)).count() == 160
+    again = log_table(spark, str(tmp_path))
+    assert again.inputFiles() == log_table(spark, str(tmp_path)).inputFiles()
+
+
+def test_log_table_prunes_days(spark):
+    from loglens.sources.log_table import read_log_table, store_logs
+
+    logs = load_logs(spark, SF_SMALL)
+    day = read_log_table(spark, store_logs(spark, logs, partitions=2), dates=["2024-01-15"])
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2024-01-15" in plan
+    assert same_rows(day, logs.filter(F.to_date("timestamp") == F.lit("2024-01-15").cast("date")))
+
+
+def test_no_local_folder_on_a_cluster():
+    import pytest
+
+    from loglens.session import shared_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
+def test_lossless_numbers_and_offsets(spark, tmp_path):
+    lines = [
+        '{"timestamp":"2024-01-01T23:30:00-05:00","status_code":"503","response_time":12.5,"bytes_sent":1e3}',
+        '{"timestamp":"2024-01-01T00:10:00+0530","status_code":404,"response_time":"-2.5","bytes_sent":" 7 "}',
+        '{"timestamp":"2024-01-01","status_code":null,"response_time":9223372036854775807}',
+        '{"timestamp":"2024-01-01T00:00:00Z","status_code":"n/a"}',
+        '{"timestamp":"2024-01-01T00:00:00Z","response_time":9223372036854775808}',
+        '{"timestamp":"soon"}',
+        "no json",
+        "",
+    ]
+    p = tmp_path / "mixed.json"
+    p.write_text("\n".join(lines) + "\n")
+    rows = sorted(read_json_logs(spark, str(p)).collect(), key=lambda r: r.timestamp)
+    assert [r.timestamp.isoformat() for r in rows] == ["2023-12-31T18:40:00", "2024-01-01T00:00:00", "2024-01-02T04:30:00"]
+    assert [r.status_code for r in rows] == [404, None, 503]
+    assert [r.response_time for r in rows] == [-3, 9223372036854775807, 13]
+    assert [r.bytes_sent for r in rows] == [7, None, 1000]
+    _, rejected = split_rejects(read_with_rejects(spark, str(p)))
+    assert sorted(r.reject_reason for r in rejected.collect()) == ["bad_number", "bad_number", "bad_timestamp", "malformed"]
+    assert "no json" in {r.raw_line for r in rejected.collect()}
+    assert ops.error_count(read_json_logs(spark, str(p))).first()["count"] == 2
+
+
+def test_report_counts_rejects_and_raises_with_the_cause(spark, tmp_path):
+    import pytest
+
+    from loglens.plans.report import run_report
+    from loglens.sinks.landing import SaveError
+
+    logs = load_logs(spark, SF_SMALL)
+    raw = land_raw(logs, fresh_path(spark, "raw-report"))
+    (tmp_path / "bad.json").write_text("half a line\n")
+    status = run_report(spark, [raw, str(tmp_path / "bad.json")], fresh_path(spark, "out"))
+    assert status.rejects == {"malformed": 1}
+    blocked = tmp_path / "file"
+    blocked.write_text("not a folder")
+    with pytest.raises(SaveError) as failed:
+        run_report(spark, raw, f"{blocked}/report")
+    assert len(failed.value.status) == 25  # 24 results and the rejects
+    assert all("file" in text and "o2938" not in text for text in failed.value.status.values())
+
+
+def test_report_reads_an_ingested_table_in_place(spark):
+    from loglens.plans.report import run_report
+    from loglens.streaming.ingest import ingest
+
+    logs = load_logs(spark, SF_SMALL)
+    base = fresh_path(spark, "ingested-report")
+    land_raw(logs, f"{base}/raw/a")
+    ingest(spark, f"{base}/raw/*", f"{base}/table", f"{base}/_ckpt")
+    status = run_report(spark, f"{base}/table", f"{base}/out", table=True)
+    assert len(status) == 24 and status.rejects == {}
+    back = read_result_csv(spark, f"{base}/out/hourly_traffic", RESULT_SCHEMAS["hourly_traffic"])
+    assert back.collect() == ops.hourly_traffic(logs).collect()
 
 
 def test_cluster_settings_apply_to_a_running_session(spark):

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from loglens import operators as ops
-from loglens.plans.one_scan import DIRECT_EQUIVALENTS, analyze_in_one_scan, derive, report_cube
+from loglens.plans.one_scan import DIRECT_EQUIVALENTS, analyze_in_one_scan, base_groups, derive, report_cube
 from loglens.sources.log_table import log_table
 from tests.conftest import SF_SMALL
 from tests.plan_report import final_plan
@@ -39,20 +39,20 @@ def test_one_scan_report_equals_direct_analyses(spark):
 
 
 def test_cube_is_one_scan_with_partial_aggregation(spark):
-    plan = final_plan(report_cube(log_table(spark, SF_SMALL)))
+    plan = final_plan(base_groups(log_table(spark, SF_SMALL)))
     assert plan.count("FileScan parquet") == 1
     assert "Expand" in plan and "partial_count" in plan
 
 
-@settings(max_examples=2, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=st.lists(row, min_size=0, max_size=40))
 def test_one_scan_equals_direct_on_random_rows(spark, rows):
     logs = make_logs(spark, [{**r, "timestamp": r["ts"].isoformat() + "Z"} for r in rows])
-    _assert_same(derive(report_cube(logs)), logs)
+    _assert_same(derive(report_cube(base_groups(logs))), logs)
 
 
 def test_one_scan_on_empty_input(spark):
-    _assert_same(derive(report_cube(make_logs(spark, []))), make_logs(spark, []))
+    _assert_same(derive(report_cube(base_groups(make_logs(spark, [])))), make_logs(spark, []))
 
 
 def test_one_scan_report_matches_the_sql_oracle(spark, duck):

@@ -36,10 +36,18 @@ def test_scan_reads_only_used_columns(spark):
     assert "PushedFilters: [IsNotNull(status_code), GreaterThanOrEqual(status_code,400)]" in plan
 
 
-def test_kpi_summary_scans_once(spark):
-    plan = executed_plan(ops.kpi_summary(log_table(spark, SF_SMALL)))
-    assert plan.count("FileScan parquet") == 1
-    assert "Expand" in plan
+def expands_rows(plan: str) -> bool:
+    """Whether an ``Expand`` multiplies scanned rows (it stands in a scan's stage, without an aggregate between)."""
+    from_expand = plan[plan.index("Expand") :] if "Expand" in plan else ""
+    return "Expand" in plan and "Exchange" not in from_expand.split("FileScan")[0]
+
+
+def test_analyses_scan_once_and_multiply_groups_only(spark):
+    table = log_table(spark, SF_SMALL)
+    for analysis in (ops.kpi_summary, ops.pattern_statistics, ops.server_activity, ops.error_analysis, ops.endpoint_method_pairs):
+        plan = executed_plan(analysis(table))
+        assert plan.count("FileScan parquet") == 1, analysis.__name__
+        assert not expands_rows(plan), analysis.__name__
 
 
 def test_fallback_subquery_reuses_the_grouped_shuffle(spark):
