@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from loglens import operators as ops
+from loglens.plans.one_scan import analyze_in_one_scan, analyze_one_by_one
 from loglens.sources.fixture import logs_from_events
 from loglens.sources.log_table import materialize
 
@@ -59,6 +60,16 @@ def main(argv: list[str]) -> int:
             getattr(ops, name)(table).write.format("noop").mode("overwrite").save()
             best = min(best, time.perf_counter() - t0)
         print(f"| `{name}` | {best:.3f} | {rows / best:,.0f} |", flush=True)
+    few = F.when(F.col("endpoint").isNotNull(), F.concat(F.lit("/page/"), F.col("event_id") % 23))
+    for label, logs in (("many endpoints", table), ("23 endpoints", table.withColumn("endpoint", few))):
+        for how, results in (
+            ("one scan", lambda logs=logs: analyze_in_one_scan(spark, logs)),
+            ("one by one", lambda logs=logs: analyze_one_by_one(logs)),
+        ):
+            t0 = time.perf_counter()
+            for df in results().values():
+                df.write.format("noop").mode("overwrite").save()
+            print(f"| report, {label}, {how} | {time.perf_counter() - t0:.2f} | |", flush=True)
     return 0
 
 

@@ -1,25 +1,52 @@
-"""Scale invariants of every registered analysis, read from its physical plan
-(planned, not run)."""
+"""Scale invariants of every registered query, read from its physical plan
+(planned, not run, apart from what a query stores on its way)."""
 
 from __future__ import annotations
 
 import pytest
 
-from loglens.plans.catalog import ANALYSES
+from loglens.plans.catalog import ANALYSES, SOURCES_AND_SINKS
+from loglens.plans.one_scan import base_groups, derive, report_cube
+from loglens.sources.log_table import log_table, materialize
 from tests.conftest import SF_SMALL
 
-# analyses whose result needs every column of the log table
-ALL_COLUMNS = {"time_columns", "sample_rows"}
-# the only plans allowed to broadcast: the k winners of a top-k (k <= 10,000)
-BOUNDED_BROADCAST = {"user_activity", "session_patterns"}
+# queries whose result needs every column of the log table
+ALL_COLUMNS = {"time_columns", "sample_rows", "profile_input"}
+# the only plans that may broadcast: the k winners of a top-k, and one row per zone
+BOUNDED_BROADCAST = {"user_activity", "session_patterns", "file_inventory", "one_scan_report"}
+BANNED = ("CartesianProduct", "BroadcastNestedLoopJoin", "Window", "BatchEvalPython", "ArrowEvalPython", "MapInArrow")
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("key", sorted(ANALYSES))
 def test_plan_has_no_unbounded_operator(spark, key):
-    plan = ANALYSES[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window", "BatchEvalPython", "ArrowEvalPython"):
+    plan = plan_of(ANALYSES[key](spark, SF_SMALL))
+    for banned in BANNED:
         assert banned not in plan, f"{key}: {banned}"
     if "BroadcastExchange" in plan:
         assert key in BOUNDED_BROADCAST, key
     if key not in ALL_COLUMNS:
         assert "ReadSchema: struct<event_id:bigint,timestamp" not in plan, f"{key} reads every column"
+
+
+@pytest.mark.parametrize("key", sorted(SOURCES_AND_SINKS))
+def test_sources_and_sinks_have_no_unbounded_operator(spark, key):
+    plan = plan_of(SOURCES_AND_SINKS[key](spark, SF_SMALL))
+    for banned in BANNED:
+        assert banned not in plan, f"{key}: {banned}"
+    if "BroadcastExchange" in plan:
+        assert key in BOUNDED_BROADCAST, key
+
+
+def test_results_from_the_cube_have_no_unbounded_operator(spark):
+    base = base_groups(log_table(spark, SF_SMALL))
+    assert plan_of(base).count("Expand") == 1
+    cube = materialize(spark, report_cube(materialize(spark, base, "base")), "cube")
+    for name, df in derive(cube).items():
+        plan = plan_of(df)
+        for banned in BANNED:
+            assert banned not in plan, f"{name}: {banned}"
+        assert "BroadcastExchange" not in plan, name

@@ -80,7 +80,7 @@ def _duck(rows: list[dict]) -> duckdb.DuckDBPyConnection:
 
 
 @pytest.mark.parametrize("group", [sorted(ANALYSES)[0::2], sorted(ANALYSES)[1::2]], ids=["a", "b"])
-@settings(max_examples=5, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=10, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=st.lists(row, min_size=1, max_size=40))
 def test_analyses_equal_sql_on_random_rows(spark, group, rows):
     records = [{**r, "timestamp": r["ts"]} for r in rows]
@@ -124,7 +124,7 @@ text_row = st.fixed_dictionaries(
 )
 
 
-@settings(max_examples=3, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=10, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=st.lists(text_row, min_size=1, max_size=25))
 def test_json_landing_round_trips_any_text(spark, rows):
     from loglens.schema import RAW_SCHEMA
@@ -137,7 +137,7 @@ def test_json_landing_round_trips_any_text(spark, rows):
     assert logs.exceptAll(back).count() == 0 and back.exceptAll(logs).count() == 0
 
 
-@settings(max_examples=2, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=10, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=st.lists(text_row, min_size=1, max_size=8))
 def test_partitioned_and_csv_sinks_round_trip(spark, rows):
     from pyspark.sql import functions as F
@@ -157,7 +157,7 @@ def test_partitioned_and_csv_sinks_round_trip(spark, rows):
     assert logs.exceptAll(back).count() == 0 and back.exceptAll(logs).count() == 0
 
 
-@settings(max_examples=3, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=10, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     items=st.lists(
         st.tuples(st.datetimes(min_value=dt.datetime(2001, 1, 1), max_value=dt.datetime(2090, 1, 1)), st.integers(-48, 56)),
