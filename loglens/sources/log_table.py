@@ -17,6 +17,7 @@ Input that is already such a table (or an ingested one, see
 from __future__ import annotations
 
 import datetime as dt
+import os
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,7 +64,14 @@ def read_log_table(spark: SparkSession, path: str, dates: Iterable[str | dt.date
 
 
 def _input_state(spark: SparkSession, path: str) -> tuple:
-    """What changes when the files below ``path`` change: one row, whatever their number."""
+    """What changes when the files below ``path`` change.
+
+    A path without a scheme that the driver sees is looked up there; any other
+    is listed by Spark and reduced to one row, whatever the number of files.
+    """
+    if "://" not in path and os.path.exists(path):
+        files = [path] if os.path.isfile(path) else [os.path.join(d, f) for d, _, names in os.walk(path) for f in names]
+        return tuple(sorted((f, s.st_size, s.st_mtime_ns) for f in files for s in [os.stat(f)]))
     each = F.xxhash64("path", "length", "modificationTime").cast("decimal(20,0)")
     row = file_inventory(spark, path).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"), F.sum(each).alias("state")).first()
     return tuple(row)
