@@ -33,28 +33,38 @@ class RunLengthIndex:
         stops = np.flatnonzero(text == SEPARATOR)
         owner = np.searchsorted(stops, np.arange(n))  # the text of every byte
         left = stops[owner] - np.arange(n)  # bytes up to its end
-        # ranks of the first 8 bytes; what follows a text's end does not count, ends rank by text
-        wide = np.concatenate([text, np.zeros(8, np.uint8)])
-        key = np.zeros(n, np.uint64)
-        for j in range(8):
-            key = (key << np.uint64(8)) | np.where(j <= left, wide[j : j + n], 0).astype(np.uint64)
-        rank, _ = _ranks(key)
-        rank, m = _ranks(rank * (len(texts) + 1) + np.where(left < 8, owner + 1, 0))
-        by = {8: rank}
-        step = 8
+        # ranks of the first 6 bytes; what follows a text's end does not count, ends rank by text
+        wide = np.concatenate([text, np.zeros(6, np.uint8)])
+        key = np.zeros(n, np.int64)
+        for j in range(6):
+            key = (key << 8) | np.where(j <= left, wide[j : j + n], 0)
+        ends = np.where(left < 6, owner + 1, 0)
+        if len(texts) < 1 << 15:
+            rank, m = _ranks((key << 15) | ends)
+        else:
+            rank, _ = _ranks(key)
+            rank, m = _ranks(rank * (len(texts) + 1) + ends)
+        by = {6: rank}
+        step = 6
+        times = 3 if (n + 1) ** 3 < 1 << 63 else 2  # ranks that fit into one key
         while m < n:
-            far = np.zeros(n, np.int64)
-            far[:-step] = rank[step:] + 1
-            rank, m = _ranks(rank * (n + 1) + np.where(left >= step, far, 0))
-            step *= 2
+            key = rank
+            for t in range(1, times):
+                far = np.zeros(n, np.int64)
+                far[: max(0, n - t * step)] = rank[t * step :] + 1
+                key = key * (n + 1) + np.where(left >= t * step, far, 0)
+            rank, m = _ranks(key)
+            step *= times
             if step <= length:
                 by[step] = rank
         sa = np.empty(n, np.int64)
         sa[rank] = np.arange(n)
         # rows whose first ``length`` bytes are equal are neighbours: number these classes
-        half = max(s for s in by if s <= length)
-        tail = np.minimum(np.arange(n) + (length - half), n - 1)
-        same = (by[half][sa][1:] == by[half][sa][:-1]) & (by[half][tail[sa]][1:] == by[half][tail[sa]][:-1])
+        some = max(s for s in by if s <= length)
+        same = np.ones(n - 1, bool)
+        for shift in {*range(0, length - some, some), length - some}:  # together they cover all of it
+            part = by[some][np.minimum(sa + shift, n - 1)]
+            same &= part[1:] == part[:-1]
         whole = left[sa] >= length
         self.class_of_row = np.concatenate([[0], np.cumsum(~(same & whole[1:] & whole[:-1]))])
         self.row_text = owner[sa]

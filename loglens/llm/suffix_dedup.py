@@ -49,7 +49,7 @@ BITS = 1 << 28
 DOC_BITS = 1 << 26
 HOT = 200_000
 # A task indexes groups of about this many bytes of stretches at a time.
-GROUP_BYTES = 3 << 20
+GROUP_BYTES = 3 << 19
 _STEP = random_table(8, 3) | U64(1)
 
 
@@ -137,13 +137,13 @@ def _stretches(bits: bytes | None, batches: Iterator[pa.RecordBatch]) -> Iterato
 
 def mark_repeats(texts: list[bytes], docs: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Spans ``(row, first byte, end)`` of the rows' bytes that a smaller document's row also holds."""
+    if not texts or docs.min() == docs.max():
+        return (np.empty(0, np.int64),) * 3
     place: dict[bytes, int] = {}
     own = np.array([place.setdefault(t, len(place)) for t in texts], np.int64)
     different = list(place)
     least = np.full(len(different), np.iinfo(np.int64).max)
     np.minimum.at(least, own, docs)
-    if len(different) == len(texts) == 1 or docs.min() == docs.max():
-        return (np.empty(0, np.int64),) * 3
     index = RunLengthIndex(different, LENGTH)
     begin = np.flatnonzero(np.diff(index.class_of_row, prepend=-1))
     smallest = np.minimum.reduceat(least[index.row_text], begin)
@@ -170,6 +170,12 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
 
     def spans(rows: pa.Table) -> pa.RecordBatch:
+        # a name that only one document has cannot repeat (the bit table lets some pass)
+        name = rows.column("name").to_numpy()
+        ids = rows.column("doc_id").combine_chunks().fill_null(np.iinfo(np.int64).min).to_numpy()
+        first = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
+        alone = np.minimum.reduceat(ids, first) == np.maximum.reduceat(ids, first)
+        rows = rows.filter(pa.array(np.repeat(~alone, np.diff(np.append(first, len(name))))))
         doc = rows.column("doc_id").combine_chunks()
         ids = doc.fill_null(np.iinfo(np.int64).min).to_numpy()
         row, a, b = mark_repeats(rows.column("bytes").to_pylist(), ids, rows.column("start").to_numpy().astype(np.int64))
