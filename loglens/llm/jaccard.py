@@ -6,9 +6,10 @@ shingles of both, in one global order, have a shingle in common (prefix
 filter). The order is rare-first: a fixed table of counters over all documents
 (:data:`SLOTS`) bounds every shingle's frequency from above; ties go by hash, so
 any counting error costs work and never a link. Prefix shingles are shuffled
-once; length and positional filters are applied where they meet, a suffix
-filter (a bound on the sets' difference from counts per hash range) before any
-set is fetched, and what is left is verified once per pair on the whole sets.
+once; length and positional filters are applied where they meet, and a suffix
+filter (a bound on the sets' difference from counts per hash range): a coarse one
+inside the join, a finer one before any set is fetched. What is left is verified
+once per pair on the whole sets.
 
 Pairs inside a large group of similar sets are not enumerated. First every set
 is verified against one set it shares most prefix shingles with (a hub of one
@@ -45,6 +46,9 @@ SLOTS = 1 << 22
 BLOCK = 1 << 12
 # Bits of the table of wanted sets.
 WANTED_BITS = 1 << 26
+# Hash ranges of the coarse suffix filter, which is part of the join.
+RANGES = 64
+COARSE = [f"c{i}" for i in range(RANGES // 8)]
 # Sets remembered by a task to write equal ones once.
 SEEN = 1 << 20
 
@@ -67,12 +71,28 @@ def set_name(s: np.ndarray) -> int:
 
 
 def spread(s: np.ndarray) -> bytes:
-    """Counts of a sorted set per hash range: a power of two of ranges with about 8 shingles each."""
-    ranges = 1 << max(4, int(max(1, len(s) // 8) - 1).bit_length())
+    """Counts of a sorted set per hash range: a power of two of ranges with about 2 shingles each."""
+    ranges = 1 << max(6, int(max(1, len(s) // 2) - 1).bit_length())
     counts = np.bincount((s >> U64(64 - ranges.bit_length() + 1)).astype(np.int64), minlength=ranges)
     return np.minimum(counts, 65535).astype("<u2").tobytes()
 
 
+def coarse(s: np.ndarray) -> np.ndarray:
+    """Counts of a sorted set in :data:`RANGES` hash ranges, one byte each (255: that or more), as longs."""
+    counts = np.bincount((s >> U64(64 - RANGES.bit_length() + 1)).astype(np.int64), minlength=RANGES)
+    return np.minimum(counts, 255).astype(np.uint8).view("<i8")
+
+
+def _coarse_difference(a: str, b: str) -> Column:
+    """A lower bound of the symmetric difference of two sets from the longs of :func:`coarse`."""
+    terms = []
+    for i in range(RANGES // 8):
+        for j in range(0, 64, 8):
+            byte = lambda s: F.shiftrightunsigned(f"{s}{i}", j).bitwiseAND(F.lit(255))  # noqa: E731, B023
+            terms.append(F.abs(byte(a) - byte(b)))
+    return functools.reduce(lambda x, y: x + y, terms)
+
+
 def least_difference(a: bytes, b: bytes) -> int:
     """A lower bound of the symmetric difference of two sets from their :func:`spread`."""
     x, y = np.frombuffer(a, "<u2").astype(np.int64), np.frombuffer(b, "<u2").astype(np.int64)
@@ -84,19 +104,24 @@ def least_difference(a: bytes, b: bytes) -> int:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for run in runs(batch):
-            found = [(set_name(s), len(s), spread(s)) if len(s) else (None, 0, None) for _, s in doc_sets(run.column("text"))]
+            sets = [s for _, s in doc_sets(run.column("text"))]
+            found = [(set_name(s), len(s), spread(s)) if len(s) else (None, 0, None) for s in sets]
             name, n, counts = zip(*found, strict=True)
+            bytes_ = np.array([coarse(s) for s in sets], np.int64).reshape(-1, len(COARSE))
             yield pa.RecordBatch.from_arrays(
-                [run.column("doc_id"), run.column("mark"), pa.array(name, pa.int64()), pa.array(n, pa.int64()), pa.array(counts, pa.binary())],
-                names=["doc_id", "mark", "set_id", "n", "spread"],
+                [run.column("doc_id"), run.column("mark"), pa.array(name, pa.int64()), pa.array(n, pa.int64()), pa.array(counts, pa.binary()), *(pa.array(c) for c in bytes_.T.copy())],
+                names=["doc_id", "mark", "set_id", "n", "spread", *COARSE],
             )
 
 
 def set_table(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Stored table ``doc_id, mark, set_id, n, spread`` of all documents (``set_id`` NULL: empty set)."""
+    """Stored table ``doc_id, mark, set_id, n`` and the counts per hash range of all documents
+    (``set_id`` NULL: empty set)."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
     out = T.StructType([rows.schema["doc_id"], T.StructField("mark", T.LongType()), T.StructField("set_id", T.LongType())])
     out = out.add("n", T.LongType()).add("spread", T.BinaryType())
+    for name in COARSE:
+        out = out.add(name, T.LongType())
     return save(spark, map_arrow(rows, _sets, out), "jaccard-sets")
 
 
@@ -167,50 +192,57 @@ def _postings(levels: bytes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by token, size and set: those of tokens of two or more sets, with the token's
-    first set as its hub. Rows stream through; only the last row's token is remembered."""
-    last: tuple | None = None  # token, set, n, pos of the hub; the hub's row, until a second set shows up
-    open_hub = False
+    """Of rows sorted by token, size and set: those of tokens of two or more sets, each once. Rows
+    stream through; only the first row of the last token is remembered."""
+    last: tuple | None = None  # token, set, n, pos; put out once a second set shows up
+    waiting = False
     for batch in batches:
         if not batch.num_rows:
             continue
         cols = [batch.column(c).to_numpy() for c in ("token", "set_id", "n", "pos")]
-        if last is not None:  # carry the hub over as a first row
+        if last is not None:  # carry it over as a first row
             cols = [np.concatenate([[v], c]).astype(c.dtype) for v, c in zip(last, cols, strict=True)]
         carried = last is not None
         token, name = cols[0], cols[1]
         new = np.ones(len(token), bool)
         new[1:] = token[1:] != token[:-1]
         first = np.flatnonzero(new)
-        hub = np.repeat(first, np.diff(np.append(first, len(token))))
+        head = np.repeat(first, np.diff(np.append(first, len(token))))
         # equal rows of one set (from different tasks) count once
         again = np.zeros(len(token), bool)
         again[1:] = ~new[1:] & (name[1:] == name[:-1])
-        other = ~new & ~again & (name != name[hub])
+        other = ~new & ~again & (name != name[head])
         many = np.zeros(len(token), bool)
-        many[hub[other]] = True
-        # a hub is put out with its first batch in which a second set shows up
+        many[head[other]] = True
         put = other | many
-        if carried and not open_hub:
+        if carried and not waiting:
             put[0] = False
         at = np.flatnonzero(put)
-        yield pa.RecordBatch.from_arrays(
-            [*(pa.array(c[at]) for c in cols), *(pa.array(c[hub[at]]) for c in cols[1:])],
-            names=["token", "set_id", "n", "pos", "hub", "hub_n", "hub_pos"],
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(c[at]) for c in cols], names=["token", "set_id", "n", "pos"])
         begin = first[-1]
-        open_hub = not many[begin] and (open_hub if carried and begin == 0 else True)
+        waiting = not many[begin] and (waiting if carried and begin == 0 else True)
         last = tuple(c[begin] for c in cols)
 
 
 def shared_postings(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Stored ``token, set_id, n, pos, hub, hub_n, hub_pos`` for prefix shingles that two sets share."""
+    """Stored ``token, set_id, n, pos`` for prefix shingles that two sets share."""
     rows = map_arrow(
         docs.select("text"), functools.partial(_postings, frequency_levels(docs)), "token long, set_id long, n int, pos int"
     )
     dealt = rows.repartition("token").sortWithinPartitions("token", "n", "set_id", "pos")
-    out = "token long, set_id long, n int, pos int, hub long, hub_n int, hub_pos int"
-    return save(spark, map_arrow(dealt, _shared, out), "jaccard-shared")
+    return save(spark, map_arrow(dealt, _shared, "token long, set_id long, n int, pos int"), "jaccard-shared")
+
+
+def _hubs(shared: DataFrame) -> DataFrame:
+    """``token, hub, hub_n, hub_pos``: of the sets that share a token, the one most of whose prefix is shared.
+
+    What others were copied from has no rare shingles of its own, so it comes
+    out as the hub of its copies.
+    """
+    of = shared.groupBy("set_id").agg((F.count("*") / F.first("n")).alias("part")).withColumnRenamed("set_id", "_set")
+    best = F.max(F.struct("part", "set_id", "n", "pos")).alias("h")
+    hubs = shared.join(of, F.col("set_id") == F.col("_set")).groupBy("token").agg(best)
+    return hubs.select("token", F.col("h.set_id").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.pos").alias("hub_pos"))
 
 
 def _can_link(n: Column, pos: Column, m: Column, at: Column) -> Column:
@@ -305,10 +337,10 @@ def _ordered_pairs(rows: DataFrame) -> DataFrame:
 
 def set_components(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> DataFrame:
     """``a, b``: every linked set but the smallest of its component, with that smallest."""
-    one = save(spark, sets.filter("n > 0").groupBy("set_id").agg(F.first("n").alias("n"), F.first("spread").alias("spread")), "jaccard-one")
+    one = save(spark, sets.filter("n > 0").groupBy("set_id").agg(*[F.first(c).alias(c) for c in ("n", "spread", *COARSE)]), "jaccard-one")
     shared = shared_postings(spark, docs)
     # 1: every set against the hub it shares most prefix shingles with
-    met = shared.filter("set_id <> hub").filter(_can_link(F.col("n"), F.col("pos"), F.col("hub_n"), F.col("hub_pos")))
+    met = shared.join(save(spark, _hubs(shared), "jaccard-hubs"), "token").filter("set_id <> hub").filter(_can_link(F.col("n"), F.col("pos"), F.col("hub_n"), F.col("hub_pos")))
     met = met.groupBy("set_id", "hub").agg(F.count("*").alias("weight"))
     pairs = suffix_filter(met.select(F.col("set_id").alias("a"), F.col("hub").alias("b"), "weight"), one)
     best = pairs.groupBy("a").agg(F.max_by("b", F.struct("weight", "b")).alias("b"))
@@ -318,15 +350,25 @@ def set_components(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> Dat
     tagged = shared.select("token", "set_id", "n", "pos").join(found.withColumnRenamed("a", "set_id"), "set_id", "left")
     tagged = tagged.select("token", "set_id", "n", "pos", F.coalesce("b", "set_id").alias("comp"))
     mixed = tagged.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    tagged = save(spark, tagged.join(mixed.select("token"), "token", "left_semi"), "jaccard-mixed")
-    groups = tagged.groupBy("token", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    other = groups.select("token", F.col("comp").alias("comp2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    tagged = tagged.join(mixed.select("token"), "token", "left_semi").join(one.select("set_id", *COARSE), "set_id")
+    tagged = save(spark, tagged, "jaccard-mixed")
+    # per component: its sizes, and the most that any of its sets has left from the token on
+    left_over = F.max(F.col("n") - F.col("pos")).alias("rest")
+    groups = tagged.groupBy("token", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), left_over)
+    other = groups.select("token", *[F.col(c).alias(f"{c}2") for c in ("comp", "lo", "hi", "rest")])
     near = (F.col("hi") * 100 >= F.col("lo2") * PERCENT) & (F.col("hi2") * 100 >= F.col("lo") * PERCENT)
-    met = groups.join(other, "token").filter((F.col("comp") < F.col("comp2")) & near).select("token", "comp", "comp2")
-    left = tagged.select("token", "comp", F.col("set_id").alias("a"), "n", "pos")
-    right = tagged.select("token", F.col("comp").alias("comp2"), F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("pos").alias("at"))
-    met = met.join(left, ["token", "comp"]).join(right, ["token", "comp2"])
-    met = met.filter(_can_link(F.col("n"), F.col("pos"), F.col("m"), F.col("at")))
+    near &= F.least("rest", "rest2") * (100 + PERCENT) >= (F.col("lo") + F.col("lo2")) * PERCENT
+    met = groups.join(other, "token").filter((F.col("comp") < F.col("comp2")) & near).select("token", "comp", "comp2", "lo2", "hi2", "rest2")
+    left = tagged.select("token", "comp", F.col("set_id").alias("a"), "n", "pos", *[F.col(c).alias(f"a{i}") for i, c in enumerate(COARSE)])
+    right = tagged.select("token", F.col("comp").alias("comp2"), F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("pos").alias("at"), *[F.col(c).alias(f"b{i}") for i, c in enumerate(COARSE)])
+    # a set that the best of the other component's sets could not match is left out before they are paired
+    may = (F.col("n") * 100 >= F.col("lo2") * PERCENT) & (F.col("hi2") * 100 >= F.col("n") * PERCENT)
+    may &= F.least(F.col("n") - F.col("pos"), "rest2") * (100 + PERCENT) >= (F.col("n") + F.col("lo2")) * PERCENT
+    met = met.join(left, ["token", "comp"]).filter(may).join(right, ["token", "comp2"])
+    both = F.col("n") + F.col("m")
+    # similar sets have 180 * overlap >= 80 * (n + m), and differ in n + m - 2 * overlap
+    close = (both - _coarse_difference("a", "b")) * (100 + PERCENT) >= both * (2 * PERCENT)
+    met = met.filter(_can_link(F.col("n"), F.col("pos"), F.col("m"), F.col("at"))).filter(close)
     pairs = save(spark, suffix_filter(_ordered_pairs(met.select("a", "b")), one), "jaccard-pairs")
     more = verify(spark, docs, pairs)
     return components(spark, links.union(more))
