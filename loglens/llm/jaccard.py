@@ -375,26 +375,28 @@ def set_components(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> Dat
 
 
 def similar_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``doc_id, mark, set_id, n_shingles, component_id`` per document of ``docs(doc_id, text)``.
+    """``doc_id, mark, set_id, n_shingles, root, component_id`` per document of ``docs(doc_id, text)``.
 
     ``component_id`` is the smallest ``doc_id`` reachable over links (itself
-    included); ``mark`` tells texts of one ``doc_id`` apart.
+    included); ``mark`` tells texts of one ``doc_id`` apart. ``root`` (the smallest
+    ``set_id``; NULL for an empty set) names the component itself: several
+    components have the same ``component_id`` where ids are NULL or repeated.
     """
     sets = set_table(spark, docs)
     roots = set_components(spark, docs, sets)
     placed = sets.filter("n > 0").join(roots.withColumnRenamed("a", "set_id"), "set_id", "left")
     placed = placed.select("doc_id", "mark", "set_id", "n", F.coalesce("b", "set_id").alias("root"))
     named = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    full = placed.join(named, "root").select("doc_id", "mark", "set_id", F.col("n").alias("n_shingles"), "component_id")
-    empty = sets.filter("n = 0").select("doc_id", "mark", "set_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    full = placed.join(named, "root").select("doc_id", "mark", "set_id", F.col("n").alias("n_shingles"), "root", "component_id")
+    none = F.lit(None).cast("long").alias("root")
+    empty = sets.filter("n = 0").select("doc_id", "mark", "set_id", F.col("n").alias("n_shingles"), none, F.col("doc_id").alias("component_id"))
     return full.union(empty)
 
 
 def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` with one document (the smallest) of each component; documents with an empty set all stay."""
     found = similar_documents(spark, docs)
-    group = F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("_group")
-    least = found.filter("n_shingles > 0").groupBy(group, F.isnull("component_id").alias("_none"))
+    least = found.filter("n_shingles > 0").groupBy("root")
     stay = least.agg(F.min(F.struct(F.isnull("doc_id").alias("x"), "doc_id", "mark")).alias("s")).select("s.doc_id", "s.mark")
     keys = {"_id": F.xxhash64("doc_id"), "_mark": F.xxhash64("text")}
     stay = stay.select(F.xxhash64("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.lit(False).alias("_all"))

@@ -210,6 +210,22 @@ def test_similar_documents_against_brute_force(spark, odd_docs, odd_rows, no_doc
     assert jaccard.similar_documents(spark, no_docs).collect() == []
 
 
+def test_one_document_of_each_component_stays(spark):
+    texts = {c: " ".join(f"{c}{k}" for k in range(30)) for c in "abcdef"}
+    rows = [
+        (None, texts["a"]), (None, texts["b"]), (None, texts["b"]), (None, texts["b"] + " more"),  # components without a name
+        (7, texts["c"]), (7, texts["d"]), (7, texts["d"]),  # one id, two components
+        (8, texts["e"]), (None, texts["e"]), (3, texts["e"] + " more"), (9, texts["f"]),
+        (None, None), (None, ""), (5, " "),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [tuple(r) for r in jaccard.keep_one(spark, docs).collect()]
+    b = [r for r in kept if r[0] is None and (r[1] or "").startswith("b0")]
+    assert len(b) == 1 and b[0] in rows
+    rest = [(None, texts["a"]), (7, texts["c"]), (7, texts["d"]), (3, texts["e"] + " more"), (9, texts["f"]), *rows[-3:]]
+    assert sorted(map(repr, kept)) == sorted(map(repr, rest + b))
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 80)] + [(300, 300), (401, 400), (400, 401)]
     df = spark.createDataFrame(links, "a long, b long")
