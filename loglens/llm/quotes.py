@@ -14,8 +14,12 @@ is its original: one row per (conversation, unit) is left before the join, so
 a sentence that everybody uses meets every quotation once. A quotation whose
 original is not in the conversation is linked to the first message anywhere
 that wrote it (``source_conv``, ``source_turn``), which does not change the order.
+Inside a conversation units of any length are linked; only links to other
+conversations need :data:`MIN_UNIT` characters.
 
-Defined results: NULL and empty texts have no passages and stay, empty;
+Defined results: a quotation is linked by whole units, so a part of a sentence
+that is no line of its own is not; a passage of nothing but ASCII punctuation is
+one unit, as written without blanks; NULL and empty texts have no passages and stay, empty;
 messages of a NULL ``conv_id`` form a conversation; a NULL ``turn`` comes first and
 is never an original; messages that share ``conv_id`` and ``turn`` are ordered by
 a hash of role and text; a message without a linked quotation begins a thread;
@@ -31,8 +35,10 @@ from pyspark.sql import functions as F
 from .common import save
 
 QUOTE = r"^[ \t]*>[> \t]*"
-# Shorter units (in characters) say nothing about where they come from.
+# Shorter units (in characters) are linked inside their conversation only.
 MIN_UNIT = 12
+# Between two sentences: blanks after a full stop and closing signs; nothing after a full-width one.
+SENTENCE = r"""(?<=[.!?…]["'”’»)\]]{0,3})\s+|(?<=[。！？｡][」』”’）]{0,3})(?![。！？｡」』”’）])"""
 
 
 def parse(messages: DataFrame) -> DataFrame:
@@ -73,16 +79,24 @@ def _normal(text: Column) -> Column:
 
 
 def _units(text: Column) -> Column:
-    """The distinct normalised units of a passage: the whole, its paragraphs, its lines."""
-    parts = F.concat(F.array(text), F.split(text, r"\n[ \t]*\n"), F.split(text, r"\n"))
-    return F.filter(F.array_distinct(F.transform(parts, _normal)), lambda u: F.length(u) >= MIN_UNIT)
+    """The distinct normalised units of a passage: the whole, its paragraphs, its lines and the sentences of both."""
+    cuts = [r"\n[ \t]*\n", r"\n", rf"\n[ \t]*\n|{SENTENCE}", rf"\n|{SENTENCE}"]
+    parts = F.concat(F.array(text), *[F.split(text, c) for c in cuts])
+    units = F.filter(F.array_distinct(F.transform(parts, _normal)), lambda u: u != "")
+    signs = F.filter(F.array(F.regexp_replace(text, r"\s+", "")), lambda u: u != "")
+    return F.when(F.size(units) > 0, units).otherwise(signs)
+
+
+def _unit_hash(u: str) -> Column:
+    """A short unit is hashed with its conversation, so it meets no other one."""
+    return F.when(F.length(u) >= MIN_UNIT, F.xxhash64(u)).otherwise(F.xxhash64(u, "conv_id"))
 
 
 def quoted_units(parsed: DataFrame) -> DataFrame:
     """``conv_id, turn, mark, level, unit, n``: hash and length of every quoted unit."""
     quoted = parsed.select("conv_id", "turn", "mark", F.explode(F.filter("passages", lambda p: p["level"] > 0)).alias("p"))
     rows = quoted.select("conv_id", "turn", "mark", F.col("p.level").alias("level"), F.explode(_units(F.col("p.text"))).alias("u"))
-    return rows.select("conv_id", "turn", "mark", "level", F.xxhash64("u").alias("unit"), F.length("u").alias("n")).distinct()
+    return rows.select("conv_id", "turn", "mark", "level", _unit_hash("u").alias("unit"), F.length("u").alias("n")).distinct()
 
 
 def link_quotes(spark: SparkSession, parsed: DataFrame, quoted: DataFrame) -> DataFrame:
@@ -92,7 +106,7 @@ def link_quotes(spark: SparkSession, parsed: DataFrame, quoted: DataFrame) -> Da
         "conv_id", "turn", F.explode(F.filter("passages", lambda p: p["level"] == 0)).alias("p")
     )
     wrote = wrote.select("conv_id", "turn", F.explode(_units(F.col("p.text"))).alias("u"))
-    wrote = wrote.select("conv_id", "turn", F.xxhash64("u").alias("unit")).join(asked, "unit", "left_semi")
+    wrote = wrote.select("conv_id", "turn", _unit_hash("u").alias("unit")).join(asked, "unit", "left_semi")
     here = wrote.groupBy("conv_id", "unit").agg(F.min("turn").alias("first"))
     here = save(spark, here, "quote-originals")
     anywhere = here.groupBy("unit").agg(F.min(F.struct("conv_id", "first")).alias("source"))

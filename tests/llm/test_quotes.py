@@ -62,3 +62,37 @@ def test_nulls_empties_ties(spark):
     assert [r.parent_turn for r in sorted(by[None], key=lambda r: r.turn)] == [None, 0]
     assert all(r.parent_turn is None for r in by[3] + by[4])
     assert run(spark, []) == []
+
+
+def test_short_units_link_inside_their_conversation(spark):
+    rows = [
+        (1, 0, "a", "Yes, I agree"),
+        (1, 1, "b", "今日は雨です。"),
+        (1, 2, "c", "???"),
+        (1, 3, "b", "> Yes, I agree\nGood."),
+        (1, 4, "b", "> 今日は雨です。\nはい。"),
+        (1, 5, "b", "> ? ??\nNothing."),
+        (2, 0, "a", "> Yes, I agree\nOf another conversation, so not linked."),
+        (None, 0, "a", "no"),
+        (None, 1, "a", "> no\nyes"),
+    ]
+    out = {(r.conv_id, r.turn): r for r in run(spark, rows)}
+    assert [out[1, t].parent_turn for t in range(6)] == [None, None, None, 0, 1, 2]
+    assert [out[1, t].position for t in range(6)] == [0, 2, 4, 1, 3, 5]
+    assert (out[2, 0].source_conv, out[2, 0].source_turn, out[2, 0].parent_turn) == (None, None, None)
+    assert out[None, 1].parent_turn == 0 and out[None, 1].source_turn is None
+
+
+def test_sentences_of_a_passage_are_linked(spark):
+    rows = [
+        (1, 0, "a", "We met on Monday. The door was locked! Nobody (not even Ann.) had\na key to it. So we left."),
+        (1, 1, "b", "雨が降った。「傘がない。」道は暗い！帰ろう。"),
+        (1, 2, "c", "A title\nThen a sentence of its own. And more."),
+        (1, 3, "d", "> The door was locked!\nWhich one?"),
+        (1, 4, "d", "> The door was\n> locked! Nobody (not even Ann.) had a key\n> to it.\nReally?"),
+        (1, 5, "d", "> 道は暗い！\nまだ。"),
+        (1, 6, "d", "> Then a sentence of its own.\nFine."),
+    ]
+    out = {r.turn: r for r in run(spark, rows)}
+    assert [out[t].parent_turn for t in range(7)] == [None, None, None, 0, 0, 1, 2]
+    assert [out[t].depth for t in range(7)] == [0, 0, 0, 1, 1, 1, 1]
