@@ -18,8 +18,9 @@ string never crosses documents.
 
 Which names repeat is told to the scan by a bit table of fixed size; if that
 is too full to help, the names are joined to the documents instead. A name of
-more than ``HOT`` stretches is not left to one task: its windows are grouped by
-Spark, combined before the shuffle.
+more than ``HOT`` stretches, or of more than ``HOT_WINDOWS`` windows in them (long
+runs of periodic text are long stretches), is not left to one task: its windows
+are grouped by Spark, combined before the shuffle.
 
 Defined results: NULL and empty texts, and texts shorter than ``LENGTH``, keep
 everything; documents of equal ``doc_id`` don't remove from each other; a NULL
@@ -48,6 +49,8 @@ SEED = 24
 BITS = 1 << 28
 DOC_BITS = 1 << 26
 HOT = 200_000
+# A stretch of n bytes has n - LENGTH + 1 windows, with several 8-byte values each in an index.
+HOT_WINDOWS = 1 << 22
 # A task indexes groups of about this many bytes of stretches at a time.
 GROUP_BYTES = 3 << 19
 _STEP = random_table(8, 3) | U64(1)
@@ -90,8 +93,11 @@ def stretches(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for run in runs(batch):
-            name, n = np.unique(stretches(*text_bytes(run.column("text")))[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(n)], names=["name", "n"])
+            names, _, begin, end = stretches(*text_bytes(run.column("text")))
+            name, at, n = np.unique(names, return_inverse=True, return_counts=True)
+            windows = np.zeros(len(name), np.int64)
+            np.add.at(windows, at, end - begin - (LENGTH - 1))
+            yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(n), pa.array(windows)], names=["name", "n", "windows"])
 
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,13 +214,14 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("mark"), "text")
 
 
-def repeated_spans(spark: SparkSession, docs: DataFrame, hot: int = HOT, bits: int = BITS) -> DataFrame:
+def repeated_spans(spark: SparkSession, docs: DataFrame, hot: int = HOT, bits: int = BITS, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """Stored ``doc_id, mark, start, end``: spans (bytes) of texts that a smaller document repeats.
 
     Spans of a document may overlap; ``mark`` tells texts of one ``doc_id`` apart.
     """
     keyed = _keyed(docs)
-    names = map_arrow(keyed.select("text"), _names, "name long, n long").groupBy("name").agg(F.sum("n").alias("n"))
+    names = map_arrow(keyed.select("text"), _names, "name long, n long, windows long")
+    names = names.groupBy("name").agg(F.sum("n").alias("n"), F.sum("windows").alias("windows"))
     shared = save(spark, names.filter("n > 1"), "suffix-names")
     table = bit_table(shared, "name", bits)
     out = "name long, doc_id long, mark long, start int, bytes binary"
@@ -225,7 +232,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, hot: int = HOT, bits: i
         of = of.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_list("name").alias("wanted"))
         rows = keyed.join(of, (F.col("mark") == F.col("_mark")) & F.col("doc_id").eqNullSafe(F.col("_id")))
         parts = map_arrow(rows.select("doc_id", "mark", "text", "wanted"), functools.partial(_stretches, None), out)
-    crowded = save(spark, shared.filter(F.col("n") > hot).select("name"), "suffix-hot")
+    crowded = save(spark, shared.filter((F.col("n") > hot) | (F.col("windows") > hot_windows)).select("name"), "suffix-hot")
     few = parts if crowded.isEmpty() else parts.join(crowded, "name", "left_anti")
     dealt = few.repartition("name").sortWithinPartitions("name")
     spans = map_arrow(dealt, _mark, "doc_id long, mark long, start int, end int")

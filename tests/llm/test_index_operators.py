@@ -140,6 +140,29 @@ def test_crowded_names_and_full_bit_table_change_nothing(spark, odd_docs, odd_ro
         assert got == want, given
 
 
+def test_long_periodic_stretches_are_not_left_to_one_task(spark, monkeypatch):
+    r = random.Random(4)
+    rows = [(i, "".join(r.choice("xyz") for _ in range(80)) + "=-" * (1500 + 100 * i) + f" end {i}") for i in range(6)]
+    docs = spark.createDataFrame([*rows, (None, "=-" * 40)], "doc_id long, text string").repartition(3)
+    hot, kept = [], suffix_dedup.save
+
+    def spy(spark, df, name):
+        out = kept(spark, df, name)
+        if name == "suffix-hot":
+            hot.append(out.count())
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "save", spy)
+    want = {(i, n, k) for i, _, n, k, _ in brute_removal([*rows, (None, "=-" * 40)]) if n}
+    for given in ({"hot_windows": 5000}, {}):
+        per: dict = {}
+        for s in suffix_dedup.repeated_spans(spark, docs, **given).collect():
+            per.setdefault(s.doc_id, []).append({"start": s.start, "end": s.end})
+        joined = {i: suffix_dedup._join_spans(spans) for i, spans in per.items()}
+        assert {(i, sum(b - a for a, b in j), len(j)) for i, j in joined.items()} == want
+    assert hot[0] > 0 and hot[1] == 0
+
+
 def test_chunks_of_odd_documents(spark, odd_docs, odd_rows, no_docs):
     rows = chunks.dedup_chunks(spark, odd_docs).collect()
     assert len(rows) == len(odd_rows)
