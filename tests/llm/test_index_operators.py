@@ -175,6 +175,48 @@ def test_chunks_of_odd_documents(spark, odd_docs, odd_rows, no_docs):
     assert chunks.dedup_chunks(spark, no_docs).collect() == []
 
 
+def brute_chunks(rows):
+    """Every document's removal, from the chunks of ``chunks.borders`` and the first place of each text."""
+    placed, first = [], {}
+    for i, t in rows:
+        raw = (t or "").encode()
+        ends, _ = chunks.borders(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        at = [0, *ends.tolist()]
+        placed.append((i, t, raw, list(zip(at, at[1:], strict=False))))
+    marks = dict(zip([t for _, t in rows], xxhash([t for _, t in rows]), strict=True))
+    place = lambda i, t, a: (i is not None, i or 0, marks[t], a)
+    for i, t, raw, pieces in placed:
+        for a, b in pieces:
+            first[raw[a:b]] = min(first.get(raw[a:b], (True, 2**63, 0, 0)), place(i, t, a))
+    out = []
+    for i, t, raw, pieces in placed:
+        gone = [place(i, t, a) != first[raw[a:b]] for a, b in pieces]
+        kept = b"".join(raw[a:b] for (a, b), g in zip(pieces, gone, strict=True) if not g)
+        spans = sum(1 for k, g in enumerate(gone) if g and (k == 0 or not gone[k - 1]))
+        out.append((str(i), len(raw), len(raw) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
+
+
+def xxhash(texts):
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k long, t string").selectExpr("k", "xxhash64(t) AS h")
+    return [r.h for r in sorted(rows.collect(), key=lambda r: r.k)]
+
+
+def test_chunks_against_brute_force(spark, odd_rows):
+    r = random.Random(12)
+    parts = [" ".join(f"t{p}x{r.randint(0, 99)}" for _ in range(r.randint(20, 200))) for p in range(9)]
+    rows = [(i, t) for i, t, *_ in odd_rows]
+    for i in range(40):
+        rows.append((200 + i % 30, "\n".join(r.choice(parts)[r.choice([0, 0, 37]) :] for _ in range(r.randint(1, 5)))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = chunks.dedup_chunks(spark, docs).collect()
+    found = sorted((str(x.doc_id), x.n_bytes, x.n_removed, len(x.removed), hashlib.sha256(x.kept or b"").hexdigest()) for x in got)
+    assert found == brute_chunks(rows) and any(x.n_removed for x in got)
+
+
 def test_chunk_borders_move_with_an_insertion():
     text = " ".join(f"word{i * i % 977}" for i in range(4000)).encode()
     changed = text[:9000] + b" inserted " + text[9000:]

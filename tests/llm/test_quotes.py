@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from loglens.llm import quotes
 
 SCHEMA = "conv_id long, turn long, role string, text string, position string"
@@ -96,3 +98,36 @@ def test_sentences_of_a_passage_are_linked(spark):
     out = {r.turn: r for r in run(spark, rows)}
     assert [out[t].parent_turn for t in range(7)] == [None, None, None, 0, 0, 1, 2]
     assert [out[t].depth for t in range(7)] == [0, 0, 0, 1, 1, 1, 1]
+
+
+def test_generated_quotations_against_brute_force(spark):
+    """Messages of sentences nobody else writes; a quotation takes a line, a paragraph or some sentences of one."""
+    r = random.Random(3)
+    rows, want, n = [], {}, 0
+    for conv in range(12):
+        own: list[list[list[str]]] = []  # paragraphs of sentences per message
+        for turn in range(r.randint(2, 12)):
+            quoted, parent = [], None
+            if own and r.random() < 0.7:
+                parent = r.randrange(len(own))
+                part = r.choice(own[parent])
+                a = r.randrange(len(part))
+                words = " ".join(part[a : r.randint(a + 1, len(part))]).split()
+                k = r.randint(1, len(words))
+                quoted = ["> " + " ".join(w) for w in (words[:k], words[k:]) if w]
+            paragraphs = []
+            for _ in range(r.randint(1, 3)):
+                paragraphs.append([f"m{n + i}" + r.choice(["", " " + "x" * r.randint(1, 30)]) + r.choice(".!?") for i in range(r.randint(1, 4))])
+                n += 4
+            own.append(paragraphs)
+            rows.append((conv, turn, "a", "\n".join([*quoted, "\n\n".join(" ".join(p) for p in paragraphs)])))
+            want[conv, turn] = parent
+    out = {(x.conv_id, x.turn): x for x in run(spark, rows)}
+    assert {k: x.parent_turn for k, x in out.items()} == want
+    for (conv, turn), x in out.items():
+        up, depth = turn, 0
+        while want[conv, up] is not None:
+            up, depth = want[conv, up], depth + 1
+        assert (x.thread, x.depth) == (up, depth)
+        before = sum((y.thread, y.turn) < (x.thread, x.turn) for (c, _), y in out.items() if c == conv)
+        assert x.position == before
