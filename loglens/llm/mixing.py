@@ -17,7 +17,7 @@ less than about its longest document, and the best of a fixed set of rounding
 offsets usually brings them far nearer.
 
 Defined results: a NULL source is a source of its own; a document without
-words (or with NULL text) has size 0 and takes 0 words; identical rows are
+words (or with NULL text) has size 0, takes 0 words and gets no copy; identical rows are
 separate documents; equal sizes are told apart by a hash of the row key, so
 reruns agree; an empty input gives an empty result.
 """
@@ -204,7 +204,8 @@ def mix_documents(
 ) -> DataFrame:
     """The mixed corpus: every document of ``docs`` as often as the mix takes it, with its columns.
 
-    Copies are joined back on the row key, so the texts are shuffled once.
+    Documents of size 0 (NULL or blank text) have rate 0, so they all leave the
+    mixed corpus. Copies are joined back on the row key, so the texts are shuffled once.
     Rows equal in that key get the copies of the equal rows in turn.
     """
     items = size_table(spark, docs)
