@@ -8,9 +8,10 @@ longest, likely its rarest). The words of all documents are scanned against the
 table in one pass, inside one code-generated stage; wherever an anchor occurs,
 the window around it is compared word for word, so every hit is verified.
 
-The windows are broadcast up to ``BROADCAST_BYTES``; beyond that the same join
-is left to Spark (sort-merge with skew handling). Nothing is emitted for a word
-that hits nothing.
+At most ``BROADCAST_BYTES`` of windows are broadcast at a time. A larger set is
+dealt by hash into slices of that size, and the documents are scanned once for
+each; no word of a document is shuffled, however large the benchmark is. Nothing
+is emitted for a word that hits nothing.
 
 Defined results: NULL and empty texts have no words; an item without words has no
 window and a NULL ``item_id`` adds hits but is not listed; repeated documents
@@ -19,6 +20,8 @@ are reported one by one; an empty benchmark leaves every document clean.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,19 +76,23 @@ def find_hits(spark: SparkSession, docs: DataFrame, found: DataFrame) -> DataFra
     head = spark.range(1).select(
         F.lit("").alias("_anchor"), F.lit(0).alias("_offset"), F.lit(None).cast("string").alias("window"), F.lit(0).alias("k")
     )
-    anchors = anchors.union(head)
     size = table.agg(F.sum(F.octet_length("window") + 64)).first()[0] or 0
-    if size <= BROADCAST_BYTES:
-        anchors = F.broadcast(anchors)
+    slices = max(1, -(-size // BROADCAST_BYTES))
     keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("mark"), "text")
     scan = _with_words(keyed).select("doc_id", "mark", "n_words", "_w", F.posexplode("_w").alias("_at", "_word"))
     start = F.col("_at") - F.col("_offset")
     same = (start >= 1) & (F.array_join(F.slice("_w", F.greatest(start, F.lit(1)) + 1, F.col("k")), " ") == F.col("window"))
     match = (F.col("_word") == F.col("_anchor")) & F.when(F.col("k") == 0, F.col("_at") == 0).otherwise(same)
-    hits = scan.join(anchors, match).select(
-        "doc_id", "mark", "n_words", F.when(F.col("k") == 0, -1).otherwise(start - 1).alias("start"), "k", "window"
-    )
-    return save(spark, hits, "decontam-hits")
+    parts = []
+    for i in range(slices):
+        # one slice at a time, so that a task never holds more than one
+        some = anchors if slices == 1 else anchors.filter(F.pmod(F.xxhash64("window"), F.lit(slices)) == i)
+        some = F.broadcast(some if i else some.union(head))
+        hits = scan.join(some, match).select(
+            "doc_id", "mark", "n_words", F.when(F.col("k") == 0, -1).otherwise(start - 1).alias("start"), "k", "window"
+        )
+        parts.append(save(spark, hits, "decontam-hits"))
+    return functools.reduce(DataFrame.union, parts)
 
 
 def _covered(spans: Column) -> Column:
@@ -137,7 +144,7 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
 
 
 def _dirty(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    hits = find_hits(spark, docs, windows(benchmark))
+    hits = find_hits(spark, docs, save(spark, windows(benchmark), "decontam-windows"))
     dirty = hit_documents(hits).filter("n_hit > 0")
     return dirty.select(F.xxhash64("doc_id").alias("_id"), F.col("mark").alias("_mark"), "spans")
 

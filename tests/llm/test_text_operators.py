@@ -145,3 +145,28 @@ def test_toxicity_of_odd_documents(spark, odd_docs, odd_rows, no_docs):
     assert toxicity.score(no_docs, model).collect() == []
     unlabelled = toxicity.train(spark, train, marks.filter("toxic = 1"))
     assert {r.score for r in toxicity.score(odd_docs, unlabelled).collect()} == {0.0}
+
+
+def test_a_large_benchmark_is_broadcast_in_slices(spark, monkeypatch):
+    words = [f"w{k}" for k in range(400)]
+    items = [(i, " ".join(words[20 * i : 20 * i + 14])) for i in range(20)] + [(90, "w3 only"), (91, "w5")]
+    docs = [(i, " ".join(words[15 * i : 15 * i + 40])) for i in range(26)] + [(50, None), (51, "w3 only"), (51, "w3 only")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    want = sorted(map(repr, decontam.contamination(spark, docs, table).collect()))
+    plans, kept = [], decontam.save
+
+    def spy(spark, df, name):
+        if name == "decontam-hits":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(spark, df, name)
+
+    monkeypatch.setattr(decontam, "save", spy)
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 3000)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(repr, decontam.contamination(spark, docs, table).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(plans) > 1 and all("BroadcastHashJoin" in p and "SortMergeJoin" not in p for p in plans)
