@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import chunks, decontam, jaccard, mixing, quality, quotes, suffix_dedup, token_counts, tokens_binary, toxicity
+from . import (
+    chunks,
+    decontam,
+    jaccard,
+    line_dedup,
+    mixing,
+    prefix_trie,
+    quality,
+    quotes,
+    resampling,
+    suffix_dedup,
+    token_counts,
+    tokens_binary,
+    toxicity,
+)
 from .common import save, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,6 +200,142 @@ def op10_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(docs, tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+# crc32 in SQL: the 256-entry table by its rule (fixed value: the reflected polynomial), then one step per byte.
+CRC_TABLE = """
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+         lambda a, x: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)) AS crc
+"""
+
+
+def _crc_sql(text: str) -> str:
+    """DuckDB's crc32 of the UTF-8 bytes of the expression ``text``; ``crc`` is the table."""
+    steps = f"""list_transform(range(octet_length(encode({text}))),
+         lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))"""
+    return f"xor(list_reduce(list_concat([4294967295], {steps}), lambda a, x: xor(a // 256, crc[xor(a % 256, x) + 1])), 4294967295)"
+
+
+FAMILY = 20
+HEADS = 4
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, each rebuilt on the head of its family's first."""
+    conv = F.col("conv_id")
+    head = F.crc32(conv.cast("string").cast("binary")) % HEADS
+    return prefix_trie.prefix_trie(spark, table(spark, sf_dir, "conversations"), conv - conv % FAMILY, head, HEADS - 1)
+
+
+OP11_SQL = rf"""
+WITH table256 AS ({CRC_TABLE}), t AS (
+  SELECT CAST(conv_id AS BIGINT) AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations
+  WHERE conv_id IS NOT NULL
+), hashed AS (
+  SELECT *, sha256(length(role) || ':' || role || text) AS turn_hash,
+         CAST(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS BIGINT) AS words FROM t
+), turns AS (
+  SELECT c, turn_hash, words, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, turn_hash) AS pos FROM hashed
+), convs AS (
+  SELECT c, c - c % 20 AS b, {_crc_sql("CAST(c AS VARCHAR)")} % 4 AS h FROM (SELECT DISTINCT c FROM turns), table256
+), rebuilt AS (
+  SELECT convs.c, 0 AS part, pos, turn_hash, words FROM convs JOIN turns ON turns.c = convs.b AND pos <= h
+  UNION ALL SELECT convs.c, 1, pos, turn_hash, words FROM convs JOIN turns ON turns.c = convs.c AND pos > h
+), paths AS (
+  SELECT c, row_number() OVER w AS depth, md5(string_agg(turn_hash, '') OVER w) AS key, words
+  FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY part, pos)
+  UNION ALL SELECT c, 0, '', 0 FROM convs
+), steps AS (
+  SELECT *, lag(key) OVER w AS parent, lead(key) OVER w AS next FROM paths WINDOW w AS (PARTITION BY c ORDER BY depth)
+), nodes AS (
+  SELECT depth, key, min(c) AS conv_id, min(parent) AS parent, count(*) AS n_convs, count(DISTINCT next) AS n_children,
+         (count(*) - 1) * min(words) AS charge,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (next IS NULL), '')) AS ends_sha256
+  FROM steps GROUP BY depth, key
+), sums AS (
+  SELECT p.depth, p.key, CAST(sum(charge) AS BIGINT) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM nodes n JOIN paths p ON p.c = n.conv_id AND p.depth <= n.depth GROUP BY p.depth, p.key
+), whole AS (
+  SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256, n.key
+  FROM nodes n JOIN sums USING (depth, key) LEFT JOIN nodes up ON up.depth = n.depth - 1 AND up.key = n.parent
+)
+SELECT conv_id, whole.depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256,
+       CASE WHEN whole.depth > 0 THEN CASE WHEN part = 0 THEN b ELSE whole.conv_id END END AS source, pos AS place
+FROM whole LEFT JOIN (
+  SELECT c, part, pos, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS depth FROM rebuilt
+) r ON r.c = whole.conv_id AND r.depth = whole.depth
+LEFT JOIN convs ON convs.c = whole.conv_id
+"""
+
+
+def op12_cuckoo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines that at least three hold, the largest holder aside."""
+    out = line_dedup.dedup_lines(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.coalesce("kept", F.lit("")).cast("binary")
+    return out.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(kept, 256).alias("kept_sha256"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), l AS (
+  SELECT doc_id, unnest(range(1, len(ls) + 1)) AS i, unnest(ls) AS line FROM d
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), repeated AS (
+  SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT doc_id, i, line, keeper IS NOT NULL AND doc_id < keeper AS dropped FROM k LEFT JOIN repeated USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighed by how much they resemble the benchmark; a tenth of those long enough is drawn."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = resampling.score(spark, docs, resampling.learn_gains(docs, table(spark, sf_dir, "benchmark")))
+    return resampling.draw(spark, scored).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+OP13_SQL = rf"""
+WITH table256 AS ({CRC_TABLE}), d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), b AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark
+), dw AS (
+  SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS w FROM d) GROUP BY doc_id, w
+), distinct_words AS (
+  SELECT w FROM dw UNION SELECT w FROM b
+), codes AS (
+  SELECT w, {_crc_sql("w")} % 10000 AS bucket FROM distinct_words, table256
+), source AS (
+  SELECT bucket, sum(n) AS s FROM dw JOIN codes USING (w) GROUP BY bucket
+), target AS (
+  SELECT bucket, count(*) AS t FROM b JOIN codes USING (w) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln(CAST((coalesce(t, 0) + 1) * ((SELECT coalesce(sum(s), 0) FROM source) + 10000) AS DOUBLE)
+         / CAST((s + 1) * ((SELECT coalesce(sum(t), 0) FROM target) + 10000) AS DOUBLE))) AS gain
+  FROM source LEFT JOIN target USING (bucket)
+), weights AS (
+  SELECT doc_id, CAST(sum(n * CAST(gain AS BIGINT)) AS BIGINT) AS weight
+  FROM dw JOIN codes USING (w) JOIN gains USING (bucket) GROUP BY doc_id
+), scored AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000.0 * ln(-ln((CAST(CAST('0x' || left(sha256('2024:' || doc_id), 8) AS BIGINT)
+         AS DOUBLE) + 0.5) / 4294967296.0))) AS BIGINT) AS score
+  FROM d LEFT JOIN weights USING (doc_id)
+), ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_entropy_mix": op1_entropy_mix,
     "op2_host_rules": op2_host_rules,
@@ -197,9 +347,15 @@ QUERIES: dict[str, Query] = {
     "op8_gear_chunks": op8_gear_chunks,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_section_tokens": op10_section_tokens,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_cuckoo_lines": op12_cuckoo_lines,
+    "op13_importance_resample": op13_importance_resample,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_host_rules": OP2_SQL,
     "op3_decontaminate": OP3_SQL,
+    "op11_prefix_trie": OP11_SQL,
+    "op12_cuckoo_lines": OP12_SQL,
+    "op13_importance_resample": OP13_SQL,
 }
