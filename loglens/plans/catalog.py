@@ -8,6 +8,7 @@ written once per session; the landing queries start from the view itself.
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 from collections.abc import Callable
 
@@ -17,17 +18,22 @@ from pyspark.sql.types import LongType
 
 from .. import operators as ops
 from ..functions.columns import with_time_columns
+from ..operators.heavy_hitters import heavy_ip_frequency, heavy_session_patterns, heavy_top_endpoints, heavy_user_activity
 from ..schema import RAW_SCHEMA, RESULT_SCHEMAS, with_field
 from ..session import fresh_path
-from ..sinks.landing import SaveError, land_lines, land_partitioned, land_raw, save_result_csv, to_raw
+from ..sinks.landing import land_lines, land_partitioned, land_raw, save_result_csv, to_raw
+from ..sinks.packing import FILE_BYTES
+from ..sinks.result_sets import read_result_set, save_result_set
 from ..sources.fixture import load_logs
-from ..sources.log_table import log_table
+from ..sources.log_table import log_table, store_logs
+from ..sources.lookup import find_logs, store_lookup_logs
 from ..sources.json_logs import read_json_logs, read_partitioned_logs, read_with_rejects, reject_summary
 from ..sources.results import file_inventory, read_result_csv, zone_status, zone_usage
 from ..streaming.ingest import ingest, ingest_summary, read_ingested
+from .daily_state import DailyState
 from .one_scan import analyze_in_one_scan
-from .oracle import LONG_FORM
-from .report import analyze, save_report
+from .report import BOUNDED_RESULTS, long_form, result_order
+from .sql_functions import register_functions
 from .views import register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +81,10 @@ ANALYSES: dict[str, Query] = {
     "distinct_endpoints": _on_logs(ops.distinct_endpoints),
     "server_key_counts": _on_logs(ops.server_key_counts),
     "error_server_times": _on_logs(ops.error_server_times),
+    "heavy_endpoints": _on_logs(heavy_top_endpoints),
+    "heavy_addresses": _on_logs(heavy_ip_frequency),
+    "heavy_users": _on_logs(heavy_user_activity),
+    "heavy_sessions": _on_logs(heavy_session_patterns),
     "time_columns": _on_logs(with_time_columns),
     "sample_rows": _on_logs(lambda logs: ops.sample_rows(logs, key=["event_id"])),
 }
@@ -201,33 +211,92 @@ def sql_logs_time(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM catalog_logs_time GROUP BY date, hour ORDER BY date, hour""")
 
 
-def _long(results: dict[str, DataFrame], names: list[str]) -> DataFrame:
-    """The named results one below the other, as ``result, key, n``."""
-    parts = []
-    for name in names:
-        key, n = LONG_FORM[name]
-        parts.append(results[name].select(F.lit(name).alias("result"), F.col(key).cast("string").alias("key"), F.col(n).cast("long").alias("n")))
-    return functools.reduce(DataFrame.unionByName, parts)
-
-
 def saved_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Several results saved as CSV as a set, all read back, one below the other."""
-    names = ["level_distribution", "top_endpoints", "error_analysis", "hourly_traffic", "server_activity"]
-    results = {n: r for n, r in analyze(log_table(spark, sf_dir)).items() if n in names}
+    """All results of the report, saved as one set of CSV files and read back through its manifest."""
+    results = analyze_in_one_scan(spark, log_table(spark, sf_dir))
     base = fresh_path(spark, "saved-report")
-    status = save_report(results, base)
-    if any(text != "ok" for text in status.values()):
-        raise SaveError(status)
-    return _long({n: read_result_csv(spark, f"{base}/{n}", RESULT_SCHEMAS[n]) for n in names}, names)
+    save_result_set(spark, results, base, BOUNDED_RESULTS, {n: result_order(n) for n in results})
+    return long_form(read_result_set(spark, base))
 
 
 def one_scan_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Results of the one-scan report, one below the other."""
-    names = [
-        "level_distribution", "top_endpoints", "error_analysis", "hourly_traffic", "server_activity",
-        "server_performance", "daily_traffic", "ip_frequency", "user_activity",
-    ]
-    return _long(analyze_in_one_scan(spark, log_table(spark, sf_dir)), names)
+    """All results of the one-scan report, one below the other."""
+    return long_form(analyze_in_one_scan(spark, log_table(spark, sf_dir)))
+
+
+# The days of the range reports.
+RANGE = ("2024-01-10", "2024-01-20")
+
+
+def _range_days() -> list[dt.date]:
+    first, last = (dt.date.fromisoformat(d) for d in RANGE)
+    return [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+
+
+def _daily_state(spark: SparkSession, sf_dir: str) -> DailyState:
+    """The daily state after two drops and a day that lands again."""
+    logs = log_table(spark, sf_dir)
+    early = F.dayofmonth("timestamp") <= 15
+    state = DailyState.open(spark, fresh_path(spark, "daily-state"))
+    # the first drop has only half of one day; the whole day lands later
+    state = state.refresh(logs.filter(early & ((F.to_date("timestamp") != F.lit(RANGE[0]).cast("date")) | (F.hour("timestamp") < 12))))
+    state = state.refresh(logs.filter(~early | F.col("timestamp").isNull()))
+    return state.refresh(logs, days=[RANGE[0]])
+
+
+def daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All results of the report from groups kept per day and refreshed in three steps."""
+    return long_form(_daily_state(spark, sf_dir).results())
+
+
+def daily_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All results of the report over a range of days, from the groups kept per day."""
+    return long_form(_daily_state(spark, sf_dir).results(_range_days()))
+
+
+def distinct_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct counts over a range of days, from the bitmaps kept per day."""
+    return _daily_state(spark, sf_dir).distinct_counts(_range_days()).select("metric", "key", "count", "has_null")
+
+
+def packed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``date, records, packed``: the log table's days, and whether each has about a file per ``FILE_BYTES``."""
+    path = store_logs(spark, load_logs(spark, sf_dir))
+    day = F.regexp_extract("path", r"/date=([^/]+)/", 1).cast("date")
+    files = file_inventory(spark, path).groupBy(day.alias("date")).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    rows = spark.read.parquet(path).groupBy("date").agg(F.count("*").alias("records"))
+    most = 1 + F.ceil(2 * F.col("bytes") / F.lit(FILE_BYTES))
+    return rows.join(files, "date").select("date", "records", (F.col("files") <= most).alias("packed"))
+
+
+def lookup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``by, event_id``: the rows of the last user, the last session and the first address, found by look-up."""
+    logs = load_logs(spark, sf_dir)
+    path = store_lookup_logs(spark, logs)
+    wanted = logs.agg(F.max("user_id").alias("user_id"), F.max("session_id").alias("session_id"), F.min("ip_address").alias("ip_address")).first()
+    parts = [
+        find_logs(spark, path, logs.schema, **{key: value}).select(F.lit(key).alias("by"), "event_id")
+        for key, value in wanted.asDict().items()
+        if value is not None
+    ]
+    none = logs.select(F.lit("").alias("by"), "event_id").limit(0)
+    return functools.reduce(DataFrame.unionByName, parts, none)
+
+
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports with parameters, asked in SQL through table functions."""
+    register_views(spark, log_table(spark, sf_dir), prefix="catalog_")
+    register_functions(spark, prefix="catalog_")
+    return spark.sql("""
+        SELECT 'endpoints' AS report, endpoint AS key, requests AS n FROM catalog_top_endpoints(k => 7)
+        UNION ALL SELECT 'addresses', ip_address, requests FROM catalog_top_addresses()
+        UNION ALL SELECT 'users', user_id, requests FROM catalog_busiest_users(20)
+        UNION ALL SELECT 'sessions', session_id, page_views FROM catalog_busiest_sessions(k => 3)
+        UNION ALL SELECT 'pairs', concat(endpoint, ' ', method), frequency FROM catalog_frequent_pairs(3, 12)
+        UNION ALL SELECT 'errors', concat(server, ' ', endpoint, ' ', status_code), frequency FROM catalog_recurring_errors(k => 6, error_from => 500)
+        UNION ALL SELECT 'traffic', concat(date, ' ', hour), requests * 1000 + errors
+                  FROM catalog_traffic_between(TIMESTAMP_NTZ '2024-01-10 06:00:00', TIMESTAMP_NTZ '2024-01-12 00:00:00')
+        UNION ALL SELECT 'slow', server, max_response_ms FROM catalog_slow_servers(300.0)""")
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,6 +323,12 @@ SOURCES_AND_SINKS: dict[str, Query] = {
     "scan_mixed_types": scan_mixed_types,
     "ingest_rejects": ingest_rejects,
     "sql_logs_time": sql_logs_time,
+    "sql_functions": sql_functions,
+    "packed_table": packed_table,
+    "lookup_rows": lookup_rows,
+    "daily_report": daily_report,
+    "daily_range": daily_range,
+    "distinct_range": distinct_range,
     "saved_report": saved_report,
     "one_scan_report": one_scan_report,
     "profile_input": _on_logs(ops.profile_input),

@@ -202,30 +202,82 @@ def _profile_sql() -> str:
     return "\nUNION ALL ".join(parts)
 
 
-# Columns of a result in the long form (result, key, n).
-LONG_FORM = {
-    "level_distribution": ("level", "count"),
-    "top_endpoints": ("endpoint", "requests"),
-    "error_analysis": ("status_code", "count"),
-    "hourly_traffic": ("hour", "requests"),
-    "server_activity": ("server", "requests"),
-    "server_performance": ("server", "total_requests"),
-    "daily_traffic": ("date", "requests"),
-    "ip_frequency": ("ip_address", "requests"),
-    "user_activity": ("user_id", "requests"),
-}
+# Results of the report that have another statement's name here.
+_SAME_AS = {"endpoint_method_pairs": "support_pass_through", "error_patterns": "error_patterns_fallback"}
+
+# Naming columns and measures of every result of the report ("@" marks a time, "$" a text, others are numbers).
+LONG_FORM: dict[str, tuple[list[str], list[str]]] = {
+    "level_distribution": (["level"], ["count", "percentage"]),
+    "level_counts": (["level"], ["count"]),
+    "top_endpoints": (["endpoint"], ["requests"]),
+    "error_analysis": (["status_code"], ["count", "error_rate"]),
+    "error_count": ([], ["count"]),
+    "server_performance": (["server"], ["total_requests", "avg_response_ms", "max_response_ms"]),
+    "server_requests_avg": (["server"], ["requests", "avg_time"]),
+    "server_key_counts": (["server"], ["count"]),
+    "hourly_traffic": (["hour"], ["requests", "avg_response_time", "errors"]),
+    "hour_counts": (["hour"], ["requests"]),
+    "daily_traffic": (["date"], ["requests", "avg_response_time", "error_rate"]),
+    "ip_frequency": (["ip_address"], ["requests"]),
+    "null_counts": ([], ["null_endpoints", "null_methods", "null_servers"]),
+    "unique_endpoints": ([], ["count"]),
+    "distinct_endpoints": ([], ["count"]),
+    "simple_count": ([], ["count"]),
+    "endpoint_method_pairs": (["endpoint", "method"], ["frequency", "percentage"]),
+    "endpoint_method_top20": (["endpoint", "method"], ["requests"]),
+    "error_patterns": (["server", "endpoint", "status_code"], ["frequency"]),
+    "pattern_statistics": ([], ["unique_endpoints", "unique_methods", "unique_combinations", "unique_servers"]),
+    "server_activity": (["server"], ["requests", "unique_endpoints", "unique_methods"]),
+    "kpi_summary": ([], [
+        "total_records", "error_count", "error_percentage", "unique_endpoints", "$top_endpoint", "top_endpoint_requests",
+        "$slowest_server", "slowest_server_avg_ms",
+    ]),
+    "user_activity": (["user_id"], ["requests", "sessions", "unique_pages", "avg_response_time"]),
+    "session_patterns": (["session_id", "user_id"], ["page_views", "unique_pages", "@session_start", "@session_end"]),
+}
+
+
+def _measure(name: str) -> str:
+    kind, column = (name[0], name[1:]) if name[0] in "@$" else ("", name)
+    number = "NULL::DOUBLE" if kind else f"CAST({column} AS DOUBLE)"
+    text = {"": "NULL::VARCHAR", "$": column, "@": f"strftime({column}, '%Y-%m-%d %H:%M:%S.%f')"}[kind]
+    return f"{{'measure': '{column}', 'number': {number}, 'text': {text}}}"
 
 
 def _long(names: list[str]) -> str:
-    """The named results one below the other."""
-    parts = [
-        f"SELECT '{n}' AS result, CAST({LONG_FORM[n][0]} AS VARCHAR) AS key, CAST({LONG_FORM[n][1]} AS BIGINT) AS n "
-        f"FROM ({_BODIES[n].strip()})"
-        for n in names
-    ]
+    """The named results one below the other, whole."""
+    parts = []
+    for n in names:
+        keys, measures = LONG_FORM[n]
+        key = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '(null)')" for k in keys) or "''"
+        body = _BODIES[_SAME_AS.get(n, n)].strip()
+        body = f"WITH {body[1:]}" if body.startswith(",") else body
+        parts.append(f"SELECT '{n}' AS result, {key} AS key, unnest([{', '.join(map(_measure, measures))}], recursive := true) FROM ({body})")
     return "\nUNION ALL ".join(parts)
 
 
+def _in_range(statement: str) -> str:
+    """``statement`` over the logs of the range reports' days."""
+    return f"""
+        , all_logs AS (SELECT * FROM logs)
+        SELECT * FROM (
+          WITH logs AS (SELECT * FROM all_logs WHERE CAST(timestamp AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20')
+          {statement})"""
+
+
+_DISTINCT = """
+    SELECT 'endpoints' AS metric, NULL::VARCHAR AS key, COUNT(DISTINCT endpoint) AS count, bool_or(endpoint IS NULL) AS has_null FROM logs
+    UNION ALL SELECT 'pair_endpoints', NULL, COUNT(DISTINCT endpoint), FALSE FROM logs WHERE endpoint IS NOT NULL AND method IS NOT NULL
+    UNION ALL SELECT 'pair_methods', NULL, COUNT(DISTINCT method), FALSE FROM logs WHERE endpoint IS NOT NULL AND method IS NOT NULL
+    UNION ALL SELECT 'pair_servers', NULL, COUNT(DISTINCT server), bool_or(server IS NULL) FROM logs
+              WHERE endpoint IS NOT NULL AND method IS NOT NULL
+    UNION ALL SELECT 'pairs', NULL, COUNT(DISTINCT (endpoint, method)), FALSE FROM logs WHERE endpoint IS NOT NULL AND method IS NOT NULL
+    UNION ALL SELECT 'server_endpoints', server, COUNT(DISTINCT endpoint), bool_or(endpoint IS NULL) FROM logs
+              WHERE server IS NOT NULL GROUP BY server
+    UNION ALL SELECT 'server_methods', server, COUNT(DISTINCT method), bool_or(method IS NULL) FROM logs
+              WHERE server IS NOT NULL GROUP BY server"""
+
+
 # The text line of an event in the landed zones.
 _LINE = "(CAST(event_id AS VARCHAR) || ',' || event_type)"
 
@@ -257,11 +309,42 @@ _BODIES.update(
             SELECT CAST(timestamp AS DATE) AS date, CAST(hour(timestamp) AS INTEGER) AS hour, COUNT(*) AS requests,
                    COUNT(*) FILTER (WHERE {ERR}) AS errors, (SELECT COUNT(*) FROM logs) AS all_requests
             FROM logs GROUP BY 1, 2 ORDER BY 1, 2""",
-        "saved_report": _long(["level_distribution", "top_endpoints", "error_analysis", "hourly_traffic", "server_activity"]),
-        "one_scan_report": _long(
-            ["level_distribution", "top_endpoints", "error_analysis", "hourly_traffic", "server_activity",
-             "server_performance", "daily_traffic", "ip_frequency", "user_activity"]
-        ),
+        "saved_report": _long(list(LONG_FORM)),
+        "one_scan_report": _long(list(LONG_FORM)),
+        "daily_report": _long(list(LONG_FORM)),
+        "daily_range": _in_range(_long(list(LONG_FORM))),
+        "distinct_range": _in_range(_DISTINCT),
+        "heavy_endpoints": _BODIES["top_endpoints"],
+        "heavy_addresses": _BODIES["ip_frequency"],
+        "heavy_users": _BODIES["user_activity"],
+        "heavy_sessions": _BODIES["session_patterns"],
+        "packed_table": "SELECT CAST(timestamp AS DATE) AS date, COUNT(*) AS records, TRUE AS packed FROM logs GROUP BY 1",
+        "lookup_rows": """
+            SELECT 'user_id' AS by, event_id FROM logs WHERE user_id = (SELECT MAX(user_id) FROM logs)
+            UNION ALL SELECT 'session_id', event_id FROM logs WHERE session_id = (SELECT MAX(session_id) FROM logs)
+            UNION ALL SELECT 'ip_address', event_id FROM logs WHERE ip_address = (SELECT MIN(ip_address) FROM logs)""",
+        "sql_functions": """
+            SELECT 'endpoints' AS report, endpoint AS key, n FROM (SELECT endpoint, COUNT(*) AS n FROM logs GROUP BY endpoint
+                ORDER BY n DESC, endpoint NULLS FIRST LIMIT 7)
+            UNION ALL SELECT 'addresses', ip_address, n FROM (SELECT ip_address, COUNT(*) AS n FROM logs GROUP BY ip_address
+                ORDER BY n DESC, ip_address NULLS FIRST LIMIT 5)
+            UNION ALL SELECT 'users', user_id, n FROM (SELECT user_id, COUNT(*) AS n FROM logs WHERE user_id IS NOT NULL
+                GROUP BY user_id ORDER BY n DESC, user_id LIMIT 20)
+            UNION ALL SELECT 'sessions', session_id, n FROM (SELECT session_id, user_id, COUNT(*) AS n FROM logs
+                WHERE session_id IS NOT NULL GROUP BY session_id, user_id ORDER BY n DESC, session_id, user_id NULLS FIRST LIMIT 3)
+            UNION ALL SELECT 'pairs', endpoint || ' ' || method, n FROM (SELECT endpoint, method, COUNT(*) AS n FROM logs
+                WHERE endpoint IS NOT NULL AND method IS NOT NULL GROUP BY endpoint, method HAVING COUNT(*) > 3
+                ORDER BY n DESC, endpoint, method LIMIT 12)
+            UNION ALL SELECT 'errors', server || ' ' || endpoint || ' ' || status_code, n FROM (
+                SELECT server, endpoint, status_code, COUNT(*) AS n FROM logs
+                WHERE status_code >= 500 AND server IS NOT NULL AND endpoint IS NOT NULL
+                GROUP BY server, endpoint, status_code HAVING COUNT(*) > 2 ORDER BY n DESC, server, endpoint, status_code LIMIT 6)
+            UNION ALL SELECT 'traffic', CAST(timestamp AS DATE) || ' ' || hour(timestamp),
+                COUNT(*) * 1000 + COUNT(*) FILTER (WHERE status_code >= 400)
+                FROM logs WHERE timestamp >= TIMESTAMP '2024-01-10 06:00:00' AND timestamp < TIMESTAMP '2024-01-12 00:00:00'
+                GROUP BY CAST(timestamp AS DATE), hour(timestamp)
+            UNION ALL SELECT 'slow', server, MAX(response_time) FROM logs GROUP BY server
+                HAVING (200 * SUM(response_time) + COUNT(response_time)) // (2 * COUNT(response_time)) >= 30000""",
         "zone_usage": f"""
             SELECT 'events' AS zone, CAST(SUM(strlen({_LINE}) + 1) AS BIGINT) AS bytes FROM events
             UNION ALL

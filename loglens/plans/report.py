@@ -3,6 +3,7 @@ whole flow from raw log files to saved results."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,6 +37,61 @@ _SORTED: dict[str, tuple[list[str], list[str]]] = {
 }
 
 
+# The columns that name a row of each result; the others are its measures.
+RESULT_KEYS: dict[str, list[str]] = {
+    "level_distribution": ["level"],
+    "level_counts": ["level"],
+    "top_endpoints": ["endpoint"],
+    "error_analysis": ["status_code"],
+    "error_count": [],
+    "server_performance": ["server"],
+    "server_requests_avg": ["server"],
+    "server_key_counts": ["server"],
+    "hourly_traffic": ["hour"],
+    "hour_counts": ["hour"],
+    "daily_traffic": ["date"],
+    "ip_frequency": ["ip_address"],
+    "null_counts": [],
+    "unique_endpoints": [],
+    "distinct_endpoints": [],
+    "simple_count": [],
+    "endpoint_method_pairs": ["endpoint", "method"],
+    "endpoint_method_top20": ["endpoint", "method"],
+    "error_patterns": ["server", "endpoint", "status_code"],
+    "pattern_statistics": [],
+    "server_activity": ["server"],
+    "kpi_summary": [],
+    "user_activity": ["user_id"],
+    "session_patterns": ["session_id", "user_id"],
+}
+
+
+def long_form(results: dict[str, DataFrame]) -> DataFrame:
+    """Results one below the other, whole: ``result, key, measure, number, text``, a row per row and measure.
+
+    ``key`` joins the naming columns with ``|`` (NULL as ``(null)``). Numbers are in
+    ``number``; texts and times, as text, in ``text``.
+    """
+    parts = []
+    for name, frame in results.items():
+        keys = [F.coalesce(F.col(c).cast("string"), F.lit("(null)")) for c in RESULT_KEYS[name]]
+        measures = []
+        for f in frame.schema.fields:
+            if f.name in RESULT_KEYS[name]:
+                continue
+            text, number = F.lit(None).cast("string"), F.lit(None).cast("double")
+            if f.dataType.typeName() == "timestamp_ntz":
+                text = F.date_format(f.name, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            elif f.dataType.typeName() == "string":
+                text = F.col(f.name)
+            else:
+                number = F.col(f.name).cast("double")
+            measures.append(F.struct(F.lit(f.name).alias("measure"), number.alias("number"), text.alias("text")))
+        rows = frame.select(F.lit(name).alias("result"), F.concat_ws("|", *keys).alias("key"), F.explode(F.array(*measures)).alias("m"))
+        parts.append(rows.select("result", "key", "m.*"))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def result_order(name: str) -> list[Column]:
     """The sort columns of a result (none if its rows have no order)."""
     desc, asc = _SORTED.get(name, ([], []))

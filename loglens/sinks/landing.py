@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import LOG_FIELDS
+from .packing import FILE_BYTES, write_packed
 
 # Text form of a timestamp in a log line: ISO-8601 UTC with microseconds.
 TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
@@ -35,31 +36,25 @@ def land_raw(logs: DataFrame, path: str, mode: str = "overwrite", compression: s
 
 
 def land_partitioned(
-    logs: DataFrame, base: str, cluster: bool = True, max_records_per_file: int = 0
+    logs: DataFrame, base: str, cluster: bool = True, max_records_per_file: int = 0, file_bytes: int = FILE_BYTES
 ) -> str:
     """Write typed logs as JSON Lines in ``base/date=YYYY-MM-DD/``.
 
     Re-landing replaces only the dates present in ``logs`` (dynamic partition
-    overwrite). Rows are first range-partitioned on ``(date, timestamp)``, so
-    every task writes a contiguous time slice: a very busy day is split over
-    several tasks, and there are about as many files as tasks and dates. With
-    ``cluster=False`` there is no shuffle and each task writes the dates it
+    overwrite). Rows are packed by date (:mod:`.packing`): about one file per date and
+    ``file_bytes``, in time order inside a file; a very busy day is split over several
+    tasks. With ``cluster=False`` there is no shuffle and each task writes the dates it
     holds; use it for input in time order (one or two dates per task), as
     unordered input would leave up to tasks x dates small files.
-    ``max_records_per_file`` bounds file size.
+    ``max_records_per_file`` bounds file size by rows.
     """
-    df = logs.withColumn("date", F.to_date("timestamp"))
-    if cluster:
-        df = df.repartitionByRange("date", "timestamp")
-    writer = (
-        to_raw(df)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-    )
+    df = to_raw(logs.withColumn("date", F.to_date("timestamp")))
+    options = {"partitionOverwriteMode": "dynamic"}
     if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.json(base)
+        options["maxRecordsPerFile"] = str(max_records_per_file)
+    if cluster:
+        return write_packed(df, base, ["date"], file_bytes, ["timestamp"], "json", "overwrite", options)
+    df.write.mode("overwrite").options(**options).partitionBy("date").json(base)
     return base
 
 

@@ -51,7 +51,7 @@ def parse_timestamp(text: str | Column = "timestamp", zone_aware: bool = True) -
     part = lambda i: F.coalesce(F.regexp_extract(c, OFFSET, i).try_cast("int"), F.lit(0))
     minutes = part(2) * 60 + part(3)
     shift = F.make_dt_interval(mins=F.when(F.regexp_extract(c, OFFSET, 1) == "-", minutes).otherwise(-minutes))
-    return F.when(has, wall + shift).otherwise(wall)
+    return F.when(c.endswith("Z"), wall).when(has, wall + shift).otherwise(wall)
 
 
 def to_typed(raw: DataFrame, zone_aware: bool = True) -> DataFrame:
@@ -61,10 +61,8 @@ def to_typed(raw: DataFrame, zone_aware: bool = True) -> DataFrame:
 
 def parse_long(text: Column) -> Column:
     """Number text -> BIGINT, fractions rounded half up; NULL when it is no number or too large."""
-    whole = text.try_cast("bigint")
-    exact = F.round(text.try_cast("decimal(38,9)"), 0).try_cast("bigint")
-    # the cast of a fractional text to BIGINT cuts it off, so plain digits only
-    return F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), whole).otherwise(exact)
+    whole = text.try_cast("bigint")  # NULL for a fraction or an exponent; those go the longer way
+    return F.coalesce(whole, F.round(text.try_cast("decimal(38,9)"), 0).try_cast("bigint"))
 
 
 def _text_schema(schema: StructType) -> StructType:

@@ -7,7 +7,8 @@ later analysis a columnar scan that reads only the columns it uses, with
 directories to prune by day, and a table that outlives lost executors (unlike a
 cache) and cuts the lineage back to the raw input.
 
-Rows are neither sorted nor shuffled for it: a task writes the dates it holds.
+Rows are packed by date (:mod:`loglens.sinks.packing`): about one file per date and
+128 MB, whatever the order of the input; only input in time order may skip that shuffle.
 Tables are written under ``<spark.checkpoint.dir>/loglens/`` and never deleted by
 the library; give that prefix a lifecycle rule, or delete it between runs.
 Input that is already such a table (or an ingested one, see
@@ -18,17 +19,21 @@ from __future__ import annotations
 
 import datetime as dt
 import os
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructType
 
+from ..schema import with_field
 from ..session import fresh_path, session_key
+from ..sinks.packing import FILE_BYTES, write_packed
 from .fixture import logs_from_events
 from .json_logs import PARTITION_COLUMN
 from .results import file_inventory
 
-_TABLES: dict[tuple, str] = {}
+# per input and state of it: the opened table (its files are listed once)
+_TABLES: dict[tuple, DataFrame] = {}
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -39,24 +44,38 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def store_logs(
-    spark: SparkSession, logs: DataFrame, columns: Sequence[str] | None = None, partitions: int | None = None
+    spark: SparkSession,
+    logs: DataFrame,
+    columns: Sequence[str] | None = None,
+    file_bytes: int = FILE_BYTES,
+    sort_by: Sequence[str] = (),
+    cluster: bool = True,
+    path: str | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> str:
-    """Write ``logs`` (or some ``columns`` of them) partitioned by ``date``; returns the path.
+    """Write ``logs`` (or some ``columns`` of them) partitioned by ``date``; returns the path (a new one by default).
 
-    ``partitions`` spreads the rows over so many tasks first, a full shuffle:
-    only for input that arrives as a few unsplittable files.
+    Rows are packed into files of about ``file_bytes`` per date, sorted by
+    ``sort_by`` inside a file. ``cluster=False`` writes them where they are, without a shuffle:
+    only for input in time order, as each task writes a file for every date that it holds.
     """
-    out = logs.select(*columns) if columns else logs
-    if partitions:
-        out = out.repartition(partitions)
-    path = fresh_path(spark, "log-table")
-    out.withColumn(PARTITION_COLUMN, F.to_date("timestamp")).write.partitionBy(PARTITION_COLUMN).parquet(path)
+    out = (logs.select(*columns) if columns else logs).withColumn(PARTITION_COLUMN, F.to_date("timestamp"))
+    path = path or fresh_path(spark, "log-table")
+    if cluster:
+        return write_packed(out, path, [PARTITION_COLUMN], file_bytes, sort_by, options=options)
+    out.write.options(**(options or {})).partitionBy(PARTITION_COLUMN).parquet(path)
     return path
 
 
-def read_log_table(spark: SparkSession, path: str, dates: Iterable[str | dt.date] | None = None) -> DataFrame:
-    """The logs stored under ``path``, of all or some ``dates`` (directory pruning)."""
-    table = spark.read.parquet(path)
+def read_log_table(
+    spark: SparkSession, path: str, dates: Iterable[str | dt.date] | None = None, schema: StructType | None = None
+) -> DataFrame:
+    """The logs stored under ``path``, of all or some ``dates`` (directory pruning).
+
+    With their ``schema`` no file is read to find it.
+    """
+    reader = spark.read.schema(with_field(schema, PARTITION_COLUMN, DateType())) if schema else spark.read
+    table = reader.parquet(path)
     if dates is not None:
         wanted = [d if isinstance(d, dt.date) else dt.date.fromisoformat(d) for d in dates]
         table = table.filter(F.col(PARTITION_COLUMN).isin(wanted))
@@ -77,10 +96,11 @@ def _input_state(spark: SparkSession, path: str) -> tuple:
     return tuple(row)
 
 
-def log_table(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+def log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log view over ``{sf_dir}/events.parquet``, stored once per application and state of the input files."""
     path = f"{sf_dir}/events.parquet"
     key = (session_key(spark), path, _input_state(spark, path))
     if key not in _TABLES:
-        _TABLES[key] = store_logs(spark, logs_from_events(spark.read.parquet(path)), partitions=partitions)
-    return read_log_table(spark, _TABLES[key])
+        logs = logs_from_events(spark.read.parquet(path))
+        _TABLES[key] = read_log_table(spark, store_logs(spark, logs), schema=logs.schema)
+    return _TABLES[key]

@@ -255,7 +255,7 @@ def test_log_table_prunes_days(spark):
     from loglens.sources.log_table import read_log_table, store_logs
 
     logs = load_logs(spark, SF_SMALL)
-    day = read_log_table(spark, store_logs(spark, logs, partitions=2), dates=["2024-01-15"])
+    day = read_log_table(spark, store_logs(spark, logs), dates=["2024-01-15"])
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan and "2024-01-15" in plan
     assert same_rows(day, logs.filter(F.to_date("timestamp") == F.lit("2024-01-15").cast("date")))
