@@ -116,7 +116,7 @@ def rebuilt_table(spark: SparkSession, turns: DataFrame, base: Column, head: Col
     convs = save(spark, convs.withColumns({"base": base.cast("long"), "h": head.cast("long")}), "trie-conversations")
     bases = convs.select(F.col("conv_id").alias("base"), F.col("n").alias("base_n"), *(F.col(f"{v}_{i}").alias(f"base_{v}_{i}") for i in range(1, max_head + 1) for v in _FIRST))
     both = convs.join(bases, "base", "left")
-    both = both.withColumns({"hh": F.coalesce(F.least("h", "base_n"), F.lit(0)), "oh": F.least("h", "n")})
+    both = both.withColumns({"hh": F.least(F.col("h"), F.coalesce("base_n", F.lit(0))), "oh": F.least("h", "n")})
 
     def at(prefix: str, half: str, n: str) -> Column:  # hash of the first n turns
         found = [F.when(F.col(n) == i, F.col(f"{prefix}{half}_{i}")) for i in range(1, max_head + 1)]
