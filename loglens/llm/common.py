@@ -32,6 +32,21 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(session_key(spark))
 
 
+def whole_row(df: DataFrame, name: str = "row") -> Column:
+    """All columns of ``df`` as one struct, so that names made here cannot clash with theirs (``select("row.*")`` undoes it)."""
+    return F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in df.columns)).alias(name)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of ``df``; it orders rows alike in their keys in the same way on every run."""
+    columns = []
+    for f in df.schema.fields:
+        c = F.col("`" + f.name.replace("`", "``") + "`")
+        # Spark hashes no maps
+        columns.append(F.to_json(F.struct(c)) if "map<" in f.dataType.simpleString() else c)
+    return F.xxhash64(*columns)
+
+
 def map_arrow(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow`` with this package at hand in the workers."""
     ship(df.sparkSession)

@@ -25,7 +25,7 @@ import functools
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, save
+from .common import ascii_lower, save, whole_row
 
 WINDOW = 10
 # Characters between words, after lowering A-Z; and in the text as it is.
@@ -149,19 +149,23 @@ def _dirty(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFr
     return dirty.select(F.xxhash64("doc_id").alias("_id"), F.col("mark").alias("_mark"), "spans")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(whole_row(docs), F.xxhash64("doc_id").alias("_id"), F.xxhash64("doc_id", "text").alias("_mark"))
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark window."""
-    keyed = docs.withColumns({"_id": F.xxhash64("doc_id"), "_mark": F.xxhash64("doc_id", "text")})
-    return keyed.join(_dirty(spark, docs, benchmark), ["_id", "_mark"], "left_anti").select(*docs.columns)
+    """``docs`` without the documents that hold a benchmark window; other columns may have any names."""
+    return _keyed(docs).join(_dirty(spark, docs, benchmark), ["_id", "_mark"], "left_anti").select("row.*")
 
 
 def remove_spans(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` with the hit words (and the separators before them) cut from the texts."""
-    keyed = docs.withColumns({"_id": F.xxhash64("doc_id"), "_mark": F.xxhash64("doc_id", "text")})
-    joined = keyed.join(_dirty(spark, docs, benchmark), ["_id", "_mark"], "left")
+    """``docs`` with the hit words (and the separators before them) cut from the texts; other columns may have any names."""
+    joined = _keyed(docs).join(_dirty(spark, docs, benchmark), ["_id", "_mark"], "left")
+    text = F.col("row.text")
     between = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
-    parts = F.regexp_extract_all("text", F.lit(f"[{between}]*[^{between}]+"), F.lit(0))
-    tail = F.regexp_extract("text", f"[{between}]*$", 0)
+    parts = F.regexp_extract_all(text, F.lit(f"[{between}]*[^{between}]+"), F.lit(0))
+    tail = F.regexp_extract(text, f"[{between}]*$", 0)
     hit = lambda i: F.exists("spans", lambda s: (s["start"] <= i) & (i < s["start"] + s["k"]))
     cut = F.concat(F.array_join(F.filter(parts, lambda p, i: ~hit(i)), ""), tail)
-    return joined.withColumn("text", F.when(F.col("spans").isNotNull(), cut).otherwise(F.col("text"))).select(*docs.columns)
+    changed = F.when(F.col("spans").isNotNull(), cut).otherwise(text)
+    return joined.select(F.col("row").withField("text", changed).alias("row")).select("row.*")

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow, save
+from .common import map_arrow, row_hash, save, whole_row
 from .components import components
 from .textkernel import LOWER, U64, runs, shingle_hashes, span_hashes, splitmix, text_bytes, word_spans
 
@@ -386,7 +386,9 @@ def similar_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     roots = set_components(spark, docs, sets)
     placed = sets.filter("n > 0").join(roots.withColumnRenamed("a", "set_id"), "set_id", "left")
     placed = placed.select("doc_id", "mark", "set_id", "n", F.coalesce("b", "set_id").alias("root"))
-    named = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # stored, so that both sides of the join are plain scans and a component of very many documents can be split
+    placed = save(spark, placed, "jaccard-placed")
+    named = save(spark, placed.groupBy("root").agg(F.min("doc_id").alias("component_id")), "jaccard-named")
     full = placed.join(named, "root").select("doc_id", "mark", "set_id", F.col("n").alias("n_shingles"), "root", "component_id")
     none = F.lit(None).cast("long").alias("root")
     empty = sets.filter("n = 0").select("doc_id", "mark", "set_id", F.col("n").alias("n_shingles"), none, F.col("doc_id").alias("component_id"))
@@ -394,15 +396,24 @@ def similar_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` with one document (the smallest) of each component; documents with an empty set all stay."""
+    """``docs`` with one document (the smallest) of each component; documents with an empty set all stay.
+
+    Of rows alike in id and text the one with the smallest hash of all its columns
+    stays (:func:`.common.row_hash`), and of wholly equal rows one; other columns may have any names.
+    """
     found = similar_documents(spark, docs)
     least = found.filter("n_shingles > 0").groupBy("root")
     stay = least.agg(F.min(F.struct(F.isnull("doc_id").alias("x"), "doc_id", "mark")).alias("s")).select("s.doc_id", "s.mark")
-    keys = {"_id": F.xxhash64("doc_id"), "_mark": F.xxhash64("text")}
     stay = stay.select(F.xxhash64("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.lit(False).alias("_all"))
     empty = found.filter("n_shingles = 0").select(F.xxhash64("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.lit(True).alias("_all"))
-    from pyspark.sql import Window as W
-
-    rank = F.row_number().over(W.partitionBy("_id", "_mark").orderBy(F.lit(0)))
-    joined = docs.withColumns(keys).join(stay.union(empty).distinct(), ["_id", "_mark"]).withColumn("_n", rank)
-    return joined.filter(F.col("_all") | (F.col("_n") == 1)).select(*docs.columns)
+    keys = [F.xxhash64("doc_id").alias("_id"), F.xxhash64("text").alias("_mark"), row_hash(docs).alias("_hash")]
+    # per id and text: the hash of the row that stays, and how many rows have it (no text is moved for it)
+    alike = docs.select(*keys).groupBy("_id", "_mark", "_hash").agg(F.count("*").alias("_n"))
+    chosen = alike.groupBy("_id", "_mark").agg(F.min(F.struct("_hash", "_n")).alias("s")).select("_id", "_mark", "s.*")
+    # the two kinds have no (id, text) in common, as the text decides whether a set is empty
+    single = save(spark, stay.distinct().join(chosen, ["_id", "_mark"]), "jaccard-stay")
+    keyed = docs.select(whole_row(docs), *keys)
+    once = keyed.join(single.drop("_all"), ["_id", "_mark", "_hash"])
+    more = once.filter("_n > 1").groupBy("_id", "_mark", "_hash").agg(F.first("row").alias("row"))
+    whole = keyed.join(empty.distinct(), ["_id", "_mark"], "left_semi").select("row")
+    return once.filter("_n = 1").select("row").union(more.select("row")).union(whole).select("row.*")

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import fresh_path
-from .common import map_arrow, save, ship
+from .common import map_arrow, save, ship, whole_row
 from .cuckoo import CuckooFilter, ShardedFilter
 from .textkernel import runs
 
@@ -299,7 +299,7 @@ class LineIndex:
         """``row`` (all columns of ``docs``), ``n_lines`` before, ``n_dropped`` and the ``kept`` text (NULL stays NULL)."""
         doc_id = docs.schema["doc_id"].dataType
         lost = save(self.spark, self.repeated(doc_id), "dedup-lost").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "digests")
-        rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text", F.struct(*docs.columns).alias("row"))
+        rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text", whole_row(docs))
         rows = rows.join(lost, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
         rows = rows.select("row", "text", "digests")
         out = T.StructType([rows.schema["row"]]).add("n_lines", T.LongType()).add("n_dropped", T.LongType()).add("kept", T.StringType())

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import count_words, group_key, save
+from .common import count_words, group_key, row_hash, save, whole_row
 
 MAX_NEWTON_STEPS = 80
 # Documents of one (source, size) are ranked in slices of about this many.
@@ -126,6 +126,9 @@ def solve_dual(spark: SparkSession, cells: DataFrame, targets: DataFrame, cap: f
             lo.alias("lo"), hi.alias("hi"), done.alias("done"),
         )
         state = save(spark, state, "mix-dual")
+    open_ = state.filter(~F.col("done")).count()
+    if open_:
+        raise RuntimeError(f"{open_} sources' multipliers did not converge in {MAX_NEWTON_STEPS} steps")
     return state.select("_g", "lam", "scale", "full", "none")
 
 
@@ -206,13 +209,28 @@ def mix_documents(
 
     Documents of size 0 (NULL or blank text) have rate 0, so they all leave the
     mixed corpus. Copies are joined back on the row key, so the texts are shuffled once.
-    Rows equal in that key get the copies of the equal rows in turn.
+    Rows alike in id, text and source share the copies in the order of a hash of all
+    their columns (:func:`.common.row_hash`); other columns may have any names.
     """
     items = size_table(spark, docs)
     mixed = entropy_mix(spark, items, source_targets(items, weights, share, cap), cap)
-    found = mixed.groupBy("doc_id", "_row").agg(F.sort_array(F.collect_list("copies")).alias("_copies"))
-    keyed = docs.withColumns({"_id": F.xxhash64("doc_id"), "_row": F.xxhash64("doc_id", "text", "source")})
-    found = found.select(F.xxhash64("doc_id").alias("_id"), "_row", "_copies")
-    rank = F.row_number().over(W.partitionBy("_id", "_row").orderBy(F.lit(0)))
-    out = keyed.join(found, ["_id", "_row"]).withColumn("_n", F.element_at("_copies", rank))
-    return out.filter("_n > 0").withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select(*docs.columns)
+    # rows alike in id, text and source: so many of them are taken so often
+    found = mixed.select(F.xxhash64("doc_id").alias("_id"), "_row", "copies").groupBy("_id", "_row", "copies").agg(F.count("*").alias("_m"))
+    upto = F.sum("_m").over(W.partitionBy("_id", "_row").orderBy("copies"))  # at most cap + 1 different numbers of copies
+    found = found.select("_id", "_row", F.col("copies").alias("_copies"), (upto - F.col("_m")).alias("_from"), upto.alias("_to"))
+    keys = [F.xxhash64("doc_id").alias("_id"), F.xxhash64("doc_id", "text", "source").alias("_row")]
+    # which of them: in the order of a hash of all columns; of wholly equal rows it does not matter
+    alike = docs.select(*keys, row_hash(docs).alias("_hash")).groupBy("_id", "_row", "_hash").agg(F.count("*").alias("_n"))
+    rank = F.sum("_n").over(W.partitionBy("_id", "_row").orderBy("_hash")) - F.col("_n")
+    alike = alike.withColumn("_first", rank)
+    shares = alike.join(found, ["_id", "_row"]).withColumn(
+        "_part", F.least(F.col("_first") + F.col("_n"), "_to") - F.greatest("_first", "_from")
+    )  # how many of these rows are taken _copies times
+    shares = shares.filter("_part > 0 AND _copies > 0").groupBy("_id", "_row", "_hash").agg(F.sum(F.col("_part") * F.col("_copies")).alias("_all"), F.max("_n").alias("_n"))
+    shares = save(spark, shares, "mix-shares")
+    keyed = docs.select(whole_row(docs), *keys, row_hash(docs).alias("_hash")).join(shares, ["_id", "_row", "_hash"])
+    # wholly equal rows: one of them stands for all
+    one = keyed.filter("_n = 1").select("row", "_all")
+    more = keyed.filter("_n > 1").groupBy("_id", "_row", "_hash").agg(F.first("row").alias("row"), F.first("_all").alias("_all"))
+    out = one.union(more.select("row", "_all"))
+    return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_all")))).select("row.*")

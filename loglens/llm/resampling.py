@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow, save
+from .common import map_arrow, save, whole_row
 
 BUCKETS = 10_000
 MIN_WORDS = 20
@@ -175,7 +175,7 @@ def score(spark: SparkSession, docs: DataFrame, gains: list[int], n: int = 1, se
 
     ``place`` is a number of the row, for ties; with ``rows``, ``row`` holds all columns of ``docs``.
     """
-    whole = [F.struct(*docs.columns).alias("row")] if rows else []
+    whole = [whole_row(docs)] if rows else []
     given = docs.select("doc_id", "text", *whole)
     out = T.StructType([f for f in given.schema if f.name != "text"])
     for name in ("n_words", "n_features", "weight"):

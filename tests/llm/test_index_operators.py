@@ -230,7 +230,8 @@ def test_chunk_borders_move_with_an_insertion():
     assert len(set(pieces(changed)) - set(pieces(text))) <= 6
 
 
-def brute_components(rows):
+def brute_roots(rows):
+    """Shingle sets of all rows, and the root row of each row's component."""
     up = {c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
     sets = []
     for _, t, *_ in rows:
@@ -248,6 +249,12 @@ def brute_components(rows):
             both = len(sets[a] & sets[b])
             if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
                 root[find(a)] = find(b)
+    return sets, [find(i) for i in range(len(rows))]
+
+
+def brute_components(rows):
+    sets, roots = brute_roots(rows)
+    find = roots.__getitem__
     least: dict = {}
     for i, r in enumerate(rows):
         if r[0] is not None:
@@ -268,10 +275,8 @@ def test_similar_documents_against_brute_force(spark, odd_docs, odd_rows, no_doc
     assert sorted((str(x.doc_id), x.n_shingles, str(x.component_id)) for x in got) == brute_components(rows)
     kept = jaccard.keep_one(spark, docs)
     assert kept.columns == docs.columns
-    groups = {c for _, n, c in brute_components(rows) if n and c != "None"}
-    empty = sum(1 for _, n, _ in brute_components(rows) if not n)
-    nameless = sum(1 for _, n, c in brute_components(rows) if n and c == "None")
-    assert kept.count() == len(groups) + empty + min(nameless, 1)
+    sets, roots = brute_roots(rows)
+    assert kept.count() == len({r for s, r in zip(sets, roots, strict=True) if s}) + sum(1 for s in sets if not s)
     assert jaccard.similar_documents(spark, no_docs).collect() == []
 
 
