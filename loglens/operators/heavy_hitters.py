@@ -63,8 +63,9 @@ def find_candidates(rows: DataFrame, keys: Sequence[str], k: int, tracked: int =
     parts = max(1, math.isqrt(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     keyed = rows.select(_text_key(rows, keys).alias(_KEY), F.pmod(F.spark_partition_id(), F.lit(parts)).alias("part"))
     merged = keyed.groupBy("part").agg(F.expr(f"approx_top_k_accumulate({_KEY}, {tracked})").alias("sketch"), F.count("*").alias("n"))
-    merged = merged.agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("n").alias("n"))
-    row = merged.filter("n > 0").select("n", F.expr(f"approx_top_k_estimate(sketch, {tracked})").alias("items")).first()  # one row
+    # one group, or none without rows (an empty sketch can't be read)
+    merged = merged.groupBy(F.lit(1)).agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("n").alias("n"))
+    row = merged.select("n", F.expr(f"approx_top_k_estimate(sketch, {tracked})").alias("items")).first()  # one row
     if row is None:
         return Candidates(0, 0, 0, [])
     n = row["n"]

@@ -24,6 +24,8 @@ from ..session import fresh_path
 from ..sinks.landing import land_lines, land_partitioned, land_raw, save_result_csv, to_raw
 from ..sinks.packing import FILE_BYTES
 from ..sinks.result_sets import read_result_set, save_result_set
+from ..sources.bucketed import store_bucketed
+from ..sources.file_manifest import FileManifest
 from ..sources.fixture import load_logs
 from ..sources.log_table import log_table, store_logs
 from ..sources.lookup import find_logs, store_lookup_logs
@@ -314,6 +316,44 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ingested(spark, table)
 
 
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drop that arrives twice under different names and a later one, ingested by record: the table has every log once."""
+    logs = load_logs(spark, sf_dir)
+    base = fresh_path(spark, "stream-replay")
+    raw, table, checkpoint = f"{base}/raw", f"{base}/table", f"{base}/_checkpoint"
+    early = F.dayofmonth("timestamp") <= 15
+    for drop, part in enumerate([early, early, ~early]):
+        land_raw(logs.filter(part), f"{raw}/drop={drop}")
+        ingest(spark, f"{raw}/*", table, checkpoint, schema=RAW_WITH_ID, key="event_id")
+    return read_ingested(spark, table)
+
+
+def manifest_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``zone, bytes, checked``: usage from the kept file list, and whether a listing of the zones agrees with it."""
+    base = _landed_zones(spark, sf_dir)
+    manifest = FileManifest(spark, fresh_path(spark, "file-manifest"), base)
+    for zone in ("events", "errors", "nothing"):
+        manifest.sync(zone)
+    odd = manifest.differences().select(F.substring_index("file", "/", 1).alias("zone")).distinct()
+    used = manifest.usage().filter("bytes > 0").select("zone", "bytes")
+    return used.join(odd.withColumn("odd", F.lit(True)), "zone", "left").select("zone", "bytes", F.col("odd").isNull().alias("checked"))
+
+
+def _bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return store_bucketed(spark, log_table(spark, sf_dir), "loglens_bucketed_logs", buckets)
+
+
+def bucketed_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User activity over the log table in buckets by user."""
+    return ops.user_activity(_bucketed(spark, sf_dir))
+
+
+def bucketed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session patterns over the log table in buckets by user."""
+    return ops.session_patterns(_bucketed(spark, sf_dir))
+
+
 SOURCES_AND_SINKS: dict[str, Query] = {
     "scan_json": scan_json,
     "scan_partitioned": scan_partitioned,
@@ -336,6 +376,10 @@ SOURCES_AND_SINKS: dict[str, Query] = {
     "file_inventory": file_inventory_query,
     "zone_usage": zone_usage_query,
     "stream_ingest": stream_ingest,
+    "stream_replay": stream_replay,
+    "manifest_usage": manifest_usage,
+    "bucketed_users": bucketed_users,
+    "bucketed_sessions": bucketed_sessions,
 }
 
 

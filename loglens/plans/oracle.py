@@ -360,6 +360,13 @@ _BODIES.update(
         "partition_profile": "SELECT COUNT(*) AS records, TRUE AS consistent FROM logs",
         "profile_input": _profile_sql(),
         "stream_ingest": "SELECT *, CAST(timestamp AS DATE) AS date FROM logs",
+        "stream_replay": "SELECT *, CAST(timestamp AS DATE) AS date FROM logs",
+        "manifest_usage": f"""
+            SELECT 'events' AS zone, CAST(SUM(strlen({_LINE}) + 1) AS BIGINT) AS bytes, TRUE AS checked FROM events
+            UNION ALL
+            SELECT 'errors', CAST(SUM(strlen({_LINE}) + 1) AS BIGINT), TRUE FROM events WHERE event_type = 'error'""",
+        "bucketed_users": _BODIES["user_activity"],
+        "bucketed_sessions": _BODIES["session_patterns"],
     }
 )
 

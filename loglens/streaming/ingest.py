@@ -8,6 +8,12 @@ a Parquet table partitioned by ``date``. With ``availableNow`` the query
 processes everything present and stops, so it can run as a scheduled batch
 job; a lost executor or a killed run resumes from the checkpoint without
 duplicating or skipping files.
+
+A producer may send a drop again under new file names. With ``key`` (a column that names a
+record), every record that was ingested in the last ``remember`` is known in the stream's state, and
+its repetitions are left out. The state's clock is the time of arrival, not the time in the line: a line is
+never late. However old it is, it lands under its own date; only a repetition that arrives after
+``remember`` lands again.
 """
 
 from __future__ import annotations
@@ -21,8 +27,12 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..schema import CORRUPT_COLUMN, RAW_SCHEMA
+from ..sinks.packing import session_conf
 from ..sources.json_logs import PARTITION_COLUMN, RAW_LINE, REJECT_REASON, mark_rejects, text_reader_schema
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # First partition column of an ingested table.
 STATUS, ACCEPTED, REJECTED = "status", "accepted", "rejected"
 
@@ -52,6 +62,14 @@ def marked_log_stream(
     return marked.withColumns({STATUS: status, PARTITION_COLUMN: F.to_date("timestamp")})
 
 
+def without_repetitions(stream: DataFrame, key: str, remember: str) -> DataFrame:
+    """``stream`` without records whose ``key`` arrived before, as far back as ``remember``."""
+    known = F.col(key).cast("string")
+    record = F.coalesce(F.concat(F.lit("k"), known), F.concat(F.lit("l"), F.sha2(F.coalesce(RAW_LINE, F.lit("")), 256)))
+    timed = stream.withColumns({"_record": record, "_arrived": F.current_timestamp()})
+    return timed.withWatermark("_arrived", remember).dropDuplicatesWithinWatermark(["_record"]).drop("_record", "_arrived")
+
+
 def ingest(
     spark: SparkSession,
     raw_dir: str,
@@ -62,7 +80,9 @@ def ingest(
     wait: bool = True,
     archive_dir: str | None = None,
     zone_aware: bool = True,
-    files_per_date: int = 8,
+    files_per_date: int | None = None,
+    key: str | None = None,
+    remember: str = "7 days",
 ) -> StreamingQuery:
     """Append the not yet ingested files of ``raw_dir`` to the Parquet table at ``table_dir``.
 
@@ -73,22 +93,30 @@ def ingest(
     backlog into bounded batches; ``archive_dir`` (outside ``raw_dir``) moves
     ingested files away so later runs list only new ones. A batch's rows are
     dealt by date and a salt, so it writes at most ``files_per_date`` files per
-    date and a busy day is shared by that many tasks; 0 leaves the rows where
-    they are (no shuffle, for files in time order). Returns the (finished, when
-    ``wait``) query.
+    date and a busy day is shared by that many tasks (by default a quarter of
+    ``spark.sql.shuffle.partitions``, which is sized with the input, and 8 at least); 0 leaves the rows where
+    they are (no shuffle, for files in time order). With ``key``, repetitions of a record within
+    ``remember`` are left out; a line without a key, such as a malformed one, is its own key. Keep ``key`` and
+    ``spark.sql.shuffle.partitions`` with the checkpoint. Returns the (finished, when ``wait``) query.
     """
     stream = marked_log_stream(spark, raw_dir, schema, max_files_per_trigger, archive_dir, zone_aware)
+    if key:
+        stream = without_repetitions(stream, key, remember)
+    if files_per_date is None:
+        files_per_date = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
     if files_per_date:
         salt = F.pmod(F.xxhash64(*[c for c in schema.names]), F.lit(files_per_date))
         stream = stream.repartition(F.col(STATUS), F.col(PARTITION_COLUMN), salt)
-    query = (
+    writer = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint_dir)
         .partitionBy(STATUS, PARTITION_COLUMN)
         .outputMode("append")
         .trigger(availableNow=True)
-        .start(table_dir)
     )
+    # the keys live on the executors' disks and in the checkpoint, not in their heaps
+    with session_conf(spark, {STATE_STORE: ROCKSDB} if key else {}):
+        query = writer.start(table_dir)
     if wait:
         query.awaitTermination()
     return query
