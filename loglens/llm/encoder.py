@@ -17,6 +17,8 @@ import numpy as np
 from .textkernel import BLANK, LOWER, U64, span_hashes
 
 # The pieces remembered by a task; beyond it the memory starts anew.
+# Texts are encoded in runs of about this many bytes: new pieces are learnt per run.
+ENCODE_BYTES = 2 << 20
 MAX_PIECES = 1_500_000
 JOINED = 512
 

@@ -130,7 +130,7 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for run in runs(batch):
             found = [s for _, s in doc_sets(run.column("text"))]
-            total += np.bincount((np.concatenate(found) & U64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
+            np.add.at(total, (np.concatenate(found) & U64(SLOTS - 1)).astype(np.int64), 1)
     # a counter that overflows is as frequent as any other such
     rows = np.minimum(total, 65535).astype("<u2").reshape(-1, BLOCK)
     full = np.flatnonzero(rows.any(axis=1))

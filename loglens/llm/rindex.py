@@ -16,9 +16,10 @@ import numpy as np
 SEPARATOR = 0xFF  # never part of UTF-8
 
 
-def _ranks(values: np.ndarray) -> tuple[np.ndarray, int]:
-    distinct, inverse = np.unique(values, return_inverse=True)
-    return inverse.astype(np.int64), len(distinct)
+def _ranks(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per value how many are smaller, and the places of the values that are not alone."""
+    _, inverse, count = np.unique(values, return_inverse=True, return_counts=True)
+    return (np.cumsum(count) - count)[inverse], np.flatnonzero(count[inverse] > 1)
 
 
 class RunLengthIndex:
@@ -40,20 +41,28 @@ class RunLengthIndex:
             key = (key << 8) | np.where(j <= left, wide[j : j + n], 0)
         ends = np.where(left < 6, owner + 1, 0)
         if len(texts) < 1 << 15:
-            rank, m = _ranks((key << 15) | ends)
+            rank, tied = _ranks((key << 15) | ends)
         else:
             rank, _ = _ranks(key)
-            rank, m = _ranks(rank * (len(texts) + 1) + ends)
+            rank, tied = _ranks(rank * (len(texts) + 1) + ends)
         by = {6: rank}
         step = 6
         times = 3 if (n + 1) ** 3 < 1 << 63 else 2  # ranks that fit into one key
-        while m < n:
-            key = rank
+        while len(tied):  # only rows that are not yet told apart
+            old = rank[tied]
+            key = old
             for t in range(1, times):
-                far = np.zeros(n, np.int64)
-                far[: max(0, n - t * step)] = rank[t * step :] + 1
-                key = key * (n + 1) + np.where(left >= t * step, far, 0)
-            rank, m = _ranks(key)
+                far = rank[np.minimum(tied + t * step, n - 1)] + 1
+                key = key * (n + 1) + np.where(left[tied] >= t * step, far, 0)
+            order = np.argsort(key, kind="stable")
+            key, old = key[order], old[order]
+            at = np.arange(len(order))
+            part = np.maximum.accumulate(np.where(np.diff(key, prepend=-1) != 0, at, 0))
+            whole = np.maximum.accumulate(np.where(np.diff(old, prepend=-1) != 0, at, 0))
+            rank = rank.copy()
+            rank[tied[order]] = old + part - whole
+            alone = np.bincount(part, minlength=len(part))[part] == 1
+            tied = tied[order[~alone]]
             step *= times
             if step <= length:
                 by[step] = rank
@@ -84,6 +93,10 @@ class RunLengthIndex:
         self.order = order
         self.n = n
 
+    def forget_rows(self) -> None:
+        """Drop what is kept per row of the transform; the runs and their samples are enough to stream."""
+        del self.class_of_row, self.row_text
+
     def _common(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Length of the common prefix of the text at ``a`` and ``b``, at most ``most``."""
         span = np.arange(self.length)

@@ -4,23 +4,26 @@ Every byte covered by a string of ``LENGTH`` bytes that also starts in a
 document with a smaller ``doc_id`` is removed. Texts are bytes of UTF-8 and a
 string never crosses documents.
 
-1. Every window of ``LENGTH`` bytes is named by the smallest hash of the
+1. Texts that a smaller document has as a whole lose everything and are left out of the rest
+   (equal texts are one text for the index).
+2. Every window of ``LENGTH`` bytes is named by the smallest hash of the
    ``SEED``-byte strings in it. Equal windows have equal names, and neighbours
    mostly share theirs, so a text falls into stretches of windows of one name.
    Names that occur once in the corpus cannot repeat: only stretches of the
    other names go on.
-2. The stretches are dealt by name. A task takes groups of names of a few
+3. The stretches are dealt by name. A task takes groups of names of a few
    megabytes and builds a run-length index (:mod:`.rindex`) over the different
-   stretches in them (repetition costs one entry and one run). Matching statistics are
-   streamed through the index; a match of ``LENGTH`` bytes leads to the rows that
-   begin with it, and so to the smallest document that holds it.
-3. The marked spans are gathered per document and cut out.
-
-Which names repeat is told to the scan by a bit table of fixed size; if that
-is too full to help, the names are joined to the documents instead. A name of
+   stretches in them (repetition costs one entry and one run), but for those that no
+   other one can need. The others' bytes are streamed through it as matching statistics;
+   a match of ``LENGTH`` bytes leads to the rows that begin with it, and so to the
+   smallest document that holds it. Of a name's smallest document nothing needs to be looked up.
+4. The marked spans are gathered per document and cut out.
+
+Which names repeat is told to the scan by a bit table of fixed size (its bytes are broadcast);
+beyond what it can tell apart (more than half full), the names are joined to the documents instead. A name of
 more than ``HOT`` stretches, or of more than ``HOT_WINDOWS`` windows in them (long
-runs of periodic text are long stretches), is not left to one task: its windows
-are grouped by Spark, combined before the shuffle.
+runs of periodic text are long stretches), is not left to one task: it is dealt by its windows, so
+that each group is one string, and grouped by Spark, combined before the shuffle.
 
 Defined results: NULL and empty texts, and texts shorter than ``LENGTH``, keep
 everything; documents of equal ``doc_id`` don't remove from each other; a NULL
@@ -52,7 +55,7 @@ HOT = 200_000
 # A stretch of n bytes has n - LENGTH + 1 windows, with several 8-byte values each in an index.
 HOT_WINDOWS = 1 << 22
 # A task indexes groups of about this many bytes of stretches at a time.
-GROUP_BYTES = 3 << 19
+GROUP_BYTES = 4 << 20
 _STEP = random_table(8, 3) | U64(1)
 
 
@@ -90,9 +93,41 @@ def stretches(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return name[first], text[first], at[first], at[last] + LENGTH
 
 
-def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def whole_copies(spark: SparkSession, keyed: DataFrame) -> DataFrame:
+    """Stored ``doc_id, mark, size`` of the rows whose whole text a smaller document has (told by a digest)."""
+    size = F.octet_length("text").alias("size")
+    rows = save(spark, keyed.filter(F.octet_length("text") >= LENGTH).select("doc_id", "mark", size, F.md5(F.col("text").cast("binary")).alias("key")), "suffix-texts")
+    ranked = F.struct(F.col("doc_id").isNotNull().alias("r"), "doc_id")
+    least = rows.groupBy("key").agg(F.min(ranked).alias("least"), F.max(ranked).alias("most")).filter("least < most")
+    least = save(spark, least.select("key", "least"), "suffix-first-texts")
+    copies = save(spark, rows.join(least, "key").filter(ranked > F.col("least")).select("doc_id", "mark", "size"), "suffix-copies")
+    return copies
+
+
+class Skipped:
+    """Tells the scans which rows are whole copies, by two bit tables: of the copies, and of the
+    other rows that hit the first table by chance. A copy that hits the second too is only looked at in vain."""
+
+    def __init__(self, spark: SparkSession, keyed: DataFrame, copies: DataFrame):
+        self.copies = bit_table(copies.select("mark").distinct(), "mark", DOC_BITS)
+        rows = map_arrow(keyed.select("doc_id", "mark"), functools.partial(_flagged, self.copies), "doc_id long, mark long")
+        other = copies.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
+        same = (F.col("mark") == F.col("_mark")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+        self.others = bit_table(rows.join(other, same, "left_anti").select("mark").distinct(), "mark", DOC_BITS)
+
+    def rest(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        marks = batch.column("mark").to_numpy()
+        return batch.filter(pa.array(~has_bit(self.copies, marks) | has_bit(self.others, marks)))
+
+
+def _flagged(bits: bytes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for run in runs(batch):
+        yield batch.filter(pa.array(has_bit(bits, batch.column("mark").to_numpy())))
+
+
+def _names(skipped: Skipped, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for run in runs(skipped.rest(batch)):
             names, _, begin, end = stretches(*text_bytes(run.column("text")))
             name, at, n = np.unique(names, return_inverse=True, return_counts=True)
             windows = np.zeros(len(name), np.int64)
@@ -100,9 +135,9 @@ def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(n), pa.array(windows)], names=["name", "n", "windows"])
 
 
-def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _named(skipped: Skipped, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for run in runs(batch):
+        for run in runs(skipped.rest(batch)):
             name, text, _, _ = stretches(*text_bytes(run.column("text")))
             rows = pa.array(text)
             yield pa.RecordBatch.from_arrays(
@@ -110,10 +145,10 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _stretches(bits: bytes | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _stretches(skipped: Skipped, bits: bytes | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The stretches of names that may repeat: told by the bit table, or by the names in ``wanted``."""
     for batch in batches:
-        for run in runs(batch):
+        for run in runs(skipped.rest(batch)):
             buf, off = text_bytes(run.column("text"))
             name, text, begin, end = stretches(buf, off)
             if bits is not None:
@@ -141,33 +176,60 @@ def _stretches(bits: bytes | None, batches: Iterator[pa.RecordBatch]) -> Iterato
             )
 
 
-def mark_repeats(texts: list[bytes], docs: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Spans ``(row, first byte, end)`` of the rows' bytes that a smaller document's row also holds."""
+def mark_repeats(texts: list[bytes], docs: np.ndarray, starts: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans ``(row, first byte, end)`` of the rows' bytes that a smaller document's row also holds.
+
+    Equal stretches are one string, which its smallest holder stands for. A name's *first*
+    strings are those of its smallest document, its *last* ones those whose smallest holder is the largest.
+    All of a first string stands in the smallest document. Every other string is streamed through the index
+    of all strings but the last ones (which no other string needs as its source): a match of
+    ``LENGTH`` bytes leads to the rows that begin with it, and so to its smallest holder.
+    """
+    none = (np.empty(0, np.int64),) * 3
     if not texts or docs.min() == docs.max():
-        return (np.empty(0, np.int64),) * 3
+        return none
     place: dict[bytes, int] = {}
     own = np.array([place.setdefault(t, len(place)) for t in texts], np.int64)
     different = list(place)
+    size = np.array([len(t) for t in different], np.int64)
     least = np.full(len(different), np.iinfo(np.int64).max)
     np.minimum.at(least, own, docs)
-    index = RunLengthIndex(different, LENGTH)
-    begin = np.flatnonzero(np.diff(index.class_of_row, prepend=-1))
-    smallest = np.minimum.reduceat(least[index.row_text], begin)
-    windows = np.array([len(t) for t in different], np.int64) - LENGTH + 1
-    upto = np.cumsum(windows) - windows
-    found = np.empty(int(windows.sum()), np.int64)
-    for which, at, row, match in index.matching_statistics(different):
-        long = match >= LENGTH
-        found[upto[which[long]] + at[long]] = smallest[index.class_of_row[row[long]]]
-    count = windows[own]
-    row = np.repeat(np.arange(len(own)), count)
-    offset = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    hit = found[upto[own][row] + offset] < docs[row]
-    begins, ends = hit.copy(), hit.copy()
-    begins[1:] &= ~hit[:-1] | (offset[1:] == 0)
-    ends[:-1] &= ~hit[1:] | (offset[1:] == 0)
-    a, b = np.flatnonzero(begins), np.flatnonzero(ends)
-    return row[a], starts[row[a]] + offset[a], starts[row[b]] + offset[b] + LENGTH
+    name = np.empty(len(different), names.dtype)
+    name[own] = names
+    _, group = np.unique(name, return_inverse=True)
+    low = np.full(len(group), np.iinfo(np.int64).max)
+    np.minimum.at(low, group, least)
+    high = np.full(len(group), np.iinfo(np.int64).min)
+    np.maximum.at(high, group, least)
+    low, high = low[group], high[group]
+    whole = np.flatnonzero((least == low)[own] & (docs > low[own]))
+    spans = [(whole, starts[whole], starts[whole] + size[own[whole]])]
+    streamed = np.flatnonzero(least > low)
+    if len(streamed):
+        upto = np.full(len(different), -1)
+        windows = size[streamed] - LENGTH + 1
+        upto[streamed] = np.cumsum(windows) - windows
+        found = np.repeat(least[streamed], windows)
+        indexed = np.flatnonzero(least < high)
+        index = RunLengthIndex([different[i] for i in indexed], LENGTH)
+        begin = np.flatnonzero(np.diff(index.class_of_row, prepend=-1))
+        smallest = np.minimum.reduceat(least[indexed][index.row_text], begin)
+        index.forget_rows()
+        for which, at, row, match in index.matching_statistics([different[i] for i in streamed]):
+            long = match >= LENGTH
+            spot = upto[streamed[which[long]]] + at[long]
+            found[spot] = np.minimum(found[spot], smallest[np.searchsorted(begin, row[long], "right") - 1])
+        rows = np.flatnonzero(upto[own] >= 0)
+        count = size[own[rows]] - LENGTH + 1
+        row = np.repeat(rows, count)
+        offset = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        hit = found[upto[own[row]] + offset] < docs[row]
+        begins, ends = hit.copy(), hit.copy()
+        begins[1:] &= ~hit[:-1] | (offset[1:] == 0)
+        ends[:-1] &= ~hit[1:] | (offset[1:] == 0)
+        a, b = np.flatnonzero(begins), np.flatnonzero(ends)
+        spans.append((row[a], starts[row[a]] + offset[a], starts[row[b]] + offset[b] + LENGTH))
+    return tuple(np.concatenate(x) for x in zip(*spans, strict=True))
 
 
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +246,9 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = rows.filter(pa.array(np.repeat(~alone, np.diff(np.append(first, len(name))))))
         doc = rows.column("doc_id").combine_chunks()
         ids = doc.fill_null(np.iinfo(np.int64).min).to_numpy()
-        row, a, b = mark_repeats(rows.column("bytes").to_pylist(), ids, rows.column("start").to_numpy().astype(np.int64))
+        row, a, b = mark_repeats(
+            rows.column("bytes").to_pylist(), ids, rows.column("start").to_numpy().astype(np.int64), rows.column("name").to_numpy()
+        )
         at = pa.array(row)
         return pa.RecordBatch.from_arrays(
             [doc.take(at), rows.column("mark").combine_chunks().take(at), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))],
@@ -220,18 +284,20 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, hot: int = HOT, bits: i
     Spans of a document may overlap; ``mark`` tells texts of one ``doc_id`` apart.
     """
     keyed = _keyed(docs)
-    names = map_arrow(keyed.select("text"), _names, "name long, n long, windows long")
+    copies = whole_copies(spark, keyed)
+    skipped = Skipped(spark, keyed, copies)
+    names = map_arrow(keyed.select("mark", "text"), functools.partial(_names, skipped), "name long, n long, windows long")
     names = names.groupBy("name").agg(F.sum("n").alias("n"), F.sum("windows").alias("windows"))
     shared = save(spark, names.filter("n > 1"), "suffix-names")
     table = bit_table(shared, "name", bits)
     out = "name long, doc_id long, mark long, start int, bytes binary"
     if int.from_bytes(table, "little").bit_count() <= bits // 2:
-        parts = map_arrow(keyed, functools.partial(_stretches, table), out)
+        parts = map_arrow(keyed, functools.partial(_stretches, skipped, table), out)
     else:
-        of = map_arrow(keyed, _named, "doc_id long, mark long, name long").distinct().join(shared.select("name"), "name")
+        of = map_arrow(keyed, functools.partial(_named, skipped), "doc_id long, mark long, name long").distinct().join(shared.select("name"), "name")
         of = of.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_list("name").alias("wanted"))
         rows = keyed.join(of, (F.col("mark") == F.col("_mark")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-        parts = map_arrow(rows.select("doc_id", "mark", "text", "wanted"), functools.partial(_stretches, None), out)
+        parts = map_arrow(rows.select("doc_id", "mark", "text", "wanted"), functools.partial(_stretches, skipped, None), out)
     crowded = save(spark, shared.filter((F.col("n") > hot) | (F.col("windows") > hot_windows)).select("name"), "suffix-hot")
     few = parts if crowded.isEmpty() else parts.join(crowded, "name", "left_anti")
     dealt = few.repartition("name").sortWithinPartitions("name")
@@ -246,7 +312,8 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, hot: int = HOT, bits: i
         least = windows.groupBy("window").agg(F.min(ranked).alias("least"))
         later = windows.join(least, "window").filter(ranked > F.col("least"))
         spans = spans.union(later.select("doc_id", "mark", "start", (F.col("start") + LENGTH).cast("int").alias("end")))
-    return save(spark, spans, "suffix-spans")
+    whole = copies.select("doc_id", "mark", F.lit(0).alias("start"), F.col("size").cast("int").alias("end"))
+    return save(spark, spans.unionByName(whole), "suffix-spans")
 
 
 def _join_spans(spans: list[dict]) -> list[tuple[int, int]]:

@@ -301,3 +301,63 @@ def test_components_of_chains_and_stars(spark):
     df = spark.createDataFrame(links, "a long, b long")
     got = {(r.a, r.b) for r in components.components(spark, df).collect()}
     assert got == {(i, 0) for i in range(1, 61)} | {(100 + i, 100) for i in range(1, 80)} | {(401, 400)}
+
+
+def test_index_finds_what_the_matching_statistics_tell(monkeypatch):
+    """Marks against brute force on stretches of a few names, and nothing beyond the smallest document without the statistics."""
+    length = suffix_dedup.LENGTH
+    without = 0
+    for seed in range(12):
+        r = random.Random(seed)
+        texts, docs, names = [], [], []
+        for name in range(r.randint(1, 6)):
+            base = bytes(r.choice(b"abcdef") for _ in range(90))
+            for _ in range(r.randint(1, 9)):
+                a = r.randint(0, 30)
+                t = bytearray(base[a : a + r.randint(length, 60)])
+                if r.random() < 0.5:
+                    t[r.randrange(len(t))] = ord("z")
+                texts.append(bytes(t))
+                docs.append(r.randint(-3, 9))
+                names.append(name)
+        doc, name, starts = np.array(docs), np.array(names), np.array([r.randint(0, 500) for _ in docs])
+
+        def marked(found):
+            out = [bytearray(len(t)) for t in texts]  # noqa: B023
+            for row, a, b in zip(*found, strict=True):
+                out[row][a - starts[row] : b - starts[row]] = b"\1" * (b - a)  # noqa: B023
+            return out
+
+        want = [bytearray(len(t)) for t in texts]
+        for i, t in enumerate(texts):
+            for p in range(len(t) - length + 1):
+                if any(docs[j] < docs[i] and names[j] == names[i] and t[p : p + length] in texts[j] for j in range(len(texts))):
+                    want[i][p : p + length] = b"\1" * length
+        assert marked(suffix_dedup.mark_repeats(texts, doc, starts, name)) == want
+        with monkeypatch.context() as m:
+            m.setattr(RunLengthIndex, "matching_statistics", lambda self, patterns: iter(()))
+            without += marked(suffix_dedup.mark_repeats(texts, doc, starts, name)) != want
+    assert without >= 8
+
+
+def test_whole_copies_are_left_out_and_removed(spark, monkeypatch):
+    text = " ".join(f"word{k}" for k in range(40))
+    rows = [(k, text) for k in range(6)] + [(None, text + " x"), (3, text), (9, "short"), (10, "short"), (11, text + " x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((-(2**63) if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.removal_digest(spark, docs).collect())
+    assert got == brute_removal(rows)
+    keyed = suffix_dedup._keyed(docs)
+    copies = suffix_dedup.whole_copies(spark, keyed)
+    assert sorted(r.doc_id for r in copies.collect()) == [1, 2, 3, 3, 4, 5, 11]
+    # rows that hit the table of copies by chance are still looked at
+    monkeypatch.setattr(suffix_dedup, "DOC_BITS", 1 << 15)
+    many = spark.createDataFrame([(k, f"{k} different text number {k} " * 3) for k in range(3000)] + rows, "doc_id long, text string")
+    keyed = suffix_dedup._keyed(many)
+    copies = suffix_dedup.whole_copies(spark, keyed)
+    skipped = suffix_dedup.Skipped(spark, keyed, copies)
+    import pyarrow as pa
+
+    marks = [r.mark for r in keyed.select("mark").collect()]
+    kept = set(skipped.rest(pa.RecordBatch.from_arrays([pa.array(marks)], names=["mark"])).column("mark").to_pylist())
+    gone = {r.mark for r in copies.collect()}
+    assert set(marks) - gone <= kept
