@@ -15,8 +15,9 @@ Bytes outside all sections form section ``-1`` (only listed where it gets a
 token), so the tokens of a document always add up to the whole.
 
 Defined results: a NULL or empty text has no tokens and its sections count 0;
-without sections all tokens go to ``-1``; sections must not overlap; an empty
-section gets no token; repeated rows are separate documents.
+without sections all tokens go to ``-1``; sections that overlap raise an error; an
+empty section gets no token, and a NULL section, or one with a NULL bound, is an empty
+one at 0; repeated rows are separate documents.
 """
 
 from __future__ import annotations
@@ -113,6 +114,13 @@ def _encoder(path: str, pattern: str):
     return _encoders[path]
 
 
+def _bounds(section: dict | None) -> tuple[int, int]:
+    """Start and end of a given section; one that is NULL, or has a NULL bound, is empty."""
+    if section is None or section["start"] is None or section["end"] is None:
+        return 0, 0
+    return section["start"], section["end"]
+
+
 def _count(path: str, pattern: str, rule: str, given: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     enc, size = _encoder(path, pattern)
     for batch in batches:
@@ -130,12 +138,14 @@ def _count(path: str, pattern: str, rule: str, given: bool, batches: Iterator[pa
                 if sections is None:
                     a, b = sentence_sections(text)
                 else:
-                    spans = sorted((x["start"], x["end"], k) for k, x in enumerate(sections[i] or ()))
+                    spans = sorted((*_bounds(x), k) for k, x in enumerate(sections[i] or ()))
                     byte = np.append(np.flatnonzero(np.diff(chars)), len(text))
                     a, b = (byte[np.clip([s[j] for s in spans], 0, len(byte) - 1).astype(np.int64)] for j in (0, 1))
                     order = np.array([s[2] for s in spans], np.int64)
                     b = np.maximum(a, b)
                 real = b > a  # an empty section gets no token
+                if (a[real][1:] < b[real][:-1]).any():
+                    raise ValueError(f"sections of a document overlap: {[s[:2] for s in spans]}")
                 to, cross = attribute(ends, a[real], b[real], rule)
                 place = np.flatnonzero(real)
                 to = np.where(to >= 0, place[np.maximum(to, 0)] if len(place) else -1, -1)

@@ -74,3 +74,18 @@ def test_empty_table_and_bad_rule(spark):
     assert tc.section_tokens(docs, VOCAB, P.PATTERN).count() == 0
     with pytest.raises(ValueError):
         tc.section_tokens(docs, VOCAB, P.PATTERN, "all")
+
+
+def test_null_sections_and_overlaps(spark):
+    schema = "doc_id long, text string, sections array<struct<start: long, end: long>>"
+    rows = [(1, "one two three", [(0, 3), None, (4, None), (None, 7), (8, 13)]), (2, "one two", [None]), (3, None, [(0, 2)])]
+    docs = spark.createDataFrame(rows, schema)
+    got = tc.section_tokens(docs, VOCAB, P.PATTERN).collect()
+    counts = {(r["doc_id"], r["section"]): r["n_tokens"] for r in got}
+    assert counts[(1, 1)] == counts[(1, 2)] == counts[(1, 3)] == 0 and counts[(1, 0)] > 0 and counts[(1, 4)] > 0
+    whole = tc.section_tokens(docs.drop("sections"), VOCAB, P.PATTERN)
+    total = {r["doc_id"]: r["n"] for r in whole.groupBy("doc_id").agg({"n_tokens": "sum"}).withColumnRenamed("sum(n_tokens)", "n").collect()}
+    assert sum(n for (d, _), n in counts.items() if d == 1) == total[1]
+    bad = spark.createDataFrame([(1, "one two three", [(0, 5), (3, 8)])], schema)
+    with pytest.raises(Exception, match="overlap"):
+        tc.section_tokens(bad, VOCAB, P.PATTERN).collect()
