@@ -66,19 +66,19 @@ def summarize(plan: str) -> dict[str, str]:
 
 def main(argv: list[str]) -> int:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    import __spark_entry__ as entry
+    from loglens.plans.catalog import all_queries
 
     spark = make_spark()
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     print("# Physical plans\n")
-    print(f"Final adaptive plans of every registered query at `{sf_dir}` on local[8], produced by")
+    print(f"Final adaptive plans of every registered log query at `{sf_dir}` on local[8], produced by")
     print("`python -m tests.plan_report`. *Exchanges* lists each shuffle with its partitioning;")
     print("`single (partials)` moves only one partial-aggregate row per task. *Reused* counts")
     print("shuffles shared with a scalar subquery instead of recomputed. `range` is the")
     print("range shuffle of a full `ORDER BY` over an already aggregated (small) result.\n")
     print("| Query | Scans | Exchanges | Reused | Notable operators | Read schema | Pushed filters |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
-    for key, query in entry.queries().items():
+    for key, query in all_queries().items():
         s = summarize(final_plan(query(spark, sf_dir)))
         read = s["read"].replace("|", "\\|")
         print(f"| `{key}` | {s['scans']} | {s['exchanges']} | {s['reused']} | {s['special']} | `{read}` | {s['pushed']} |")
@@ -110,14 +110,15 @@ NOTES = """
   in the first step.
 * `user_activity` and `session_patterns` rank all keys with a single-level
   aggregate first. The `BroadcastExchange` then ships only the k winning rows
-  (k <= 10,000 by a checked limit) to select the winners' rows inside the scan
-  stage. No other plan has a join or broadcast; none has a cartesian product
-  or a window.
-* A second scan appears only where a share of **all** logs is needed after a
-  filter (`error_analysis`, the pair percentages). It reads no columns
-  (`struct<>`), only row counts. A share over the grouped rows reuses the
-  grouped shuffle (`level_distribution`), and so does the fallback's
-  `MAX(frequency)` subquery.
+  (their size is known from the limit) to select the winners' rows inside the scan
+  stage. `heavy_*` broadcast the candidates of a sketch (fewer than a third of its
+  counters) and group their rows alone; `bucketed_*` group by user and session
+  without an exchange. No plan has a cartesian product; a window appears only in
+  `sql_functions`, over the rows that a top-k of 10,000 has kept.
+* A share of all logs after a filter (`error_analysis`, the pair percentages) is taken
+  from the same grouped shuffle, and so is the fallback's `MAX(frequency)` subquery:
+  one scan each.
+* `daily_report`, `daily_range` and `distinct_range` read the groups kept per day, never the log table.
 * Top-k queries end in `TakeOrderedAndProject` (k rows per task), not in a
   full sort. A full `ORDER BY` (`range`) is used only on results bounded by a
   small key domain (levels, status codes, hours, days, servers).
