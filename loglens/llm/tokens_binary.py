@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from . import rans
 from .common import map_arrow, save
-from .encoder import piece_encoder, with_end
+from .encoder import ENCODE_BYTES, PieceEncoder, piece_encoder, with_end
 from .textkernel import runs, text_bytes
 
 BLOCK_TOKENS = 1 << 18
@@ -46,8 +46,15 @@ EVERY = 256
 def _encode(tokenizer: str, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     enc = piece_encoder(tokenizer)
     before: dict[int, int] = {}
+    try:
+        yield from _encode_runs(enc, end_id, before, batches)
+    finally:
+        enc.forget()  # the worker process lives on and serves other tasks
+
+
+def _encode_runs(enc: PieceEncoder, end_id: int, before: dict[int, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for run in runs(batch):
+        for run in runs(batch, limit=ENCODE_BYTES):
             ids, per = with_end(*enc.encode(*text_bytes(run.column("text"))), end_id)
             at = np.concatenate([[0], np.cumsum(per)])
             raw = ids.astype("<u4").tobytes()

@@ -8,8 +8,10 @@ penalty: once a sentence explains a toxic document, the document's other words
 get no weight. The same sentence probabilities then locate the offending ones.
 
 The classifier is fitted on a bounded sample of labelled documents: the
-``MAX_TOXIC`` and ``MAX_OTHER`` rows of either label whose ids hash lowest (all rows
-of a smaller table), weighted back to the table's proportion. Scoring takes
+``MAX_TOXIC`` and ``MAX_OTHER`` texts of either label whose ids hash lowest (all texts
+of a smaller table), weighted back to the table's proportion, up to ``MAX_BYTES`` of
+text. Equal texts of one id count once, so the fitting task's size does not depend on
+repeated ids. The vocabulary has at most ``MAX_WORDS`` words. Scoring takes
 every sentence of every text. Inputs of a score are the words of the text only.
 
 Defined results: texts without words (NULL, empty) score 0; rows with a NULL
@@ -25,15 +27,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow, save
+from .common import map_arrow, save, whole_row
 from .textkernel import LOWER, runs, span_hashes, text_bytes, word_spans
 
+# The bounds of the sample that the classifier is fitted on: rows of either label, and bytes of text.
 MAX_TOXIC = 6144
 MAX_OTHER = 6144
-# Words that the classifier may use: the most telling ones of the sample.
+MAX_BYTES = 128 << 20
+# Words that the classifier may use: the most telling ones of the sample, in MIN_DOCS of its documents at least.
 MAX_WORDS = 4096
 MIN_DOCS = 4
 STEPS = 400
@@ -70,6 +75,24 @@ def _log_rest(z: np.ndarray) -> np.ndarray:
     return -np.logaddexp(0, z)
 
 
+def gradient(
+    w: np.ndarray, bias: float, col: np.ndarray, row: np.ndarray, owner: np.ndarray, plain: np.ndarray, label: np.ndarray, weight: np.ndarray
+) -> np.ndarray:
+    """Derivative of the weighted negative log-likelihood by every word's weight and, last, the bias.
+
+    Word ``col[i]`` stands in sentence ``row[i]``, which belongs to document ``owner[row[i]]``;
+    ``plain`` counts each document's sentences without any such word.
+    """
+    n = len(label)
+    z = bias + np.bincount(row, weights=w[col], minlength=len(owner))
+    rest = np.bincount(owner, weights=_log_rest(z), minlength=n) + plain * _log_rest(np.array(bias))
+    q = np.exp(rest)
+    pull = weight * np.where(label, -q / np.maximum(1 - q, 1e-9), 1.0)
+    p = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+    dz = pull[owner] * p
+    return np.append(np.bincount(col, weights=dz[row], minlength=len(w)), dz.sum() + (pull * plain).sum() / (1 + np.exp(-bias)))
+
+
 def fit(words: list[tuple[np.ndarray, np.ndarray]], sentences: np.ndarray, label: np.ndarray, weight: np.ndarray):
     """Word hashes with weights, and the bias.
 
@@ -78,16 +101,14 @@ def fit(words: list[tuple[np.ndarray, np.ndarray]], sentences: np.ndarray, label
     """
     if not len(label) or label.all() or not label.any():
         return np.empty(0, np.uint64), np.empty(0), -np.inf
-    doc = np.repeat(np.arange(len(words)), [len(h) for h, _ in words])
-    hashes = np.concatenate([h for h, _ in words])
     base = np.concatenate([[0], np.cumsum(sentences)])
-    sentence = np.concatenate([s for _, s in words]) + base[doc]
-    vocab, index = np.unique(hashes, return_inverse=True)
     # G-test of every word's document frequency against the label
-    pair = np.unique(index.astype(np.int64) * len(words) + doc)
-    word, where = pair // len(words), pair % len(words)
-    pos = np.bincount(word, weights=label[where], minlength=len(vocab))
-    both = np.bincount(word, minlength=len(vocab)).astype(float)
+    own = [np.unique(h) for h, _ in words]
+    vocab, index = np.unique(np.concatenate(own), return_inverse=True)
+    toxic = np.repeat(label, [len(h) for h in own])
+    pos = np.bincount(index, weights=toxic, minlength=len(vocab))
+    both = np.bincount(index, minlength=len(vocab)).astype(float)
+    del own, index, toxic
     share = label.mean()
 
     def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
@@ -97,10 +118,14 @@ def fit(words: list[tuple[np.ndarray, np.ndarray]], sentences: np.ndarray, label
     telling[both < MIN_DOCS] = 0
     best = np.sort(np.argsort(-telling, kind="stable")[:MAX_WORDS])
     best = best[telling[best] > 0]
-    place = np.full(len(vocab), -1)
-    place[best] = np.arange(len(best))
-    use = place[index] >= 0
-    col, row = place[index[use]], sentence[use]
+    known = vocab[best]
+    cols, rows = [], []
+    for i, (h, s) in enumerate(words):
+        place = np.minimum(np.searchsorted(known, h), max(0, len(known) - 1))
+        use = np.flatnonzero(known[place] == h) if len(known) else np.empty(0, np.int64)
+        cols.append(place[use].astype(np.int32))
+        rows.append(s[use] + base[i])
+    col, row = np.concatenate(cols), np.concatenate(rows)
     # sentences without a used word are all alike: keep how many each document has
     active, row = np.unique(row, return_inverse=True)
     owner = np.searchsorted(base, active, "right") - 1
@@ -109,13 +134,7 @@ def fit(words: list[tuple[np.ndarray, np.ndarray]], sentences: np.ndarray, label
     first, second = np.zeros(len(best) + 1), np.zeros(len(best) + 1)
     weight = weight / weight.sum()
     for step in range(1, STEPS + 1):
-        z = bias + np.bincount(row, weights=w[col], minlength=len(active))
-        rest = np.bincount(owner, weights=_log_rest(z), minlength=len(words)) + plain * _log_rest(np.array(bias))
-        q = np.exp(rest)
-        pull = weight * np.where(label, -q / np.maximum(1 - q, 1e-9), 1.0)
-        p = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
-        dz = pull[owner] * p
-        grad = np.append(np.bincount(col, weights=dz[row], minlength=len(best)), dz.sum() + (pull * plain).sum() / (1 + np.exp(-bias)))
+        grad = gradient(w, bias, col, row, owner, plain, label, weight)
         first = 0.9 * first + 0.1 * grad
         second = 0.99 * second + 0.01 * grad**2
         rate = 0.15 / (np.sqrt(second / (1 - 0.99**step)) + 1e-5)
@@ -123,7 +142,7 @@ def fit(words: list[tuple[np.ndarray, np.ndarray]], sentences: np.ndarray, label
         w = w - move[:-1]
         bias -= float(move[-1])
         w = np.sign(w) * np.maximum(np.abs(w) - rate[:-1] * L1, 0)
-    return vocab[best][w != 0], w[w != 0], bias
+    return known[w != 0], w[w != 0], bias
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +155,8 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i in range(run.num_rows):
                 own = slice(first[i], first[i + 1])
                 s = found.sentence[own]
-                words.append((found.hash[own], s - s[0] if len(s) else s))
+                # copies: a slice would keep the arrays of the whole run
+                words.append((found.hash[own].copy(), (s - s[0] if len(s) else s).astype(np.int32)))
                 sentences.append(int(s[-1] - s[0]) + 1 if len(s) else 0)
             label += run.column("toxic").to_pylist()
             weight += run.column("weight").to_pylist()
@@ -158,15 +178,22 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> tuple[np.n
     """The classifier (word hashes, weights, bias) from ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``."""
     known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     known = known.dropDuplicates(["doc_id", "toxic"])
-    totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    mark = F.xxhash64("text").alias("mark")
+    # one row per text of an id, however often it stands there; no text is moved yet
+    given = docs.select("doc_id", mark, F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes")).dropDuplicates(["doc_id", "mark"])
+    given = save(spark, given.join(known, "doc_id"), "toxic-known")
+    totals = {r["toxic"]: r["n"] for r in given.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     parts = [
-        known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        given.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id", "mark").limit(most)
         .withColumn("weight", F.lit(max(1.0, totals.get(y, 0) / most)))
         for y, most in ((1, MAX_TOXIC), (0, MAX_OTHER))
     ]
-    sample = save(spark, parts[0].union(parts[1]), "toxic-sample")  # at most MAX_TOXIC + MAX_OTHER rows
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    texts = texts.select("text", "toxic", "weight", F.xxhash64("text").alias("mark")).repartition(1)
+    # at most MAX_TOXIC + MAX_OTHER rows, so one task may add up their bytes
+    upto = W.orderBy(F.xxhash64("doc_id", "mark"), "doc_id", "mark").rowsBetween(W.unboundedPreceding, W.currentRow)
+    sample = parts[0].union(parts[1]).withColumn("upto", F.sum("bytes").over(upto)).filter(F.col("upto") <= MAX_BYTES)
+    sample = save(spark, sample.select("doc_id", "mark", "toxic", "weight"), "toxic-sample")
+    texts = docs.select("doc_id", mark, "text").join(F.broadcast(sample), ["doc_id", "mark"])
+    texts = texts.dropDuplicates(["doc_id", "mark", "toxic"]).select("text", "toxic", "weight", "mark").repartition(1)
     rows = map_arrow(texts, _fit, "word long, weight double").collect()  # at most MAX_WORDS + 1
     bias = next((r["weight"] for r in rows if r["word"] is None), -np.inf)
     pairs = sorted((np.uint64(r["word"] % (1 << 64)), r["weight"]) for r in rows if r["word"] is not None)
@@ -226,7 +253,7 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents that score ``THRESHOLD`` or more."""
+    """``docs`` without the documents that score ``THRESHOLD`` or more; columns may have any names."""
     model = train(spark, docs, labels.filter(~held_out()))
-    keyed = docs.withColumn("_text", F.col("text"))
-    return score(keyed, model).filter(F.col("score") < THRESHOLD).withColumnRenamed("_text", "text").select(*docs.columns)
+    rows = docs.select(whole_row(docs), F.col("text"))
+    return score(rows, model).filter(F.col("score") < THRESHOLD).select("row.*")
