@@ -125,12 +125,12 @@ def set_table(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return save(spark, map_arrow(rows, _sets, out), "jaccard-sets")
 
 
-def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(SLOTS, np.int64)
+def _slots(slots: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(slots, np.int64)
     for batch in batches:
         for run in runs(batch):
             found = [s for _, s in doc_sets(run.column("text"))]
-            np.add.at(total, (np.concatenate(found) & U64(SLOTS - 1)).astype(np.int64), 1)
+            np.add.at(total, (np.concatenate(found) & U64(slots - 1)).astype(np.int64), 1)
     # a counter that overflows is as frequent as any other such
     rows = np.minimum(total, 65535).astype("<u2").reshape(-1, BLOCK)
     full = np.flatnonzero(rows.any(axis=1))
@@ -151,11 +151,13 @@ def _add_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(level, pa.binary())], names=["block", "level"])
 
 
-def frequency_levels(docs: DataFrame) -> bytes:
-    """One level (0 to 255, growing with the number of documents) per slot: :data:`SLOTS` bytes."""
-    parts = map_arrow(docs.select("text"), _slots, "block long, counts binary").repartition("block")
-    rows = map_arrow(parts, _add_slots, "block long, level binary").collect()  # SLOTS bytes at most
-    out = np.zeros(SLOTS, np.uint8)
+def frequency_levels(docs: DataFrame, slots: int = SLOTS) -> bytes:
+    """One level (0 to 255, growing with the number of documents) per slot: ``slots`` bytes."""
+    if slots < BLOCK or slots & (slots - 1):
+        raise ValueError(f"slots must be a power of two, {BLOCK} or more")
+    parts = map_arrow(docs.select("text"), functools.partial(_slots, slots), "block long, counts binary").repartition("block")
+    rows = map_arrow(parts, _add_slots, "block long, level binary").collect()  # slots bytes at most
+    out = np.zeros(slots, np.uint8)
     for r in rows:
         out[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(r["level"], np.uint8)
     return out.tobytes()
@@ -175,7 +177,7 @@ def _postings(levels: bytes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
                 seen.add(name)
                 n = len(s)
                 prefix = n - (PERCENT * n + 99) // 100 + 1
-                order = np.lexsort((s, level[(s & U64(SLOTS - 1)).astype(np.int64)]))[:prefix]
+                order = np.lexsort((s, level[(s & U64(len(level) - 1)).astype(np.int64)]))[:prefix]
                 tokens.append(s[order])
                 names.append(np.full(prefix, name))
                 sizes.append(np.full(prefix, n))
@@ -224,10 +226,10 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = tuple(c[begin] for c in cols)
 
 
-def shared_postings(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def shared_postings(spark: SparkSession, docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """Stored ``token, set_id, n, pos`` for prefix shingles that two sets share."""
     rows = map_arrow(
-        docs.select("text"), functools.partial(_postings, frequency_levels(docs)), "token long, set_id long, n int, pos int"
+        docs.select("text"), functools.partial(_postings, frequency_levels(docs, slots)), "token long, set_id long, n int, pos int"
     )
     dealt = rows.repartition("token").sortWithinPartitions("token", "n", "set_id", "pos")
     return save(spark, map_arrow(dealt, _shared, "token long, set_id long, n int, pos int"), "jaccard-shared")
@@ -335,10 +337,10 @@ def _ordered_pairs(rows: DataFrame) -> DataFrame:
     return rows.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("weight"))
 
 
-def set_components(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> DataFrame:
+def set_components(spark: SparkSession, docs: DataFrame, sets: DataFrame, slots: int = SLOTS) -> DataFrame:
     """``a, b``: every linked set but the smallest of its component, with that smallest."""
     one = save(spark, sets.filter("n > 0").groupBy("set_id").agg(*[F.first(c).alias(c) for c in ("n", "spread", *COARSE)]), "jaccard-one")
-    shared = shared_postings(spark, docs)
+    shared = shared_postings(spark, docs, slots)
     # 1: every set against the hub it shares most prefix shingles with
     met = shared.join(save(spark, _hubs(shared), "jaccard-hubs"), "token").filter("set_id <> hub").filter(_can_link(F.col("n"), F.col("pos"), F.col("hub_n"), F.col("hub_pos")))
     met = met.groupBy("set_id", "hub").agg(F.count("*").alias("weight"))
@@ -374,16 +376,18 @@ def set_components(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> Dat
     return components(spark, links.union(more))
 
 
-def similar_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def similar_documents(spark: SparkSession, docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """``doc_id, mark, set_id, n_shingles, root, component_id`` per document of ``docs(doc_id, text)``.
 
     ``component_id`` is the smallest ``doc_id`` reachable over links (itself
     included); ``mark`` tells texts of one ``doc_id`` apart. ``root`` (the smallest
     ``set_id``; NULL for an empty set) names the component itself: several
     components have the same ``component_id`` where ids are NULL or repeated.
+    ``slots`` (a power of two) counters order the shingles, a byte each is broadcast: the result does not
+    depend on them, the pairs to look at do. Give about as many as there are thousands of different shingles.
     """
     sets = set_table(spark, docs)
-    roots = set_components(spark, docs, sets)
+    roots = set_components(spark, docs, sets, slots)
     placed = sets.filter("n > 0").join(roots.withColumnRenamed("a", "set_id"), "set_id", "left")
     placed = placed.select("doc_id", "mark", "set_id", "n", F.coalesce("b", "set_id").alias("root"))
     # stored, so that both sides of the join are plain scans and a component of very many documents can be split
@@ -395,13 +399,13 @@ def similar_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return full.union(empty)
 
 
-def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def keep_one(spark: SparkSession, docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """``docs`` with one document (the smallest) of each component; documents with an empty set all stay.
 
     Of rows alike in id and text the one with the smallest hash of all its columns
     stays (:func:`.common.row_hash`), and of wholly equal rows one; other columns may have any names.
     """
-    found = similar_documents(spark, docs)
+    found = similar_documents(spark, docs, slots)
     least = found.filter("n_shingles > 0").groupBy("root")
     stay = least.agg(F.min(F.struct(F.isnull("doc_id").alias("x"), "doc_id", "mark")).alias("s")).select("s.doc_id", "s.mark")
     stay = stay.select(F.xxhash64("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.lit(False).alias("_all"))

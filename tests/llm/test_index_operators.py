@@ -273,6 +273,10 @@ def test_similar_documents_against_brute_force(spark, odd_docs, odd_rows, no_doc
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
     got = jaccard.similar_documents(spark, docs).collect()
     assert sorted((str(x.doc_id), x.n_shingles, str(x.component_id)) for x in got) == brute_components(rows)
+    few = jaccard.similar_documents(spark, docs, slots=jaccard.BLOCK).collect()
+    assert sorted((str(x.doc_id), x.component_id) for x in few) == sorted((str(x.doc_id), x.component_id) for x in got)
+    with pytest.raises(ValueError, match="power of two"):
+        jaccard.frequency_levels(docs, 3 * jaccard.BLOCK)
     kept = jaccard.keep_one(spark, docs)
     assert kept.columns == docs.columns
     sets, roots = brute_roots(rows)
