@@ -376,6 +376,15 @@ def set_components(spark: SparkSession, docs: DataFrame, sets: DataFrame, slots:
     return components(spark, links.union(more))
 
 
+def _placed(spark: SparkSession, docs: DataFrame, slots: int) -> tuple[DataFrame, DataFrame]:
+    """Stored ``doc_id, mark, set_id, n, root`` of the documents with shingles, and the sets of all documents."""
+    sets = set_table(spark, docs)
+    roots = set_components(spark, docs, sets, slots)
+    placed = sets.filter("n > 0").join(roots.withColumnRenamed("a", "set_id"), "set_id", "left")
+    # stored, so that a join of it by root is one of plain scans and a component of very many documents can be split
+    return save(spark, placed.select("doc_id", "mark", "set_id", "n", F.coalesce("b", "set_id").alias("root")), "jaccard-placed"), sets
+
+
 def similar_documents(spark: SparkSession, docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """``doc_id, mark, set_id, n_shingles, root, component_id`` per document of ``docs(doc_id, text)``.
 
@@ -386,12 +395,7 @@ def similar_documents(spark: SparkSession, docs: DataFrame, slots: int = SLOTS)
     ``slots`` (a power of two) counters order the shingles, a byte each is broadcast: the result does not
     depend on them, the pairs to look at do. Give about as many as there are thousands of different shingles.
     """
-    sets = set_table(spark, docs)
-    roots = set_components(spark, docs, sets, slots)
-    placed = sets.filter("n > 0").join(roots.withColumnRenamed("a", "set_id"), "set_id", "left")
-    placed = placed.select("doc_id", "mark", "set_id", "n", F.coalesce("b", "set_id").alias("root"))
-    # stored, so that both sides of the join are plain scans and a component of very many documents can be split
-    placed = save(spark, placed, "jaccard-placed")
+    placed, sets = _placed(spark, docs, slots)
     named = save(spark, placed.groupBy("root").agg(F.min("doc_id").alias("component_id")), "jaccard-named")
     full = placed.join(named, "root").select("doc_id", "mark", "set_id", F.col("n").alias("n_shingles"), "root", "component_id")
     none = F.lit(None).cast("long").alias("root")
@@ -405,19 +409,18 @@ def keep_one(spark: SparkSession, docs: DataFrame, slots: int = SLOTS) -> DataFr
     Of rows alike in id and text the one with the smallest hash of all its columns
     stays (:func:`.common.row_hash`), and of wholly equal rows one; other columns may have any names.
     """
-    found = similar_documents(spark, docs, slots)
-    least = found.filter("n_shingles > 0").groupBy("root")
-    stay = least.agg(F.min(F.struct(F.isnull("doc_id").alias("x"), "doc_id", "mark")).alias("s")).select("s.doc_id", "s.mark")
-    stay = stay.select(F.xxhash64("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.lit(False).alias("_all"))
-    empty = found.filter("n_shingles = 0").select(F.xxhash64("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.lit(True).alias("_all"))
+    placed, sets = _placed(spark, docs, slots)
+    least = placed.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("x"), "doc_id", "mark")).alias("s"))
+    stay = least.select(F.xxhash64("s.doc_id").alias("_id"), F.col("s.mark").alias("_mark")).distinct()
     keys = [F.xxhash64("doc_id").alias("_id"), F.xxhash64("text").alias("_mark"), row_hash(docs).alias("_hash")]
     # per id and text: the hash of the row that stays, and how many rows have it (no text is moved for it)
     alike = docs.select(*keys).groupBy("_id", "_mark", "_hash").agg(F.count("*").alias("_n"))
-    chosen = alike.groupBy("_id", "_mark").agg(F.min(F.struct("_hash", "_n")).alias("s")).select("_id", "_mark", "s.*")
-    # the two kinds have no (id, text) in common, as the text decides whether a set is empty
-    single = save(spark, stay.distinct().join(chosen, ["_id", "_mark"]), "jaccard-stay")
-    keyed = docs.select(whole_row(docs), *keys)
-    once = keyed.join(single.drop("_all"), ["_id", "_mark", "_hash"])
-    more = once.filter("_n > 1").groupBy("_id", "_mark", "_hash").agg(F.first("row").alias("row"))
-    whole = keyed.join(empty.distinct(), ["_id", "_mark"], "left_semi").select("row")
-    return once.filter("_n = 1").select("row").union(more.select("row")).union(whole).select("row.*")
+    chosen = alike.groupBy("_id", "_mark").agg(F.min(F.struct("_hash", "_n")).alias("s"))
+    chosen = chosen.select("_id", "_mark", F.col("s._hash").alias("_chosen"), "s._n").join(stay, ["_id", "_mark"])
+    empty = sets.filter("n = 0").select(F.xxhash64("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
+    # the two kinds have no (id, text) in common, as the text decides whether a set is empty; an empty one has no hash
+    decided = save(spark, chosen.unionByName(empty, allowMissingColumns=True), "jaccard-stay")
+    kept = docs.select(whole_row(docs), *keys).join(decided, ["_id", "_mark"]).filter("_chosen IS NULL OR _hash = _chosen")
+    alone = F.col("_n").isNull() | (F.col("_n") == 1)
+    more = kept.filter(~alone).groupBy("_id", "_mark").agg(F.first("row").alias("row"))  # wholly equal rows
+    return kept.filter(alone).select("row").union(more.select("row")).select("row.*")
