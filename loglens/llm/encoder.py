@@ -4,8 +4,10 @@ Words repeat far more often than texts, so a task cuts all its texts into
 pieces, lets the library encode every piece that it has not met yet, and puts
 the ids together by array lookups. A cut is made only where no token and no
 rule of the tokenizer can reach across: at ASCII blanks, and between an ASCII
-letter or digit and an ASCII sign (the apostrophe excepted). Texts that hold
-one of the tokenizer's special strings are encoded whole.
+letter or digit and an ASCII sign (the apostrophe excepted). Words of the
+letters a-z go to the tokenizer's model directly if the steps before it leave
+them as they are. Texts that hold one of the tokenizer's special strings are
+encoded whole.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from .textkernel import BLANK, LOWER, U64, span_hashes
 # Texts are encoded in runs of about this many bytes: new pieces are learnt per run.
 ENCODE_BYTES = 2 << 20
 MAX_PIECES = 1_500_000
+# Between two tasks a worker process keeps a memory of at most this many pieces (some 40 bytes each).
+KEPT_PIECES = 500_000
 JOINED = 512
 
 
@@ -33,6 +37,14 @@ def _classes() -> np.ndarray:
 
 
 CLASS = _classes()
+# letters of plain words, and the blank that is put between them
+PLAIN = np.zeros(256, bool)
+PLAIN[[0x20, *range(0x61, 0x7B)]] = True
+
+
+def _fast(tok, texts: list[str]) -> list[np.ndarray]:
+    """Ids of each text; the library leaves out the places in the text."""
+    return [np.array(e.ids, np.uint32) for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 class PieceEncoder:
@@ -49,8 +61,22 @@ class PieceEncoder:
         self.ends = np.zeros(size, bool)
         for token, i in self.tok.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
+        self.words = self._plain_words()
         self.forget()
 
+    def _plain_words(self):
+        """The tokenizer's model without the steps before it, if these leave words of the letters a-z as they are."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        letters = [chr(c) for c in range(0x61, 0x7B)]
+        word = "".join(a + b for a in letters for b in letters)  # every letter beside every other
+        normal = self.tok.normalizer.normalize_str(word) if self.tok.normalizer else word
+        if not self.tok.pre_tokenizer or normal != word or [w for w, _ in self.tok.pre_tokenizer.pre_tokenize_str(word)] != [word]:
+            return self.tok
+        words = Tokenizer(self.tok.model)
+        words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        return words
+
     def ids(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
 
@@ -61,41 +87,59 @@ class PieceEncoder:
         self.flat = np.empty(1 << 16, np.uint32)
         self.used = 0
 
-    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces end to end, and how many each has."""
-        counts = np.zeros(len(pieces), np.int64)
-        own: list[np.ndarray | None] = [None] * len(pieces)
+    def end_task(self) -> None:
+        """A worker process lives on and serves other tasks: it keeps a small memory, no large one."""
+        if len(self.keys) > KEPT_PIECES:
+            self.forget()
+
+    def _encode_pieces(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the pieces of ``low`` at these places, where those of each piece begin, and how many each has."""
+        step = ends - starts + 1
+        to = np.cumsum(step)
+        at = to - step
+        # all pieces end to end, a blank behind each
+        index = np.arange(to[-1])
+        index += np.repeat(starts - at, step)
+        text = low[np.minimum(index, len(low) - 1, out=index)]
+        text[to - 1] = 0x20
         # words of plain letters end in a word-end token: many are encoded in one call
-        plain = [
-            i
-            for i, p in enumerate(pieces)
-            if p.isalpha() and max(p) < "ɐ" and p == p.lower() and unicodedata.is_normalized("NFC", p)
-        ]
-        rest = set(range(len(pieces))).difference(plain)
-        for i in range(0, len(plain), JOINED):
-            some = plain[i : i + JOINED]
-            ids = np.array(self.ids(" ".join(pieces[j] for j in some)), np.uint32)
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(some) and ends[-1] == len(ids):
-                for j, x in zip(some, np.split(ids, ends[:-1]), strict=True):
-                    own[j] = x
-            else:
-                rest.update(some)
-        odd = sorted(rest)
-        for j, e in zip(odd, self.tok.encode_batch_fast([pieces[j] for j in odd], add_special_tokens=False), strict=True):
-            own[j] = np.array(e.ids, np.uint32)
-        for j, x in enumerate(own):
-            counts[j] = len(x)
-        return (np.concatenate(own) if own else np.empty(0, np.uint32)), counts
-
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+        plain = np.logical_and.reduceat(PLAIN[text], at)
+        latin = np.zeros(len(starts), bool)
+        pieces = {int(i): text[at[i] : to[i] - 1].tobytes().decode() for i in np.flatnonzero(~plain)}
+        for i, p in pieces.items():
+            latin[i] = p.isalpha() and max(p) < "ɐ" and p == p.lower() and unicodedata.is_normalized("NFC", p)
+        counts = np.zeros(len(starts), np.int64)
+        order, found, odd = [], [], [np.flatnonzero(~(plain | latin))]
+        for tok, of in ((self.words, plain), (self.tok, latin)):
+            words, letters = np.flatnonzero(of), text[np.repeat(of, step)]
+            end = np.cumsum(step[words])
+            for i in range(0, len(words), JOINED):
+                some = words[i : i + JOINED]
+                joined = letters[end[i] - step[some[0]] : end[i + len(some) - 1] - 1]
+                ids = _fast(tok, [joined.tobytes().decode()])[0]
+                last = np.flatnonzero(self.ends[ids]) + 1
+                if len(last) == len(some) and last[-1] == len(ids):
+                    counts[some] = np.diff(last, prepend=0)
+                    order.append(some)
+                    found.append(ids)
+                else:
+                    odd.append(some)
+        rest = np.sort(np.concatenate(odd))
+        own = _fast(self.tok, [pieces.get(int(j)) or text[at[j] : to[j] - 1].tobytes().decode() for j in rest])
+        counts[rest] = [len(x) for x in own]
+        order = np.concatenate([*order, rest])
+        place = np.empty(len(starts), np.int64)
+        place[order] = np.cumsum(counts[order]) - counts[order]
+        return np.concatenate([*found, *own]), place, counts
+
+    def _learn(self, keys: np.ndarray, low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         """Remember new pieces (``keys`` ascending)."""
-        ids, counts = self._encode_pieces(pieces)
+        ids, at, counts = self._encode_pieces(low, starts, ends)
         need = self.used + len(ids)
         if need > len(self.flat):
             self.flat = np.concatenate([self.flat[: self.used], np.empty(max(need, 2 * len(self.flat)) - self.used, np.uint32)])
         self.flat[self.used : need] = ids
-        at = self.used + np.cumsum(counts) - counts
+        at += self.used
         self.used = need
         place = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, place, keys)
@@ -130,7 +174,7 @@ class PieceEncoder:
         known[known] = self.keys[place[known]] == keys[known]
         if not known.all():
             new = np.flatnonzero(~known)
-            self._learn(keys[new], [raw[starts[i] : ends[i]].decode() for i in index[new]])
+            self._learn(keys[new], low, starts[index[new]], ends[index[new]])
             place = np.searchsorted(self.keys, keys)
         counts = self.len[place][back]
         total = int(counts.sum())

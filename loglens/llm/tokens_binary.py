@@ -49,7 +49,7 @@ def _encode(tokenizer: str, end_id: int, batches: Iterator[pa.RecordBatch]) -> I
     try:
         yield from _encode_runs(enc, end_id, before, batches)
     finally:
-        enc.forget()  # the worker process lives on and serves other tasks
+        enc.end_task()
 
 
 def _encode_runs(enc: PieceEncoder, end_id: int, before: dict[int, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

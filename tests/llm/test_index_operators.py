@@ -49,6 +49,72 @@ def test_pieces_encode_like_whole_texts():
         assert [x.tolist() for x in np.split(ids, np.cumsum(per)[:-1])] == [enc.ids(t) for t in texts]
 
 
+def test_new_plain_words_cost_no_call_each():
+    import sys
+
+    import pyarrow as pa
+
+    r = random.Random(5)
+    words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(1, 12))) for _ in range(4000)]
+    enc = PieceEncoder(PATH)
+    texts = [" ".join(words), "", "Plain 12 É日 " + words[7]]
+    buf, off = text_bytes(pa.array(texts))
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        ids, per = enc.encode(buf, off)
+    finally:
+        sys.setprofile(None)
+    assert calls < len(set(words)) / 2
+    assert [x.tolist() for x in np.split(ids, np.cumsum(per)[:-1])] == [enc.ids(t) for t in texts]
+
+
+def test_words_without_a_word_end_are_encoded_alone():
+    import pyarrow as pa
+
+    enc = PieceEncoder(PATH)
+    texts = ["one two three, été naïve straße 7up", "four one", "été, 日本 two"]
+    want = [enc.ids(t) for t in texts]
+    enc.ends[:] = False  # no joined call can be told apart
+    for _ in range(2):  # learnt, then remembered
+        ids, per = enc.encode(*text_bytes(pa.array(texts)))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(per)[:-1])] == want
+
+
+def test_plain_words_by_the_model_and_by_the_tokenizer():
+    r = random.Random(8)
+    words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(1, 15))) for _ in range(3000)]
+    enc = PieceEncoder(PATH)
+    assert enc.words is not enc.tok
+    assert enc.words.encode(" ".join(words)).ids == enc.ids(" ".join(words))
+    # a tokenizer that changes letters gets its words itself
+    from tokenizers import normalizers
+
+    enc.tok.normalizer = normalizers.Sequence([enc.tok.normalizer, normalizers.Replace("ab", "ba")])
+    assert enc._plain_words() is enc.tok
+
+
+def test_a_worker_keeps_a_small_memory_of_pieces(monkeypatch):
+    import pyarrow as pa
+
+    from loglens.llm import encoder
+
+    enc = encoder.piece_encoder(PATH)
+    enc.forget()
+    text = pa.RecordBatch.from_pydict({"part": [0, 0], "doc_id": [1, 2], "text": ["some words here", None]})
+    first = list(tokens_binary._encode(PATH, 2, iter([text])))
+    assert len(enc.keys) == 3
+    assert list(tokens_binary._encode(PATH, 2, iter([text]))) == first
+    monkeypatch.setattr(encoder, "KEPT_PIECES", 2)
+    assert list(tokens_binary._encode(PATH, 2, iter([text]))) == first
+    assert len(enc.keys) == 0
+
+
 def test_token_blocks_of_odd_documents(spark, odd_docs, odd_rows, no_docs):
     enc = PieceEncoder(PATH)
     path = tokens_binary.write_tokens(spark, odd_docs, fresh_path(spark, "t"), PATH, 2)
