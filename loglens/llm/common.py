@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import shutil
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -47,10 +50,43 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*columns)
 
 
+# What a worker process keeps for its next tasks (see worker_cache), and the module that these were of.
+_caches: list[dict] = []
+_last_module: list[str] = []
+
+
+def worker_cache() -> dict:
+    """A dict that lives in a worker process as long as its tasks are of one module's functions."""
+    _caches.append({})
+    return _caches[-1]
+
+
+def give_back() -> None:
+    """Return freed memory to the system (glibc keeps it for the process otherwise)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def _tidy_task(function: Callable, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``function(batches)`` in a worker process that lives on beside the executor's JVM: what the tasks of
+    another module kept is dropped first, and what the task itself has freed leaves the process at its end."""
+    module = getattr(function.func if isinstance(function, functools.partial) else function, "__module__", "")
+    if _last_module != [module]:
+        for cache in _caches:
+            cache.clear()
+        _last_module[:] = [module]
+    try:
+        yield from function(batches)
+    finally:
+        give_back()
+
+
 def map_arrow(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand in the workers."""
+    """``df.mapInArrow`` with this package at hand in the workers, which give a task's memory back at its end."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(functools.partial(_tidy_task, function), schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -16,6 +16,7 @@ import unicodedata
 
 import numpy as np
 
+from .common import worker_cache
 from .textkernel import BLANK, LOWER, U64, span_hashes
 
 # The pieces remembered by a task; beyond it the memory starts anew.
@@ -197,7 +198,7 @@ def with_end(ids: np.ndarray, per: np.ndarray, end_id: int) -> tuple[np.ndarray,
     return out, per + 1
 
 
-_encoders: dict[str, PieceEncoder] = {}
+_encoders: dict[str, PieceEncoder] = worker_cache()
 
 
 def piece_encoder(path: str) -> PieceEncoder:

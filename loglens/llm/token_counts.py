@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow
+from .common import map_arrow, worker_cache
 from .textkernel import BLANK, runs, text_bytes
 
 RULES = ("majority", "first", "last")
@@ -94,7 +94,7 @@ def attribute(token_ends: np.ndarray, starts: np.ndarray, ends: np.ndarray, rule
     return out, cross
 
 
-_encoders: dict[str, tuple] = {}
+_encoders: dict[str, tuple] = worker_cache()
 
 
 def _encoder(path: str, pattern: str):
